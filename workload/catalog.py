@@ -2,4 +2,5 @@
 
 from workload import sqlparts  # noqa: F401
 from workload import q_sources  # noqa: F401
+from workload import q_relational  # noqa: F401
 from workload.registry import ORACLES, QUERIES  # noqa: F401
