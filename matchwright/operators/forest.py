@@ -7,11 +7,11 @@ is then scored in one pass over its partitions.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -53,6 +53,10 @@ def _grow(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[
     return [tuple(n) for n in nodes]
 
 
+def _packed(features: Sequence[str]) -> Column:
+    return F.array(*[F.col(c).cast("double") for c in features]).alias("x")
+
+
 def fit_forest(
     df: DataFrame, key: str, features: Sequence[str], trees: int = TREES, psi: int = PSI, seed: int = K.SEED
 ) -> DataFrame:
@@ -61,27 +65,25 @@ def fit_forest(
     Trees draw from a uniform pool of at most trees x psi rows; a table no larger than that
     is the pool itself.
     """
-    cols = [F.col(c).cast("double").alias(c) for c in features]
     pool = (
-        df.select(F.col(key).cast("string").alias("__key"), *cols)
+        df.select(F.col(key).cast("string").alias("__key"), _packed(features))
         .orderBy(F.xxhash64(F.lit(seed), "__key"), "__key")
         .limit(trees * psi)
     )
     drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     order = W.partitionBy("tree").orderBy(F.xxhash64(F.lit(seed), "tree", "__key"), "__key")
     sample = drawn.withColumn("__rn", F.row_number().over(order)).where(F.col("__rn") <= psi)
-    names = list(features)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        ordered = pdf.sort_values("__key")[names].to_numpy(dtype=float)
+        ordered = np.vstack(pdf.sort_values("__key")["x"].to_numpy())
         depth = int(np.ceil(np.log2(max(len(ordered), 2))))
         rows = _grow(ordered, np.random.default_rng([seed, tree]), depth)
         out = pd.DataFrame(rows, columns=["node", "feature", "cut", "low", "high", "depth"])
         out.insert(0, "tree", tree)
         return out
 
-    return sample.select("tree", "__key", *names).groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
+    return sample.select("tree", "__key", "x").groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
 
 
 def score_outliers(
@@ -94,28 +96,21 @@ def score_outliers(
     ]
     shared = df.sparkSession.sparkContext.broadcast(trees)
     scale = mean_path(sample_size) or 1.0
-    names = list(features)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            x = pdf[names].to_numpy(dtype=float)
-            rows = np.arange(len(x))
-            total = np.zeros(len(x))
-            for feature, cut, low, high, depth in shared.value:
-                at = np.zeros(len(x), dtype=int)
-                while True:
-                    f = feature[at]
-                    inner = f >= 0
-                    if not inner.any():
-                        break
-                    goes_low = x[rows, np.maximum(f, 0)] <= cut[at]
-                    at = np.where(inner, np.where(goes_low, low[at], high[at]), at)
-                total += depth[at]
-            pdf[name] = -np.exp2(-(total / max(len(shared.value), 1)) / scale)
-            yield pdf
-
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInPandas(score, f"{ddl}, `{name}` double")
+
+    @F.pandas_udf("double")
+    def score(points: pd.Series) -> pd.Series:
+        x = np.vstack(points.to_numpy()) if len(points) else np.zeros((0, 1))
+        rows = np.arange(len(x))
+        total = np.zeros(len(x))
+        for feature, cut, low, high, depth in shared.value:
+            at = np.zeros(len(x), dtype=int)
+            while (inner := feature[at] >= 0).any():
+                goes_low = x[rows, np.maximum(feature[at], 0)] <= cut[at]
+                at = np.where(inner, np.where(goes_low, low[at], high[at]), at)
+            total += depth[at]
+        return pd.Series(-np.exp2(-(total / max(len(shared.value), 1)) / scale))
+
+    return df.withColumn(name, score(_packed(features)))
 
 
 def outlier_cut(scored: DataFrame, contamination: float, name: str = "outlier_score") -> float | None:

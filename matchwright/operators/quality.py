@@ -68,13 +68,11 @@ def davies_bouldin(df: DataFrame, features: str | Sequence[str], label: str) ->
         .agg(F.avg(F.sqrt(squared_distance("x", "centre"))).alias("s"))
         .join(centres, label, "inner")
     )
-    # as many entries as there are groups
+    # one entry per group: k rows, k x k after the explode
     everyone = spread.agg(F.collect_list(F.struct(F.col(label).alias("l"), "s", "centre"))).scalar()
-    ratios = F.transform(
-        F.filter(everyone, lambda o: o["l"] != F.col(label)),
-        lambda o: (F.col("s") + o["s"]) / F.sqrt(squared_distance(F.col("centre"), o["centre"])),
-    )
-    return spread.select(F.array_max(ratios).alias("worst")).agg(F.avg("worst").alias("davies_bouldin"))
+    pairs = spread.withColumn("all", everyone).withColumn("o", F.explode("all")).where(F.col("o.l") != F.col(label))
+    ratio = (F.col("s") + F.col("o.s")) / F.sqrt(squared_distance("centre", "o.centre"))
+    return pairs.groupBy(label).agg(F.max(ratio).alias("worst")).agg(F.avg("worst").alias("davies_bouldin"))
 
 
 def silhouette_points(
