@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -16,6 +16,16 @@ def where_(c: Column | str, p: Column | None) -> Column:
     return as_col(c) if p is None else F.when(p, as_col(c))
 
 
+def with_scalars(df: DataFrame, one_row: DataFrame, make: Callable[[Column], Mapping[str, Column]]) -> DataFrame:
+    """Columns computed with the values of a one-row table.
+
+    The row is one scalar subquery that is named once, however many columns use it.
+    """
+    packed = one_row.select(F.struct("*").alias("s")).scalar()
+    named = df.withColumn("__row", packed)
+    return named.withColumns(dict(make(F.col("__row")))).drop("__row")
+
+
 def count_where(p: Column) -> Column:
     """Rows for which the predicate is true; null predicates do not count."""
     return F.count(F.when(p, F.lit(1)))
@@ -118,8 +128,7 @@ def describe_values(df: DataFrame, value: str, over: Sequence[float] = ()) -> Da
         *[count_where(v > t).alias(f"n_over_{i}") for i, t in enumerate(over)],
     )
     quarts = exact_percentiles(df, [], value, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    packed = quarts.select(F.struct("p25", "p50", "p75").alias("q")).scalar()
-    return basic.withColumns({p: packed.getField(p) for p in ("p25", "p50", "p75")})
+    return with_scalars(basic, quarts, lambda q: {p: q[p] for p in ("p25", "p50", "p75")})
 
 
 def fixed_histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
@@ -202,8 +211,7 @@ def impute_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _fill_from(df: DataFrame, stats: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fill nulls from a one-row table, read once as a scalar subquery."""
-    packed = stats.select(F.struct(*columns).alias("s")).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c), packed.getField(c)) for c in columns})
+    return with_scalars(df, stats, lambda s: {c: F.coalesce(F.col(c), s[c]) for c in columns})
 
 
 def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -228,15 +236,21 @@ def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """z-scores with the sample deviation; missing values take the mean, constants give 0."""
-    means = df.agg(F.struct(*[F.avg(c).alias(c) for c in columns]).alias("m"))
-    m = means.scalar()
-    filled = df.withColumns({c: F.coalesce(F.col(c).cast("double"), m.getField(c)) for c in columns})
-    s = filled.agg(F.struct(*[F.stddev_samp(c).alias(c) for c in columns]).alias("s")).scalar()
-    out = {}
-    for c in columns:
-        sd = s.getField(c)
-        out[c] = F.when(sd.isNull() | (sd == 0), F.lit(0.0)).otherwise((F.col(c) - m.getField(c)) / sd)
-    return filled.withColumns(out)
+    typed = df.withColumns({c: F.col(c).cast("double") for c in columns})
+    filled = impute_mean(typed, columns)
+    # filling with the mean leaves the mean as it is
+    stats = filled.agg(
+        *[F.avg(c).alias(f"{c}__m") for c in columns], *[F.stddev_samp(c).alias(f"{c}__s") for c in columns]
+    )
+
+    def scores(s):
+        known = {c: s[f"{c}__s"] for c in columns}
+        return {
+            c: F.when(sd.isNull() | (sd == 0), F.lit(0.0)).otherwise((F.col(c) - s[f"{c}__m"]) / sd)
+            for c, sd in known.items()
+        }
+
+    return with_scalars(filled, stats, scores)
 
 
 def sparse_columns(df: DataFrame, threshold: float) -> list[str]:

@@ -22,6 +22,7 @@ from matchwright.operators import aggregates as A
 from matchwright.operators import forest as OF
 from matchwright.operators import quality as Q
 from matchwright.operators.ranks import column_percentiles, melt
+from matchwright.session import stage
 
 WHO = "DNI_PRESTADOR"
 FEATURES = list(K.FEATURES)
@@ -54,8 +55,7 @@ def robust_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def apply_robust(df: DataFrame, columns: Sequence[str], stats: DataFrame) -> DataFrame:
-    s = stats.select(F.struct("*").alias("s")).scalar()
-    return df.withColumns({c: (F.col(c) - s.getField(f"{c}__m")) / s.getField(f"{c}__s") for c in columns})
+    return A.with_scalars(df, stats, lambda s: {c: (F.col(c) - s[f"{c}__m"]) / s[f"{c}__s"] for c in columns})
 
 
 def robust_scaler(columns: Sequence[str], error: float = 0.001) -> Pipeline:
@@ -292,26 +292,29 @@ def fit_grouping(
 ) -> tuple[GroupingModel, DataFrame]:
     """(model, labels of the training providers). Axes are fitted on inliers only."""
     features = list(features)
-    prepared = model_matrix(matrix, features).select(WHO, *features).persist()
+    prepared = stage(model_matrix(matrix, features).select(WHO, *features), "grouping-input")
     n_rows = prepared.count()
     sample_size = min(OF.PSI, max(n_rows, 1))
-    forest = OF.fit_forest(prepared, WHO, features, trees=trees, seed=seed).persist()
-    scored = OF.score_outliers(prepared, forest, features, sample_size).persist()
+    forest = stage(OF.fit_forest(prepared, WHO, features, trees=trees, seed=seed), "grouping-forest")
+    scored = stage(OF.score_outliers(prepared, forest, features, sample_size), "grouping-scored")
     cut = OF.outlier_cut(scored, contamination)
     inliers = scored.where(F.col("outlier_score") >= cut).drop("outlier_score")
-    scaling = robust_stats(inliers, features).persist()
-    projection, n_axes, kept = pca_by_variance(apply_robust(inliers, features, scaling), features)
-    projected = projection.transform(apply_robust(inliers, features, scaling)).select(WHO, "projected").persist()
+    scaling = stage(robust_stats(inliers, features), "grouping-scaling")
+    scaled = apply_robust(inliers, features, scaling)
+    projection, n_axes, kept = pca_by_variance(scaled, features)
+    projected = stage(projection.transform(scaled).select(WHO, "projected"), "grouping-projected")
     grid, models = kmeans_grid(projected, key=WHO, k_range=k_range, restarts=restarts, seed=seed)
     chosen = require_k(grid, min_size, min_kept)
     best = models[chosen["k"]]
     labelled = best.transform(projected)
-    remap = size_remap(labelled, "label", min_size).persist()
+    remap = stage(size_remap(labelled, "label", min_size), "grouping-remap")
     spark = matrix.sparkSession
     centres = spark.createDataFrame(
         [(i, [float(v) for v in c]) for i, c in enumerate(best.clusterCenters())], "label int, centre array<double>"
     )
-    placed = centroid_distance(labelled, centres, "projected").join(remap, "label", "left")
+    placed = stage(
+        centroid_distance(labelled, centres, "projected").join(remap, "label", "left").drop("x"), "grouping-labels"
+    )
     kept_rows = placed.where(F.col("cluster_id") != K.NOISE_CLUSTER)
     sizes = [r[1] for r in kept_rows.groupBy("cluster_id").count().orderBy("cluster_id").collect()]
     n_in = sum(chosen["cluster_sizes"])

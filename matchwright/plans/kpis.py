@@ -271,9 +271,10 @@ def scenario_diff(rule: DataFrame, capped: DataFrame, providers: DataFrame) -> D
         return gini(loads, "load").scalar()
 
     points = {"score_delta_p25": 0.25, "score_delta_p50": 0.5, "score_delta_p75": 0.75}
-    spread = exact_percentiles(rows, [], "score_delta", points).select(F.struct(*points).alias("s")).scalar()
+    spread = exact_percentiles(rows, [], "score_delta", points)
     total_rule = rule.agg(F.count(F.lit(1))).scalar()
     g_rb, g_lp = F.col("gini_load_rule_based"), F.col("gini_load_lp_optimized")
+    main = A.with_scalars(main, spread, lambda s: {p: s[p] for p in points})
     wide = (
         main.withColumn("n_orders_only_in_rule_based", total_rule - F.col("n_orders_compared"))
         .withColumn("pct_reassigned", X.ratio("n_reassigned", "n_orders_compared"))
@@ -281,7 +282,6 @@ def scenario_diff(rule: DataFrame, capped: DataFrame, providers: DataFrame) -> D
         .withColumn("gini_load_lp_optimized", load_gini("lp"))
         .withColumn("gini_delta_abs", g_lp - g_rb)
         .withColumn("gini_delta_rel", F.when(g_rb > 1e-9, F.col("gini_delta_abs") / g_rb))
-        .withColumns({p: spread.getField(p) for p in points})
         .withColumn(
             "costo_log_delta_abs", F.col("costo_log_mean_lp_optimized") - F.col("costo_log_mean_rule_based")
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "matchwright", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,3 +41,10 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared scratch folder."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write to the shared scratch folder and read back: ends the lineage, survives lost executors."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
