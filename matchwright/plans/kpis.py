@@ -9,6 +9,7 @@ from matchwright import constants as K
 from matchwright.functions import expr as X
 from matchwright.operators import aggregates as A
 from matchwright.operators.ranks import exact_percentiles, gini
+from matchwright.session import stage
 
 KEY = list(K.ORDER_KEY)
 
@@ -79,24 +80,26 @@ def _loads(pairs: DataFrame, role: str) -> DataFrame:
     return pairs.where(F.col(who).isNotNull()).groupBy(who).agg(F.sum("n").alias("load"))
 
 
-def _kpi_values(pairs: DataFrame, role: str) -> DataFrame:
-    """One row: K1, K2, K3, K4 of a role."""
+def _kpi_values(pairs: DataFrame) -> DataFrame:
+    """name, baseline, model and n_orders: one aggregation for the means, one per Gini."""
     k1, k2, k3, k4 = K.KPI_GOALS
-    means = pairs.agg(
-        _weighted_mean(f"tasa_cancela_{role}").alias(k1),
-        _weighted_mean(f"costo_log_{role}").alias(k3),
-        _weighted_mean(f"match_{role}").alias(k4),
+    measures = {k1: "tasa_cancela", k3: "costo_log", k4: "match"}
+    row = pairs.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_orders"),
+        *[_weighted_mean(f"{c}_{role}").alias(f"{k}_{side}") for role, side in _ROLES for k, c in measures.items()],
     )
-    return means.withColumn(k2, gini(_loads(pairs, role), "load").scalar())
+    for role, side in _ROLES:
+        row = row.withColumn(f"{k2}_{side}", gini(_loads(pairs, role), "load").scalar())
+    lines = [
+        F.struct(F.lit(k).alias("name"), *[F.col(f"{k}_{side}").alias(side) for _, side in _ROLES])
+        for k in (k1, k2, k3, k4)
+    ]
+    return row.select("n_orders", F.explode(F.array(*lines)).alias("r")).select("r.*", "n_orders")
 
 
 def kpi_table(replay: DataFrame, scenario: str = "rule_based") -> DataFrame:
     """name, baseline, model, deltas, target and status of the four KPIs of one scenario."""
-    pairs = _pair_counts(replay)
-    long = None
-    for role, side in _ROLES:
-        part = _kpi_values(pairs, role).unpivot([], list(K.KPI_GOALS), "name", side)
-        long = part if long is None else long.join(part, "name", "inner")
+    long = _kpi_values(stage(_pair_counts(replay), "kpi-pairs"))
     change = F.col("model") - F.col("baseline")
     goal = {n: F.lit(v) for n, (_, _, v) in K.KPI_GOALS.items()}
     target = F.coalesce(*[F.when(F.col("name") == n, v) for n, v in goal.items()])
@@ -112,7 +115,6 @@ def kpi_table(replay: DataFrame, scenario: str = "rule_based") -> DataFrame:
         .withColumn("target_kind", kind)
         .withColumn("status", F.when(F.coalesce(met & defined, F.lit(False)), "PASS").otherwise("FAIL"))
         .withColumn("scenario", F.lit(scenario))
-        .withColumn("n_orders", F.coalesce(pairs.agg(F.sum("n")).scalar(), F.lit(0)).cast("bigint"))
     )
 
 
