@@ -33,6 +33,9 @@ RECOMMENDATION_SCHEMA = (
 )
 RECOMMENDATION_COLUMNS = tuple(c.split()[0] for c in RECOMMENDATION_SCHEMA.split(", "))
 
+# what a provider brings to every order
+_OWN_SCORES = ("tipo_perfil_ord", "score_capacity", "score_performance")
+
 # (complex, remote) pairs; bit i of a profile mask says that pair i occurs
 _CLASSES = ((False, False), (True, False), (False, True), (True, True))
 
@@ -154,18 +157,16 @@ def _ranked_list(classed: DataFrame, keys: list[str], geography: float, top_n: i
     total = X.total_score(geography=F.lit(geography))
     order = W.partitionBy(*keys, "class_id").orderBy(F.desc("total"), "DNI_PRESTADOR")
     return (
-        classed.select(*keys, "class_id", "DNI_PRESTADOR", total.alias("total"))
+        classed.select(*keys, "class_id", "DNI_PRESTADOR", *_OWN_SCORES, total.alias("total"))
         .withColumn("rn", F.row_number().over(order))
         .where(F.col("rn") <= top_n)
-        .select(*keys, "class_id", "DNI_PRESTADOR", F.lit(geography).alias("score_geo"))
+        .select(*keys, "class_id", "DNI_PRESTADOR", *_OWN_SCORES, F.lit(geography).alias("score_geo"))
     )
 
 
 def shortlists(catalog: DataFrame, eligible: DataFrame, top_n: int) -> dict[str, DataFrame]:
     """The three lists: by (task, town), by (task, department) and by task."""
-    scores = eligible.select(
-        "DNI_PRESTADOR", "tipo_perfil_ord", "cluster_id", "score_capacity", "score_performance"
-    )
+    scores = eligible.select("DNI_PRESTADOR", "cluster_id", *_OWN_SCORES)
 
     def level(place: Column | None, name: str | None) -> DataFrame:
         keys = ["CDTAREA", "DNI_PRESTADOR"]
@@ -203,25 +204,29 @@ def _profile_candidates(profiles: DataFrame, lists: dict[str, DataFrame], eligib
         wanted.join(lists["dept"], ["CDTAREA", "dept", "class_id"], "inner"),
         wanted.join(lists["any"], ["CDTAREA", "class_id"], "inner"),
     ]
-    cols = [*key, "class_id", "DNI_PRESTADOR", "score_geo"]
+    cols = [*key, "class_id", "DNI_PRESTADOR", *_OWN_SCORES, "score_geo"]
     found = hits[0].select(*cols).unionByName(hits[1].select(*cols)).unionByName(hits[2].select(*cols))
+    # a profile has a few dozen rows; placed by profile once, merging and ranking stay in place
+    found = found.repartition(*key)
     # flags and geography only ever raise the score, so the best flag pair has the highest of each
     best_class = F.max(F.col("class_id").bitwiseAND(1) == 0)
     best = found.groupBy(*key, "DNI_PRESTADOR").agg(
-        F.max("score_geo").alias("score_geo"), best_class.alias("plain_seen")
+        F.max("score_geo").alias("score_geo"),
+        best_class.alias("plain_seen"),
+        *[F.max(c).alias(c) for c in _OWN_SCORES],
     )
-    scored = best.join(eligible, "DNI_PRESTADOR", "inner").withColumn(
+    scored = best.withColumn(
         # an order seen under both flags keeps the easier seniority bar
         "score_specialization",
         X.specialisation_score("tipo_perfil_ord", ~F.col("plain_seen")),
     )
     total = scored.withColumn("score_total", X.total_score())
     order = W.partitionBy(*key).orderBy(F.desc("score_total"), "DNI_PRESTADOR")
-    return (
-        total.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= top_n)
-        .withColumn("archetype_name", X.archetype("cluster_id"))
+    ranked = total.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_n)
+    described = eligible.select(
+        "DNI_PRESTADOR", "cluster_id", "tipo_perfil", "utilizacion_capacidad", "nombre_distribuidor"
     )
+    return ranked.join(described, "DNI_PRESTADOR", "inner").withColumn("archetype_name", X.archetype("cluster_id"))
 
 
 def recommend(
