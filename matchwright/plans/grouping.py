@@ -246,7 +246,9 @@ class GroupingModel:
         """provider, cluster_id: outliers and members of small groups get -1."""
         prepared = model_matrix(matrix, self.features).select(WHO, *self.features)
         inliers = self._scored(prepared).where(F.col("outlier_score") >= self.cut).drop("outlier_score")
-        raw = self.kmeans.transform(self.project(inliers)).select(WHO, "label")
+        # stored, so that the label join below does not carry the whole chain of expressions
+        projected = stage(self.project(inliers).select(WHO, "projected"), "grouping-predicted")
+        raw = self.kmeans.transform(projected).select(WHO, "label")
         placed = raw.join(self.remap, "label", "left").select(WHO, "cluster_id")
         return matrix.select(WHO).join(placed, WHO, "left").fillna(K.NOISE_CLUSTER, subset=["cluster_id"])
 
