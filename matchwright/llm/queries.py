@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm import simhash, topk
+from matchwright.llm import licences, quality, simhash, topk
 from matchwright.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,105 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+
+@register
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents")).drop("n_lines")
+
+
+ORACLES["op5_quality_rules"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (
+    SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos
+    FROM (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d)
+), counts AS (SELECT rid, count(*) AS n_words, sum(length(word)) AS word_chars FROM w GROUP BY rid),
+tri AS (
+    SELECT rid, pos, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o AS win
+    FROM w WINDOW o AS (PARTITION BY rid ORDER BY pos)
+), again AS (
+    SELECT rid, pos FROM (SELECT rid, pos, count(*) OVER (PARTITION BY rid, win) AS n FROM tri WHERE win IS NOT NULL) WHERE n > 1
+), covered AS (
+    SELECT rid, count(DISTINCT pos + k) AS n_repeat FROM again, (VALUES (0), (1), (2)) AS s(k) GROUP BY rid
+), l AS (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d),
+lines AS (
+    SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup
+    FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid
+), m AS (
+    SELECT doc_id, coalesce(n_words, 0) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+           CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           coalesce(n_dup, 0) AS n_dup_lines, coalesce(n_repeat, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+    FROM d LEFT JOIN counts USING (rid) LEFT JOIN covered USING (rid) LEFT JOIN lines USING (rid)
+), b AS (
+    SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
+           + 8 * (100 * n_dup_lines > 60 * n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT
+           + 32 * (word_chars > 20 * n_words)::INT + 64 * (100 * n_dup_lines > 30 * n_lines)::INT
+           + 128 * (100 * n_repeat_words > 20 * n_words)::INT AS BIGINT) AS fail_bits
+    FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits,
+       fail_bits & 3 <> 0 AS base_failed, fail_bits & 63 = 0 AS kept
+FROM b
+"""
+
+
+@register
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+def _licence_sql(share: float = 0.7, per_file: int = 8, slack: int = 2, least: float = 0.6) -> str:
+    """The scan as joins over one row per word; the tables of templates and phrases are written out as values."""
+    rows = lambda xs: ", ".join(xs)
+    words = rows(f"('{w}')" for w in licences.vocabulary())
+    posts = rows(f"('{t}', '{w}', {p})" for t, (text, _) in licences.TEMPLATES.items() for p, w in enumerate(text.split()))
+    keys = rows(
+        f"('{t}', '{' '.join(key.split())}', {len((' ' + text + ' ').split(' ' + key + ' ')[0].split())})"
+        for t, (text, key) in licences.TEMPLATES.items()
+    )
+    base = rows(f"('{phrase}', '{label}')" for phrase, label in licences.BASE.items())
+    return rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), s AS (SELECT rid, doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM d),
+w AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM s),
+vocab(word) AS (VALUES {words}), posting(label, word, p) AS (VALUES {posts}),
+keyed(label, phrase, site) AS (VALUES {keys}), based(phrase, label) AS (VALUES {base}),
+df AS (SELECT v.word, count(DISTINCT rid) AS n FROM vocab v LEFT JOIN w USING (word) GROUP BY v.word),
+rank AS (SELECT word, row_number() OVER (ORDER BY n, word) AS r FROM df),
+rare AS (SELECT word, r FROM rank WHERE r <= ceil({share} * (SELECT count(*) FROM vocab))),
+top AS (
+    SELECT rid, word FROM (
+        SELECT rid, word, row_number() OVER (PARTITION BY rid ORDER BY r) AS k FROM (SELECT DISTINCT rid, word FROM w) JOIN rare USING (word)
+    ) WHERE k <= {per_file}
+), phrases AS (SELECT DISTINCT phrase FROM (SELECT phrase FROM keyed UNION ALL SELECT phrase FROM based)),
+part AS (SELECT phrase, unnest(string_split(phrase, ' ')) AS word, generate_subscripts(string_split(phrase, ' '), 1) - 1 AS k FROM phrases),
+place AS (
+    SELECT rid, phrase, pos - k AS start FROM w JOIN part USING (word)
+    GROUP BY rid, phrase, pos - k HAVING count(*) = len(string_split(phrase, ' '))
+), aligned AS (
+    SELECT rid, label, pos - p AS shift, count(*) AS agree FROM w JOIN top USING (rid, word) JOIN posting USING (word)
+    GROUP BY rid, label, pos - p
+), able AS (SELECT rid, label, count(*) AS able FROM top JOIN posting USING (word) GROUP BY rid, label),
+verified AS (
+    SELECT rid, label, max(agree / able) AS share FROM aligned JOIN able USING (rid, label)
+    JOIN keyed USING (label) JOIN place USING (rid, phrase)
+    WHERE agree >= {least} * able AND abs(start - shift - site) <= {slack} GROUP BY rid, label
+), own AS (SELECT rid, label, start FROM place JOIN based USING (phrase)),
+o AS (
+    SELECT rid, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+           array_to_string(list_sort(list_distinct(list(label))), ',') AS base_labels
+    FROM own GROUP BY rid
+), e AS (
+    SELECT rid, array_to_string(list_sort(list_distinct(list(label))), ',') AS labels
+    FROM (SELECT rid, label FROM own UNION ALL SELECT rid, label FROM verified) GROUP BY rid
+), v AS (SELECT rid, max(share) AS share FROM verified GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       greatest(coalesce(share, 0.0), CASE WHEN n_base > 0 THEN 0.5 ELSE 0.0 END)::DOUBLE AS score
+FROM s LEFT JOIN o USING (rid) LEFT JOIN e USING (rid) LEFT JOIN v USING (rid)
+"""
+
+
+ORACLES["op4_license_scans"] = _licence_sql()
