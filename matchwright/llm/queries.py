@@ -7,9 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm import licences, quality, simhash, topk
+from matchwright.llm import bpe, licences, quality, simhash, topk
 from matchwright.llm.texts import table
 
+
+def tokenizer_path() -> str:
+    """Where the public tokenizer file lies on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -149,3 +157,8 @@ FROM s LEFT JOIN o USING (rid) LEFT JOIN e USING (rid) LEFT JOIN v USING (rid)
 
 
 ORACLES["op4_license_scans"] = _licence_sql()
+
+
+@register
+def op10_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), bpe.read_tokenizer(tokenizer_path()))
