@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm import bpe, licences, quality, simhash, topk
+from matchwright.llm import bpe, licences, packing, quality, simhash, topk
 from matchwright.llm.texts import table
 
 
@@ -162,3 +162,8 @@ ORACLES["op4_license_scans"] = _licence_sql()
 @register
 def op10_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.read_tokenizer(tokenizer_path()))
+
+
+@register
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), bpe.read_tokenizer(tokenizer_path()))
