@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm import bpe, licences, packing, quality, simhash, topk
+from matchwright.llm import bpe, extract, licences, packing, quality, simhash, topk, warc
 from matchwright.llm.texts import table
 
 
@@ -167,3 +167,13 @@ def op10_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), bpe.read_tokenizer(tokenizer_path()))
+
+
+@register
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+
+
+@register
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_texts(table(spark, sf_dir, "pages"))
