@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm import bpe, extract, licences, packing, quality, simhash, topk, warc
+from matchwright.llm import bpe, extract, licences, packing, pii, quality, simhash, topk, warc
 from matchwright.llm.texts import table
 
 
@@ -177,3 +177,8 @@ def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.main_texts(table(spark, sf_dir, "pages"))
+
+
+@register
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
