@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchwright.llm.wordtable import block_words, encoded, unpack
+from matchwright.llm.wordtable import block_words, encoded, rows_of, unpack
 
 
 def read_tokenizer(path: str) -> str:
@@ -49,19 +49,19 @@ def digests(docs: DataFrame, tokenizer_json: str, keep_ids: bool = False) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = pa.array(table.value, pa.string())
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 words = block_words(row["found"])
                 texts = _decoded(words, lookup)
                 silent = any(not w for w in words)
-                codes, at, out = unpack(row["codes"]).tolist(), 0, []
+                codes, at, out = unpack(row["codes"]), 0, []
                 for doc, size in zip(row["docs"], row["sizes"]):
-                    own = codes[at : at + size]
+                    own = codes[at : at + size].tolist()
                     at += size
                     if silent:  # a word without tokens gives no blank either
                         own = [c for c in own if words[c]]
                     ids = b"".join([words[c] for c in own])
                     text = b" ".join([texts[c] for c in own])
-                    out.append((doc, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest(), ids))
+                    out.append((doc, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest(), ids if keep_ids else None))
                 cols = list(zip(*out))
                 kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
                 arrays = [pa.array(c, k) for c, k in zip(cols, kinds)]

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchwright.llm.wordtable import block_words, encoded, unpack
+from matchwright.llm.wordtable import block_words, encoded, rows_of, unpack
 from matchwright.session import stage
 
 #: Items of a sequence as (length, how many) in placing order.
@@ -31,11 +31,11 @@ def pieces(docs: DataFrame, tokenizer_json: str, capacity: int = 4096, end_id: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 words = block_words(row["found"])
-                codes, at, out = unpack(row["codes"]).tolist(), 0, []
+                codes, at, out = unpack(row["codes"]), 0, []
                 for doc, size in zip(row["docs"], row["sizes"]):
-                    ids = memoryview(b"".join([words[c] for c in codes[at : at + size]]) + end)
+                    ids = memoryview(b"".join([words[c] for c in codes[at : at + size].tolist()]) + end)
                     at += size
                     for piece, s in enumerate(range(0, len(ids) // 4, capacity)):
                         part = ids[4 * s : 4 * (s + capacity)]

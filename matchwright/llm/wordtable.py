@@ -51,7 +51,7 @@ def _binary(numbers: list[bytes]) -> pa.Array:
     return pa.array(numbers, pa.binary())
 
 
-def blocks(docs: DataFrame, size: int = 32 << 20) -> DataFrame:
+def blocks(docs: DataFrame, size: int = 12 << 20) -> DataFrame:
     """Documents in blocks of about `size` bytes of text: their ids, words per document, word numbers and word list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +128,7 @@ def encode_words(tokenizer: Tokenizer, words: list[str]) -> list[bytes]:
     return [ids[body] + ids[marks] for body, marks in cut]
 
 
-def encoded(docs: DataFrame, tokenizer_json: str, block_bytes: int = 32 << 20, bucket_words: int = 400_000) -> DataFrame:
+def encoded(docs: DataFrame, tokenizer_json: str, block_bytes: int = 12 << 20, bucket_words: int = 250_000) -> DataFrame:
     """One row per block: docs, sizes, codes and `found`, the parts that give each word number its ids.
 
     The word lists of the blocks are dealt by word to as many buckets as hold about
@@ -160,6 +160,12 @@ def encoded(docs: DataFrame, tokenizer_json: str, block_bytes: int = 32 << 20, b
     return rows.select("block", "docs", "sizes", "codes").join(found, "block", "left")
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch, one at a time."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def block_words(found: list[dict] | None) -> list[bytes]:
     """Word number -> ids, as bytes, from the parts of a block."""
     parts = [(unpack(p["codes"]), unpack(p["lengths"]), zstandard.ZstdDecompressor().decompress(p["ids"])) for p in found or ()]
