@@ -383,8 +383,35 @@ def redacted(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join(out) + text[at:]
 
 
-def find(docs: DataFrame, weights: np.ndarray | None = None, redact: bool = False) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (and the redacted text) of every row.
+def redact(docs: DataFrame, weights: np.ndarray | None = None, count: str = "n_chars") -> DataFrame:
+    """`docs` with every found span replaced by its kind, and the column `count`, if there is one, set to the new length.
+
+    All other columns pass through, whatever their names; a null text stays null.
+    """
+    weights = fit(docs) if weights is None else weights
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                texts = []
+                for text in part.column(at).to_pylist():
+                    if text:
+                        found = all_spans(text, weights)
+                        text = redacted(text, [(a, b, k) for spans in found for k in KINDS for a, b in spans[k]])
+                    texts.append(text)
+                columns = list(part.columns)
+                columns[at] = pa.array(texts, pa.string())
+                if count in part.schema.names:
+                    i = part.schema.get_field_index(count)
+                    columns[i] = pa.array([None if t is None else len(t) for t in texts]).cast(part.schema.field(i).type)
+                yield pa.RecordBatch.from_arrays(columns, part.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def find(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans of every row.
 
     The counts and base_sha256 are of the fixed rules; `spans` also has the field's. Null and
     empty texts have none. Repeated rows are rows like any other, other columns are not read,
@@ -400,13 +427,11 @@ def find(docs: DataFrame, weights: np.ndarray | None = None, redact: bool = Fals
                     base, added = all_spans(text or "", weights)
                     every = {kind: base[kind] + added[kind] for kind in KINDS}
                     row = [doc, *(len(base[k]) for k in KINDS), hashlib.sha256(_named(base).encode()).hexdigest(), _named(every)]
-                    if redact:
-                        row.append(None if text is None else redacted(text, [(a, b, k) for k in KINDS for a, b in every[k]]))
                     out.append(row)
-                kinds = (*[pa.int64()] * 5, pa.string(), pa.string(), pa.string())
-                names = ("doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "text")
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], list(names[: len(out[0])]))
+                kinds = (*[pa.int64()] * 5, pa.string(), pa.string())
+                names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
-    return cut.mapInArrow(run, schema + ", text string" * redact)
+    return cut.mapInArrow(run, schema)

@@ -94,12 +94,21 @@ def ledger(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     does not fail. Repeated rows and equal texts are rows like any other; columns of `docs`
     outside `carry` are not read, so they may have any name.
     """
-    df = measured(docs.select(*(F.col(c).alias(f"_keep_{c}") for c in carry), F.col("text")))
+    df = measured(docs.select(*(F.col(f"`{c}`").alias(f"_keep_{i}") for i, c in enumerate(carry)), F.col("text")))
     bits = F.lit(0).cast("long")
     for bit, fails in RULES.values():
         bits = bits + F.when(F.expr(fails), F.lit(1 << bit)).otherwise(0)
     df = df.withColumn("fail_bits", bits)
-    return df.select(*(F.col(f"_keep_{c}").alias(c) for c in carry), *MEASURES, "fail_bits")
+    return df.select(*(F.col(f"_keep_{i}").alias(c) for i, c in enumerate(carry)), *MEASURES, "fail_bits")
+
+
+def keep(docs: DataFrame, policy: str = "v1") -> DataFrame:
+    """The rows of `docs` that pass the policy, with the columns they came with, whatever their names."""
+    names = docs.columns
+    rows = measured(docs.select(*(F.col(f"`{c}`").alias(f"_keep_{i}") for i, c in enumerate(names)), F.col("text")))
+    for rule in POLICIES[policy]:
+        rows = rows.where(f"NOT ({RULES[rule][1]})")
+    return rows.select(*(F.col(f"_keep_{i}").alias(c) for i, c in enumerate(names)))
 
 
 def passes(policy: str, bits: str = "fail_bits") -> Column:

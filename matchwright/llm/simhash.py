@@ -50,15 +50,16 @@ def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed long) of every row; null and empty texts get 0."""
+def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The long columns `keys` and fp (the 64 bits as a signed long) of every row; null and empty texts get 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t.as_py(), width, seed) for t in b.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.array([fingerprint(t.as_py(), width, seed) for t in b.column(len(keys))], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fps.view(np.int64))], [*keys, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    cut = docs.select(*(F.col(k).cast("long").alias(k) for k in keys), F.col("text").cast("string").alias("text"))
+    return cut.mapInArrow(run, ", ".join(f"{k} long" for k in (*keys, "fp")))
 
 
 # ---- linking ---------------------------------------------------------------------------------
@@ -158,6 +159,14 @@ def links(fps: DataFrame, radius: int = 2, tile: int = 16384) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def _members(fps: DataFrame, radius: int, tile: int) -> DataFrame:
+    """fp and root, the fingerprint that stands for its component, for every distinct fp."""
+    values = fps.select("fp").distinct()
+    roots = components(links(values, radius, tile))
+    placed = values.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    return stage(placed.select("fp", F.coalesce("root", "fp").alias("root")), "simhash-roots")
+
+
 def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3, seed: int = 42, tile: int = 16384) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, the least doc_id that links reach.
 
@@ -166,13 +175,28 @@ def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3, seed: int
     component_id unless the whole component has none. Other columns are not read.
     """
     fps = stage(fingerprints(docs, width, seed), "simhash-fps")
+    placed = _members(fps, radius, tile)
     # copies meet by fingerprint before anything is joined
     first = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    roots = components(links(first, radius, tile))
-    placed = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    placed = stage(placed, "simhash-roots")
-    heads = placed.groupBy("root").agg(F.min("low").alias("component_id"))
+    heads = first.join(placed, "fp").groupBy("root").agg(F.min("low").alias("component_id"))
     member = placed.join(heads, "root").select("fp", "component_id")
     return fps.join(member, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame, radius: int = 2, width: int = 3, seed: int = 42, tile: int = 16384) -> DataFrame:
+    """The rows of `docs` without near-duplicates: of each component the row with the least doc_id stays.
+
+    Ties and missing ids go to the row that is stored first, so exactly one row of each
+    component stays. `docs` must be a stored table, which gives its rows in the same order
+    each time it is read; all its columns pass through, whatever their names.
+    """
+    numbered = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.monotonically_increasing_id().alias("number"))
+    marked = numbered.select("number", F.col("row.doc_id").cast("long").alias("id"), F.col("row.text").alias("text"))
+    fps = stage(fingerprints(marked, width, seed, ("number", "id")), "simhash-fps")
+    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "number"))
+    first = fps.groupBy("fp").agg(best.alias("best"))
+    heads = first.join(_members(fps, radius, tile), "fp").groupBy("root").agg(F.min("best").alias("best"))
+    stay = heads.select(F.col("best.number").alias("number"))
+    return numbered.join(stay, "number", "left_semi").select("row.*")
