@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,16 +11,16 @@ SPACES = " \t\n\x0b\f\r"
 WORD_GAP = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
 
-#: Rule name -> (bit, what makes a row fail). Bits are never reused, so stored ledgers stay readable.
-RULES: dict[str, tuple[int, str]] = {
-    "few_words": (0, "n_words < 50"),
-    "repeated_words": (1, "100 * n_repeat_words > 50 * n_words"),
-    "symbols": (2, "10 * n_symbols > n_words"),
-    "repeated_lines": (3, "100 * n_dup_lines > 60 * n_lines"),
-    "short_words": (4, "word_chars < 2 * n_words"),
-    "long_words": (5, "word_chars > 20 * n_words"),
-    "many_repeated_lines": (6, "100 * n_dup_lines > 30 * n_lines"),
-    "some_repeated_words": (7, "100 * n_repeat_words > 20 * n_words"),
+#: Rule name -> (bit, what makes a row of measurements fail). Bits are never reused, so stored ledgers stay readable.
+RULES: dict[str, tuple[int, Callable[[Column], Column]]] = {
+    "few_words": (0, lambda m: m.n_words < 50),
+    "repeated_words": (1, lambda m: 100 * m.n_repeat_words > 50 * m.n_words),
+    "symbols": (2, lambda m: 10 * m.n_symbols > m.n_words),
+    "repeated_lines": (3, lambda m: 100 * m.n_dup_lines > 60 * m.n_lines),
+    "short_words": (4, lambda m: m.word_chars < 2 * m.n_words),
+    "long_words": (5, lambda m: m.word_chars > 20 * m.n_words),
+    "many_repeated_lines": (6, lambda m: 100 * m.n_dup_lines > 30 * m.n_lines),
+    "some_repeated_words": (7, lambda m: 100 * m.n_repeat_words > 20 * m.n_words),
 }
 
 #: Policy version -> the rules that reject a row. A new version is a new entry.
@@ -33,8 +35,8 @@ def mask(rules: tuple[str, ...]) -> int:
     return sum(1 << RULES[r][0] for r in rules)
 
 
-def _bind(value: Column, use) -> Column:
-    """use(value) with `value` computed once, as lambda bodies name it per element."""
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with `value` computed once, however often `use` names it and wherever the optimizer moves it."""
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
@@ -58,30 +60,46 @@ def _covered(windows: Column) -> Column:
     return F.when(F.size(F.array_distinct(windows)) < F.size(windows), _bind(ordered, count)).otherwise(0)
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """`docs` with the measurements of every whole text (null: no words)."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+def measures(text: Column) -> Column:
+    """The measurements of a whole text (null: no words) and its failure bits, every rule evaluated once, as one struct."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    none = F.array().cast("array<string>")
+
+    def of_words(w: Column) -> Column:
+        windows = F.when(
+            F.size(w) >= 3,
+            F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))),
+        ).otherwise(none)
+        return F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            _bind(windows, _covered).cast("long").alias("n_repeat_words"),
+        )
+
     inner = F.trim(text, F.lit(SPACES))
-    words = F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, WORD_GAP, -1))
-    lines = F.filter(F.split(text, "\n", -1), lambda x: F.trim(x, F.lit(SPACES)) != "")
-    df = docs.withColumns({"_words": words, "_lines": lines})
-    w = F.col("_words")
-    windows = F.when(
-        F.size(w) >= 3,
-        F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))),
-    ).otherwise(F.array().cast("array<string>"))
-    df = df.withColumns(
-        {
-            "n_words": F.size(w).cast("long"),
-            "word_chars": F.length(F.array_join(w, "")).cast("long"),
-            "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).cast("long"),
-            "n_lines": F.size("_lines").cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "_windows": windows,
-        }
+    words = _bind(F.when(inner == "", none).otherwise(F.split(inner, WORD_GAP, -1)), of_words)
+    lines = _bind(
+        F.filter(F.split(text, "\n", -1), lambda x: F.trim(x, F.lit(SPACES)) != ""),
+        lambda x: F.struct(
+            F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")
+        ),
     )
-    df = df.withColumn("n_repeat_words", _covered(F.col("_windows")).cast("long"))
-    return df.drop("_words", "_lines", "_windows")
+    symbols = (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).cast("long")
+
+    def judged(m: Column) -> Column:
+        bits = F.lit(0).cast("long")
+        for bit, fails in RULES.values():
+            bits = bits + F.when(fails(m), F.lit(1 << bit)).otherwise(0)
+        return F.struct(*(m.getField(c).alias(c) for c in MEASURES), bits.alias("fail_bits"))
+
+    flat = _bind(
+        F.struct(words.alias("w"), lines.alias("l"), symbols.alias("n_symbols")),
+        lambda x: F.struct(
+            x.w.n_words.alias("n_words"), x.w.word_chars.alias("word_chars"), x.n_symbols.alias("n_symbols"),
+            x.l.n_dup_lines.alias("n_dup_lines"), x.w.n_repeat_words.alias("n_repeat_words"), x.l.n_lines.alias("n_lines"),
+        ),
+    )
+    return _bind(flat, judged)
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
@@ -94,21 +112,14 @@ def ledger(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     does not fail. Repeated rows and equal texts are rows like any other; columns of `docs`
     outside `carry` are not read, so they may have any name.
     """
-    df = measured(docs.select(*(F.col(f"`{c}`").alias(f"_keep_{i}") for i, c in enumerate(carry)), F.col("text")))
-    bits = F.lit(0).cast("long")
-    for bit, fails in RULES.values():
-        bits = bits + F.when(F.expr(fails), F.lit(1 << bit)).otherwise(0)
-    df = df.withColumn("fail_bits", bits)
-    return df.select(*(F.col(f"_keep_{i}").alias(c) for i, c in enumerate(carry)), *MEASURES, "fail_bits")
+    rows = docs.select(*(F.col(f"`{c}`") for c in carry), measures(F.col("text")).alias("_measured"))
+    return rows.select(*(F.col(f"`{c}`") for c in carry), "_measured.*")
 
 
 def keep(docs: DataFrame, policy: str = "v1") -> DataFrame:
     """The rows of `docs` that pass the policy, with the columns they came with, whatever their names."""
-    names = docs.columns
-    rows = measured(docs.select(*(F.col(f"`{c}`").alias(f"_keep_{i}") for i, c in enumerate(names)), F.col("text")))
-    for rule in POLICIES[policy]:
-        rows = rows.where(f"NOT ({RULES[rule][1]})")
-    return rows.select(*(F.col(f"_keep_{i}").alias(c) for i, c in enumerate(names)))
+    bits = measures(F.col("text")).getField("fail_bits")
+    return docs.where(bits.bitwiseAND(F.lit(mask(POLICIES[policy]))) == 0)
 
 
 def passes(policy: str, bits: str = "fail_bits") -> Column:
