@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchwright.llm.texts import slices
+from matchwright.llm.texts import slices, tidy
 from matchwright.session import stage
 
 START, END, FIRST_WORD = 0, 1, 2
@@ -79,8 +79,10 @@ def token_blocks(docs: DataFrame, size: int, folds: int, held_out: int) -> DataF
                     "words": zstandard.ZstdCompressor(level=1).compress(text_list), "counts": pack(train, every), "n_words": n,
                     "n_tokens": len(codes), "train_words": int(train.sum()), "train_docs": int((~held).sum()),
                 }
+                del text, lists, flat, words, codes
                 kinds = (pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), *[pa.binary()] * 3, *[pa.int64()] * 4)
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), kinds)], list(row))
+                tidy()
 
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == held_out
     cut = docs.select(
@@ -237,9 +239,13 @@ def block_pairs(row: dict, train_docs: int) -> Pairs:
     inner = np.ones(len(tokens), bool)
     inner[last] = False
     tokens[inner] = rank[unpack(row["codes"])[0] + 2]  # START and END keep ranks 0 and 1
-    before = np.concatenate(([START], tokens[:-1]))
-    before[np.concatenate(([0], last[:-1] + 1))[: len(sizes)]] = START
-    keys, of_token = np.unique((before << 32) | tokens, return_inverse=True)
+    keys = np.full(len(tokens), START, np.int64)
+    keys[1:] = tokens[:-1]
+    keys[last - sizes] = START
+    keys <<= 32
+    keys |= tokens
+    del tokens, inner
+    keys, of_token = np.unique(keys, return_inverse=True)
     doc = np.repeat(np.arange(len(sizes)), sizes + 1)
     trained = ~np.array(row["held"], bool)[doc]
     train = np.bincount(of_token[trained], minlength=len(keys))
@@ -256,6 +262,7 @@ def pair_table(blocks: DataFrame, parts: int, hot: np.ndarray, train_docs: int)
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
+                tidy()
                 row = batch.slice(i, 1).to_pylist()[0]
                 p = block_pairs(row, train_docs)
                 home = _home(p.h, p.w, hot, parts)
@@ -338,9 +345,9 @@ def score(
     docs: DataFrame,
     folds: int = 5,
     held_out: int = 1,
-    block_bytes: int = 16 << 20,
+    block_bytes: int = 8 << 20,
     part_words: int = 400_000,
-    part_tokens: int = 2_000_000,
+    part_tokens: int = 1_500_000,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
@@ -401,6 +408,7 @@ def score(
     def per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
+                tidy()
                 row = batch.slice(i, 1).to_pylist()[0]
                 p = block_pairs(row, train_docs)
                 home = _home(p.h, p.w, hot, parts)

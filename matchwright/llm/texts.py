@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,14 @@ def word_runs(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
         start = end
 
 
+def tidy() -> None:
+    """Give freed memory back, as Python workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into parts whose texts hold about `size` bytes; a longer text is a part of its own."""
     if batch.num_rows == 0:
