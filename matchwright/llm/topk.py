@@ -45,14 +45,17 @@ def _blocks(vectors: DataFrame, rows: int) -> DataFrame:
     return vectors.mapInArrow(run, "dims int, ids binary, matrix binary")
 
 
-def _product(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Integer inner products; in float64 where every sum is exact there, else in Python's integers."""
+def _product(q: np.ndarray, c: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Integer inner products; in float64 where every sum is exact there, else in Python's integers.
+
+    `own` marks a query's own row, whose product is not asked for. A score beyond 64 bits is an error.
+    """
     if not q.shape[1]:
         return np.zeros((len(q), len(c)), dtype=np.int64)
     bound = float(np.abs(q.astype(float)).max(initial=0)) * float(np.abs(c.astype(float)).max(initial=0)) * q.shape[1]
     if bound < EXACT:
         return (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
-    return (q.astype(object) @ c.astype(object).T).astype(np.int64)
+    return np.where(own, 0, q.astype(object) @ c.astype(object).T).astype(np.int64)
 
 
 def _best(score: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +110,7 @@ def top_k(
                 own, all_ids = np.frombuffer(q_ids, "<i8"), np.frombuffer(ids, "<i8")
                 q = np.frombuffer(q_matrix, "<i8").reshape(len(own), dims)
                 c = np.frombuffer(matrix, "<i8").reshape(len(all_ids), dims)
-                score = _product(q, c)
+                score = _product(q, c, all_ids[None, :] == own[:, None])
                 row, col = _best(score, all_ids, own, k)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(row), lane, np.int32)), pa.array(own[row]), pa.array(all_ids[col]), pa.array(score[row, col])],
