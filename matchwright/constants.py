@@ -129,3 +129,173 @@ MIN_KEPT_CLUSTERS = 3
 
 # Order key of every assignment table.
 ORDER_KEY = ("dni_empresa", "codigo_tarea", "cd_municipio_destino")
+
+# Column order of the published provider table.
+PROVIDER_COLUMNS = (
+    "DNI_PRESTADOR",
+    "nombre_prestador",
+    "dni_distribuidor",
+    "nombre_distribuidor",
+    "tipo_perfil",
+    "perfil_tarifa",
+    "funcion_prestador",
+    "clasificacion_predominante",
+    "n_habilitaciones",
+    "n_tareas_distintas",
+    "n_bloques_distintos",
+    "n_productos_distintos",
+    "bloque_principal",
+    "cdbloque_principal",
+    "n_tareas_bloque_principal",
+    "indice_especializacion",
+    "pct_tareas_nuevo_modelo",
+    "pct_tareas_tratamiento",
+    "n_tareas_con_maestro",
+    "etapa_predominante",
+    "tipo_red",
+    "es_red_estrategica",
+    "cdoficina",
+    "dsoficina",
+    "n_redes",
+    "cdmunicipio_base",
+    "municipio_base",
+    "n_municipios_cobertura",
+    "capacidad",
+    "sin_capacidad",
+    "antiguedad_dias",
+    "fealta_prestador",
+    "n_programaciones_total",
+    "n_citas_total",
+    "pct_programaciones_campo",
+    "n_citas_ejecutadas",
+    "n_citas_canceladas",
+    "n_cancela_empresa",
+    "n_cancela_prestador",
+    "n_cancela_sin_motivo",
+    "n_cancela_real_prestador",
+    "tasa_ejecucion",
+    "tasa_cancelacion",
+    "tasa_cancela_empresa",
+    "tasa_cancela_prestador",
+    "tasa_cancela_real_prestador",
+    "duracion_promedio_ejecutada",
+    "duracion_total_ejecutada",
+    "n_duracion_nula_ejecutadas",
+    "n_empresas_atendidas",
+    "n_tareas_distintas_ejecutadas",
+    "n_municipios_destino",
+    "sector_principal_atendido",
+    "segmento_principal_atendido",
+    "pct_empresa_compleja",
+    "n_informes_enviados",
+    "n_informes_aprobados",
+    "n_aprobados_auto",
+    "tasa_aprobacion_informe",
+    "tasa_aprobacion_auto",
+    "dias_ciclo_informe_prom",
+    "n_lineas_oc",
+    "n_oc_historicas",
+    "n_ordenes_distintas_prog",
+    "costo_logistico_prom",
+    "costo_total_tarea_prom",
+    "fecha_primera_oc",
+    "fecha_ultima_oc",
+    "utilizacion_capacidad",
+    "ratio_cobertura_real",
+    "FLAG_SIN_ACTIVIDAD_2025",
+    "FLAG_SOLO_VIRTUAL_2025",
+)
+
+# Descriptive columns carried next to the features.
+CONTEXT = (
+    "bloque_principal",
+    "clasificacion_predominante",
+    "tipo_perfil",
+    "tipo_red",
+    "municipio_base",
+    "dsoficina",
+    "nombre_distribuidor",
+    "sector_principal_atendido",
+    "segmento_principal_atendido",
+    "etapa_predominante",
+    "n_tareas_con_maestro",
+)
+
+# Column order of the published company table.
+COMPANY_COLUMNS = (
+    "Empresa_Id",
+    "ESTADO_EMPRESA_CALCULADO",
+    "ESTADO_EMPRESA",
+    "Fecha_Inicio_Cobertura",
+    "Fecha_Fin_Cobertura",
+    "Segmentacion_Arl_Desc",
+    "Sector_Economico_Desc",
+    "Actividad_Economica_Desc",
+    "Ind_Afiliada",
+    "Afiliados",
+    "Numero_Afiliados",
+    "Ind_Multiregional",
+    "Ruta_Atencion",
+    "nivel_complejidad_calculado",
+    "GRUPO_ECONOMICO_ARL_ID",
+    "UEN_PPAL_ARL_ID",
+    "ID_PROFESIONAL_PPAL",
+    "FLAG_SIN_PROFESIONAL",
+    "n_oc_historicas",
+    "n_tareas_distintas_demandadas",
+    "n_prestadores_distintos",
+    "n_municipios_servicio",
+    "clasificacion_predominante_demanda",
+    "costo_total_acumulado",
+    "costo_total_prom_oc",
+    "costo_logistico_acumulado",
+    "fecha_primera_oc",
+    "fecha_ultima_oc",
+    "n_citas_recibidas_2025",
+    "n_citas_ejecutadas_2025",
+    "n_citas_canceladas_2025",
+    "n_cancela_como_cliente",
+    "n_prestadores_2025",
+    "n_tareas_distintas_2025",
+    "horas_servicio_recibidas_2025",
+    "tasa_ejecucion_recibida_2025",
+    "tasa_cancela_como_cliente",
+    "FLAG_SIN_DEMANDA_HISTORICA",
+    "FLAG_EMPRESA_ACTIVA",
+)
+
+# Column order of the published scenario comparison.
+SCENARIO_COLUMNS = (
+    "n_orders_compared",
+    "n_orders_only_in_rule_based",
+    "n_reassigned",
+    "pct_reassigned",
+    "gini_load_rule_based",
+    "gini_load_lp_optimized",
+    "gini_delta_abs",
+    "gini_delta_rel",
+    "score_total_mean_rule_based",
+    "score_total_mean_lp_optimized",
+    "score_delta_mean",
+    "score_delta_p25",
+    "score_delta_p50",
+    "score_delta_p75",
+    "costo_log_mean_rule_based",
+    "costo_log_mean_lp_optimized",
+    "costo_log_delta_abs",
+    "cost_savings_annual_cop",
+    "n_costo_log_null_rb",
+    "n_costo_log_null_lp",
+    "computed_at",
+)
+
+# Descriptive columns of the published group table.
+CLUSTER_CONTEXT = (
+    "bloque_principal",
+    "tipo_perfil",
+    "tipo_red",
+    "municipio_base",
+    "sector_principal_atendido",
+    "segmento_principal_atendido",
+    "etapa_predominante",
+)

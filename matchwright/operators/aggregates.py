@@ -263,19 +263,24 @@ def drop_sparse_columns(df: DataFrame, threshold: float = 0.1) -> DataFrame:
     return df.drop(*sparse_columns(df, threshold))
 
 
-def one_hot(df: DataFrame, columns: Sequence[str], max_levels: int = 1000) -> DataFrame:
-    """A 0/1 column per level, none dropped; null sets no level.
-
-    Levels become column names, so they are read by the driver; more than `max_levels` per
-    column is an error instead of a table nobody can use.
-    """
+def one_hot(df: DataFrame, levels: Mapping[str, Sequence]) -> DataFrame:
+    """A 0/1 column per level the caller names, none dropped; null and other values set no level."""
     out = df
-    for c in columns:
-        levels = [
-            r[0]
-            for r in df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).limit(max_levels + 1).collect()
-        ]
-        if len(levels) > max_levels:
-            raise ValueError(f"{c} has more than {max_levels} levels")
-        out = out.withColumns({f"{c}_{v}": F.coalesce((F.col(c) == v).cast("int"), F.lit(0)) for v in levels})
-    return out.drop(*columns)
+    for c, values in levels.items():
+        out = out.withColumns({f"{c}_{v}": F.coalesce((F.col(c) == v).cast("int"), F.lit(0)) for v in values})
+    return out.drop(*levels)
+
+
+def one_hot_vector(df: DataFrame, columns: Sequence[str], output: str = "encoded") -> DataFrame:
+    """All levels of the columns as one sparse 0/1 vector, none dropped, however many there are; null sets no level."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+
+    index, hot = [f"{c}__index" for c in columns], [f"{c}__hot" for c in columns]
+    steps = [
+        # nulls get the index after the last level, which the encoder's last slot takes and the slice leaves out
+        StringIndexer(inputCols=list(columns), outputCols=index, stringOrderType="alphabetAsc", handleInvalid="keep"),
+        OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True),
+        VectorAssembler(inputCols=hot, outputCol=output),
+    ]
+    return Pipeline(stages=steps).fit(df).transform(df).drop(*index, *hot)

@@ -7,7 +7,7 @@ is then scored in one pass over its partitions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -57,21 +57,46 @@ def _packed(features: Sequence[str]) -> Column:
     return F.array(*[F.col(c).cast("double") for c in features]).alias("x")
 
 
+def _mixed(hashes: np.ndarray, tree: int) -> np.ndarray:
+    """A hash of its own for every tree, from the row's hash (the finaliser of splitmix64)."""
+    z = hashes + np.uint64((tree + 1) * 0x9E3779B97F4A7C15 % 2**64)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
 def fit_forest(
     df: DataFrame, key: str, features: Sequence[str], trees: int = TREES, psi: int = PSI, seed: int = K.SEED
 ) -> DataFrame:
-    """Forest nodes. Sampling is by keyed hash, so a re-run tree sees the same rows.
+    """Forest nodes. Every tree samples `psi` rows from the whole table.
 
-    Trees draw from a uniform pool of at most trees x psi rows; a table no larger than that
-    is the pool itself.
+    A tree's sample are the rows with the `psi` smallest hashes under that tree, so a re-run
+    tree sees the same rows. Each task keeps its `psi` smallest per tree, so trees x psi rows
+    of each partition are shuffled at most, however large the table is.
     """
-    pool = (
-        df.select(F.col(key).cast("string").alias("__key"), _packed(features))
-        .orderBy(F.xxhash64(F.lit(seed), "__key"), "__key")
-        .limit(trees * psi)
-    )
-    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    order = W.partitionBy("tree").orderBy(F.xxhash64(F.lit(seed), "tree", "__key"), "__key")
+    width = len(features)
+    rows = df.select(F.xxhash64(F.lit(seed), F.col(key).cast("string")).alias("h"), F.col(key).cast("string").alias("__key"), _packed(features))
+
+    def smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = {t: (np.zeros(0, np.uint64), np.zeros(0, object), np.zeros((0, width))) for t in range(trees)}
+        with np.errstate(over="ignore"):
+            for pdf in batches:
+                if not len(pdf):
+                    continue
+                h = pdf["h"].to_numpy(np.int64).view(np.uint64)
+                keys, x = pdf["__key"].to_numpy(object), np.vstack(pdf["x"].to_numpy())
+                for t, (rank, names, points) in kept.items():
+                    own = _mixed(h, t)
+                    near = np.flatnonzero(own <= rank.max()) if len(rank) == psi else np.arange(len(own))
+                    rank = np.concatenate((rank, own[near]))
+                    names, points = np.concatenate((names, keys[near])), np.concatenate((points, x[near]))
+                    best = np.argsort(rank, kind="stable")[:psi]
+                    kept[t] = rank[best], names[best], points[best]
+        for t, (rank, names, points) in kept.items():
+            yield pd.DataFrame({"tree": t, "rank": (rank >> np.uint64(1)).astype(np.int64), "__key": names, "x": list(points)})
+
+    drawn = rows.mapInPandas(smallest, "tree int, rank long, __key string, x array<double>")
+    order = W.partitionBy("tree").orderBy("rank", "__key")
     sample = drawn.withColumn("__rn", F.row_number().over(order)).where(F.col("__rn") <= psi)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:

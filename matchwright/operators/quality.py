@@ -12,9 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from matchwright import constants as K
-
-SILHOUETTE_LIMIT = 50_000
+from matchwright.session import stage
 
 
 def as_array(df: DataFrame, features: str | Sequence[str]) -> DataFrame:
@@ -57,76 +55,138 @@ def calinski_harabasz(df: DataFrame, features: str | Sequence[str], label: str)
     )
 
 
+def per_label(groups: DataFrame, label: str, *columns: str) -> Column:
+    """The k rows of a table of groups as one scalar map label -> struct, to be read without a join.
+
+    As many entries as there are groups, whatever the number of points.
+    """
+    entry = F.struct(F.col(label), F.struct(*columns))
+    return groups.where(F.col(label).isNotNull()).agg(F.map_from_entries(F.collect_list(entry))).scalar()
+
+
 def davies_bouldin(df: DataFrame, features: str | Sequence[str], label: str) -> DataFrame:
     """Mean over groups of the worst (spread_i + spread_j) / distance_ij."""
     points = as_array(df, features)
     centres = group_means(points, label).select(label, "centre")
-    spread = (
-        points.select(label, "x")
-        .join(centres, label, "inner")
-        .groupBy(label)
-        .agg(F.avg(F.sqrt(squared_distance("x", "centre"))).alias("s"))
-        .join(centres, label, "inner")
+    own = F.try_element_at(per_label(centres, label, "centre"), F.col(label))["centre"]
+    placed = points.where(F.col(label).isNotNull()).select(label, "x", own.alias("centre"))
+    spread = placed.groupBy(label).agg(
+        F.avg(F.sqrt(squared_distance("x", "centre"))).alias("s"), F.first("centre").alias("centre")
     )
-    # one entry per group: k rows, k x k after the explode
-    everyone = spread.agg(F.collect_list(F.struct(F.col(label).alias("l"), "s", "centre"))).scalar()
-    pairs = spread.withColumn("all", everyone).withColumn("o", F.explode("all")).where(F.col("o.l") != F.col(label))
-    ratio = (F.col("s") + F.col("o.s")) / F.sqrt(squared_distance("centre", "o.centre"))
+    spread = stage(spread, "group-spreads")
+    pairs = spread.withColumn("o", F.explode(F.map_entries(per_label(spread, label, "s", "centre"))))
+    pairs = pairs.where(F.col("o.key") != F.col(label))
+    ratio = (F.col("s") + F.col("o.value.s")) / F.sqrt(squared_distance("centre", "o.value.centre"))
     return pairs.groupBy(label).agg(F.max(ratio).alias("worst")).agg(F.avg("worst").alias("davies_bouldin"))
 
 
+def squared_silhouette_points(df: DataFrame, features: str | Sequence[str], label: str, key: str) -> DataFrame:
+    """key, label, s: silhouette of every point under squared Euclidean distance, in time linear in the points.
+
+    The mean squared distance from x to a group of n points with sum S and sum of squares Q is
+    (n |x|^2 - 2 x.S + Q) / n, so one aggregate per group is all a point needs to see.
+    """
+    points = as_array(df, features).select(key, label, "x").where(F.col(label).isNotNull())
+    v = array_to_vector(F.col("x"))
+    norm = F.aggregate("x", F.lit(0.0), lambda a, y: a + y * y)
+    sums = points.groupBy(label).agg(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        vector_to_array(Summarizer.sum(v)).alias("total"),
+        F.sum(norm).alias("squares"),
+    )
+
+    def summed(g: Column) -> Column:
+        dot = F.aggregate(F.zip_with("x", g["total"], lambda a, b: a * b), F.lit(0.0), lambda a, y: a + y)
+        return F.greatest(g["n"] * norm - 2 * dot + g["squares"], F.lit(0.0))
+
+    points = points.withColumn("groups", F.map_entries(per_label(sums, label, "n", "total", "squares")))
+    seen = points.withColumn(
+        "d", F.transform("groups", lambda e: F.struct(e["key"].alias("l"), e["value"]["n"].alias("n"), summed(e["value"]).alias("t")))
+    )
+    own = F.filter("d", lambda e: e["l"] == F.col(label))[0]
+    near = F.array_min(F.transform(F.filter("d", lambda e: e["l"] != F.col(label)), lambda e: e["t"] / e["n"]))
+    return _from_distances(seen.select(key, label, own["n"].alias("n"), own["t"].alias("t"), near.alias("b")), key, label)
+
+
+def _from_distances(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Silhouettes from the own group's size n and summed distance t and the nearest other group's mean b."""
+    a = F.col("t") / (F.col("n") - 1)
+    top = F.greatest(a, F.col("b"))
+    s = F.when((F.col("n") < 2) | F.col("b").isNull() | (top == 0), F.lit(0.0)).otherwise((F.col("b") - a) / top)
+    return df.select(key, label, s.alias("s"))
+
+
+def squared_silhouette(df: DataFrame, features: str | Sequence[str], label: str, key: str) -> DataFrame:
+    return squared_silhouette_points(df, features, label, key).agg(F.avg("s").alias("silhouette"))
+
+
+def _point_blocks(points: DataFrame, rows: int) -> DataFrame:
+    """Points packed within their partition: keys, labels and one flat matrix per block."""
+    types = {f.name: f.dataType.simpleString() for f in points.schema}
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for lo in range(0, len(pdf), rows):
+                part = pdf.iloc[lo : lo + rows]
+                flat = np.concatenate(part["x"].to_numpy()) if len(part) else np.zeros(0)
+                yield pd.DataFrame({"keys": [part["k"].to_numpy()], "labels": [part["l"].to_numpy()], "flat": [flat]})
+
+    return points.mapInPandas(pack, f"keys array<{types['k']}>, labels array<{types['l']}>, flat array<double>")
+
+
 def silhouette_points(
-    df: DataFrame, features: str | Sequence[str], label: str, key: str, limit: int | None = SILHOUETTE_LIMIT
+    df: DataFrame, features: str | Sequence[str], label: str, key: str, block: int = 2048, lanes: int | None = None
 ) -> DataFrame:
-    """key, label, s: Euclidean silhouette of every point of the evaluation sample.
+    """key, label, s: Euclidean silhouette of every point, over all points.
 
-    The silhouette needs the distances from each point to all others. The sample (all points
-    when there are at most `limit`) is held by every executor, and each task works through
-    its share of the points; pairs are never written out.
+    The work is quadratic: every point needs its distance to every other. Blocks of points
+    meet lane by lane, one product of two blocks at a time; what leaves a pair of blocks is
+    one partial sum per point and group, so no pair of points is ever written. For large
+    tables `squared_silhouette_points` gives the squared-distance figure in linear time.
     """
-    points = as_array(df, features).select(F.col(key).alias("k"), F.col(label).alias("l"), "x")
-    sample = points
-    if limit is not None:
-        sample = points.orderBy(F.xxhash64(F.lit(K.SEED), F.col("k").cast("string")), "k").limit(limit)
-    held = sample.select("l", "x").toPandas()
-    matrix = np.vstack(held["x"].to_numpy()) if len(held) else np.zeros((0, 0))
-    labels, codes = np.unique(held["l"].to_numpy(), return_inverse=True)
-    sizes = np.bincount(codes, minlength=len(labels)).astype(float)
-    order = np.argsort(codes, kind="stable")
-    starts = np.concatenate([[0], np.cumsum(sizes.astype(int))])[:-1]
-    shared = df.sparkSession.sparkContext.broadcast((matrix[order], starts, labels, sizes))
+    points = as_array(df, features).select(F.col(key).alias("k"), F.col(label).alias("l"), "x").where(F.col("l").isNotNull())
+    spark = df.sparkSession
+    lanes = lanes or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    blocks = stage(_point_blocks(points, block), "silhouette-blocks")
+    shards = blocks.withColumn("lane", F.pmod(F.xxhash64("flat"), F.lit(lanes)).cast("int"))
+    shards = shards.select("lane", F.col("labels").alias("other_labels"), F.col("flat").alias("other"))
+    tiles = blocks.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    types = {f.name: f.dataType.simpleString() for f in points.schema}
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m, first, names, n = shared.value
-        norms = (m * m).sum(axis=1)
         for pdf in batches:
-            values = []
-            for lo in range(0, len(pdf), 256):
-                part = pdf.iloc[lo : lo + 256]
-                x = np.vstack(part["x"].to_numpy())
-                d = np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] + norms[None, :] - 2.0 * x @ m.T, 0.0))
-                sums = np.add.reduceat(d, first, axis=1)
-                own = np.searchsorted(names, part["l"].to_numpy())
-                rows = np.arange(len(part))
-                peers = n[own] - 1
-                a = sums[rows, own] / np.maximum(peers, 1)
-                means = sums / n[None, :]
-                means[rows, own] = np.inf
-                b = means.min(axis=1)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    s = (b - a) / np.maximum(a, b)
-                values.append(np.where((peers < 1) | ~np.isfinite(s), 0.0, s))
-            out = pdf[["k", "l"]].copy()
-            out["s"] = np.concatenate(values) if values else []
-            yield out
-
-    types = {f.name: f.dataType.simpleString() for f in sample.schema}
-    scored = sample.mapInPandas(measure, f"k {types['k']}, l {types['l']}, s double")
-    return scored.withColumnsRenamed({"k": key, "l": label})
-
-
-def silhouette(df, features, label: str, key: str, limit: int | None = SILHOUETTE_LIMIT) -> DataFrame:
-    return silhouette_points(df, features, label, key, limit).agg(F.avg("s").alias("silhouette"))
+            for r in pdf.itertuples(index=False):
+                x, y = (np.asarray(f).reshape(len(n), -1) for f, n in ((r.flat, r.labels), (r.other, r.other_labels)))
+                names, codes = np.unique(np.asarray(r.other_labels), return_inverse=True)
+                member = np.zeros((len(y), len(names)))
+                member[np.arange(len(y)), codes] = 1.0
+                total = np.empty((len(x), len(names)))
+                for lo in range(0, len(x), 256):
+                    p = x[lo : lo + 256]
+                    square = (p * p).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :] - 2.0 * p @ y.T
+                    total[lo : lo + 256] = np.sqrt(np.maximum(square, 0.0)) @ member
+                yield pd.DataFrame(
+                    {
+                        "k": np.repeat(np.asarray(r.keys), len(names)), "l": np.repeat(np.asarray(r.labels), len(names)),
+                        "other": np.tile(names, len(x)), "t": total.ravel(),
+                    }
+                )
+
+    pairs = tiles.join(shards, "lane").select("keys", "labels", "flat", "other_labels", "other")
+    partial = pairs.mapInPandas(measure, f"k {types['k']}, l {types['l']}, other {types['l']}, t double")
+    sums = partial.groupBy("k", "l", "other").agg(F.sum("t").alias("t"))
+    sizes = per_label(points.groupBy("l").agg(F.count(F.lit(1)).cast("double").alias("n")), "l", "n")
+    sized = sums.withColumn("n", F.try_element_at(sizes, F.col("other"))["n"])
+    own = F.col("other") == F.col("l")
+    row = sized.groupBy("k", "l").agg(
+        F.max(F.when(own, F.col("n"))).alias("n"), F.max(F.when(own, F.col("t"))).alias("t"), F.min(F.when(~own, F.col("t") / F.col("n"))).alias("b")
+    )
+    return _from_distances(row, "k", "l").withColumnsRenamed({"k": key, "l": label})
+
+
+def silhouette(df: DataFrame, features: str | Sequence[str], label: str, key: str) -> DataFrame:
+    """Mean Euclidean silhouette over all points; quadratic, see `silhouette_points`."""
+    return silhouette_points(df, features, label, key).agg(F.avg("s").alias("silhouette"))
 
 
 # ---- agreement of two labelings -----------------------------------------------------------------

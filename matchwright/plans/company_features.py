@@ -46,21 +46,6 @@ def company_visits(visits: DataFrame) -> DataFrame:
     )
 
 
-# Column order of the published table.
-COMPANY_COLUMNS = (
-    "Empresa_Id ESTADO_EMPRESA_CALCULADO ESTADO_EMPRESA Fecha_Inicio_Cobertura Fecha_Fin_Cobertura "
-    "Segmentacion_Arl_Desc Sector_Economico_Desc Actividad_Economica_Desc Ind_Afiliada Afiliados "
-    "Numero_Afiliados Ind_Multiregional Ruta_Atencion nivel_complejidad_calculado "
-    "GRUPO_ECONOMICO_ARL_ID UEN_PPAL_ARL_ID ID_PROFESIONAL_PPAL FLAG_SIN_PROFESIONAL "
-    "n_oc_historicas n_tareas_distintas_demandadas n_prestadores_distintos n_municipios_servicio "
-    "clasificacion_predominante_demanda costo_total_acumulado costo_total_prom_oc "
-    "costo_logistico_acumulado fecha_primera_oc fecha_ultima_oc n_citas_recibidas_2025 "
-    "n_citas_ejecutadas_2025 n_citas_canceladas_2025 n_cancela_como_cliente n_prestadores_2025 "
-    "n_tareas_distintas_2025 horas_servicio_recibidas_2025 tasa_ejecucion_recibida_2025 "
-    "tasa_cancela_como_cliente FLAG_SIN_DEMANDA_HISTORICA FLAG_EMPRESA_ACTIVA"
-).split()
-
-
 def company_table(companies: DataFrame, orders: DataFrame, visits: DataFrame) -> DataFrame:
     joined = companies.join(company_orders(orders), COMPANY, "left").join(company_visits(visits), COMPANY, "left")
     return joined.select(
@@ -70,4 +55,4 @@ def company_table(companies: DataFrame, orders: DataFrame, visits: DataFrame) ->
         ratio("n_cancela_como_cliente", "n_citas_canceladas_2025").alias("tasa_cancela_como_cliente"),
         F.col("n_oc_historicas").isNull().alias("FLAG_SIN_DEMANDA_HISTORICA"),
         (F.col("ESTADO_EMPRESA") != K.COMPANY_WITHDRAWN).alias("FLAG_EMPRESA_ACTIVA"),
-    ).select(*COMPANY_COLUMNS)
+    ).select(*K.COMPANY_COLUMNS)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
@@ -92,14 +93,15 @@ def pca_by_variance(df: DataFrame, columns: Sequence[str], target: float = K.PCA
 # ---- k-means --------------------------------------------------------------------------------------
 
 
-def best_kmeans(points: DataFrame, k: int, features: str, restarts: int, seed: int) -> KMeansModel:
-    """Lowest cost over seeded restarts."""
-    best = None
-    for r in range(restarts):
-        model = KMeans(k=k, featuresCol=features, predictionCol="label", seed=seed + r).fit(points)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+def best_kmeans(points: DataFrame, k: int, features: str, restarts: int, seed: int, side_by_side: int = 8) -> KMeansModel:
+    """Lowest cost over seeded restarts, which run side by side; ties go to the earlier seed."""
+
+    def fit(r: int) -> KMeansModel:
+        return KMeans(k=k, featuresCol=features, predictionCol="label", seed=seed + r).fit(points)
+
+    with ThreadPoolExecutor(max_workers=side_by_side) as pool:
+        models = list(pool.map(fit, range(restarts)))
+    return min(models, key=lambda m: m.summary.trainingCost)
 
 
 @dataclass
@@ -112,15 +114,17 @@ class GridEntry:
     cluster_sizes: list[int]
 
 
+# Columns of the grid table.
 GRID_SCHEMA = (
     "k int, silhouette double, calinski_harabasz double, davies_bouldin double, inertia double, "
     "cluster_sizes array<bigint>"
 )
 
 
-def evaluate_labels(labelled: DataFrame, features: str, key: str, limit: int | None) -> dict[str, float]:
+def evaluate_labels(labelled: DataFrame, features: str, key: str) -> dict[str, float]:
+    """Figures of one labelling over all points, each linear in their number."""
     return {
-        "silhouette": Q.silhouette(labelled, features, "label", key, limit).first()[0],
+        "silhouette": Q.squared_silhouette(labelled, features, "label", key).first()[0],
         "calinski_harabasz": Q.calinski_harabasz(labelled, features, "label").first()[0],
         "davies_bouldin": Q.davies_bouldin(labelled, features, "label").first()[0],
     }
@@ -133,7 +137,6 @@ def kmeans_grid(
     k_range: Sequence[int] = K.K_RANGE,
     restarts: int = K.KMEANS_RESTARTS,
     seed: int = K.SEED,
-    limit: int | None = Q.SILHOUETTE_LIMIT,
 ) -> tuple[DataFrame, dict[int, KMeansModel]]:
     """One row per k with quality figures, and the fitted models."""
     held = points.select(key, features).persist()
@@ -148,7 +151,7 @@ def kmeans_grid(
                     k=int(k),
                     inertia=float(model.summary.trainingCost),
                     cluster_sizes=[sizes.get(i, 0) for i in range(k)],
-                    **evaluate_labels(labelled, features, key, limit),
+                    **evaluate_labels(labelled, features, key),
                 )
             )
             models[int(k)] = model
@@ -177,10 +180,11 @@ def centroid_distance(labelled: DataFrame, centroids: DataFrame, features="x", l
 
     `centroids` has the label and `centre` (array), as many rows as there are groups.
     """
-    joined = Q.as_array(labelled, features).join(centroids.select(label, "centre"), label, "left")
-    own = F.sqrt(Q.squared_distance("x", "centre"))
-    return joined.withColumn(
-        "distance_to_centroid", F.when(F.col(label) == noise, F.lit(0.0)).otherwise(F.coalesce(own, F.lit(0.0)))
+    own = F.try_element_at(Q.per_label(centroids, label, "centre"), F.col(label))["centre"]
+    distance = F.coalesce(F.sqrt(Q.squared_distance("x", "centre")), F.lit(0.0))
+    placed = Q.as_array(labelled, features).withColumn("centre", own)
+    return placed.withColumn(
+        "distance_to_centroid", F.when(F.col(label) == noise, F.lit(0.0)).otherwise(distance)
     ).drop("centre")
 
 
@@ -195,19 +199,17 @@ def size_remap(labelled: DataFrame, label: str = "label", min_size: int = K.MIN_
 
 
 def suppress_small_clusters(labelled: DataFrame, label: str = "label", min_size: int = K.MIN_CLUSTER_SIZE):
-    return labelled.join(size_remap(labelled, label, min_size), label, "left")
+    return remapped(labelled, size_remap(labelled, label, min_size), label)
 
 
-# Descriptive columns of the published group table.
-CLUSTER_CONTEXT = (
-    "bloque_principal tipo_perfil tipo_red municipio_base sector_principal_atendido "
-    "segmento_principal_atendido etapa_predominante"
-).split()
+def remapped(labelled: DataFrame, remap: DataFrame, label: str = "label") -> DataFrame:
+    """Adds cluster_id from the k-row table label -> cluster_id, without a join."""
+    return labelled.withColumn("cluster_id", F.try_element_at(Q.per_label(remap, label, "cluster_id"), F.col(label))["cluster_id"])
 
 
 def cluster_table(matrix: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per provider: quarantined providers and small groups share cluster -1."""
-    return matrix.select(WHO, *CLUSTER_CONTEXT).join(
+    return matrix.select(WHO, *K.CLUSTER_CONTEXT).join(
         labels.select(WHO, "cluster_id", "distance_to_centroid"), WHO, "left"
     ).withColumns(
         {
@@ -246,10 +248,10 @@ class GroupingModel:
         """provider, cluster_id: outliers and members of small groups get -1."""
         prepared = model_matrix(matrix, self.features).select(WHO, *self.features)
         inliers = self._scored(prepared).where(F.col("outlier_score") >= self.cut).drop("outlier_score")
-        # stored, so that the label join below does not carry the whole chain of expressions
+        # stored, so that the model below does not carry the whole chain of expressions
         projected = stage(self.project(inliers).select(WHO, "projected"), "grouping-predicted")
         raw = self.kmeans.transform(projected).select(WHO, "label")
-        placed = raw.join(self.remap, "label", "left").select(WHO, "cluster_id")
+        placed = remapped(raw, self.remap).select(WHO, "cluster_id")
         return matrix.select(WHO).join(placed, WHO, "left").fillna(K.NOISE_CLUSTER, subset=["cluster_id"])
 
     def save(self, path: str) -> None:
@@ -315,11 +317,12 @@ def fit_grouping(
         [(i, [float(v) for v in c]) for i, c in enumerate(best.clusterCenters())], "label int, centre array<double>"
     )
     placed = stage(
-        centroid_distance(labelled, centres, "projected").join(remap, "label", "left").drop("x"), "grouping-labels"
+        remapped(centroid_distance(labelled, centres, "projected"), remap).drop("x"), "grouping-labels"
     )
     kept_rows = placed.where(F.col("cluster_id") != K.NOISE_CLUSTER)
     sizes = [r[1] for r in kept_rows.groupBy("cluster_id").count().orderBy("cluster_id").collect()]
     n_in = sum(chosen["cluster_sizes"])
+    # The names of the facts stored with a model.
     metadata = {
         "n_rows": n_rows,
         "n_inliers": n_in,
@@ -335,7 +338,7 @@ def fit_grouping(
         "n_kept_clusters": len(sizes),
         "kept_cluster_sizes": sizes,
         "silhouette_kept": (
-            Q.silhouette(kept_rows, "projected", "cluster_id", WHO).first()[0] if len(sizes) >= 2 else None
+            Q.squared_silhouette(kept_rows, "projected", "cluster_id", WHO).first()[0] if len(sizes) >= 2 else None
         ),
         "random_state": seed,
         "min_kept_cluster_size": min_size,

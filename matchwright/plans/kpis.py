@@ -290,18 +290,7 @@ def scenario_diff(rule: DataFrame, capped: DataFrame, providers: DataFrame) -> D
         .withColumn("cost_savings_annual_cop", F.col("costo_log_delta_abs") * F.col("n_orders_compared"))
         .withColumn("computed_at", F.date_trunc("second", F.current_timestamp()))
     )
-    return wide.select(*SCENARIO_COLUMNS)
-
-
-# Column order of the published table.
-SCENARIO_COLUMNS = (
-    "n_orders_compared n_orders_only_in_rule_based n_reassigned pct_reassigned "
-    "gini_load_rule_based gini_load_lp_optimized gini_delta_abs gini_delta_rel "
-    "score_total_mean_rule_based score_total_mean_lp_optimized score_delta_mean "
-    "score_delta_p25 score_delta_p50 score_delta_p75 costo_log_mean_rule_based "
-    "costo_log_mean_lp_optimized costo_log_delta_abs cost_savings_annual_cop "
-    "n_costo_log_null_rb n_costo_log_null_lp computed_at"
-).split()
+    return wide.select(*K.SCENARIO_COLUMNS)
 
 
 def scenario_diff_by_cluster(rule: DataFrame, capped: DataFrame, providers: DataFrame) -> DataFrame:

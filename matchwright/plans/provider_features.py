@@ -222,29 +222,6 @@ def profile(catalog: DataFrame, master: DataFrame, cutoff: str = K.TENURE_CUTOFF
 
 # ---- master supply table ------------------------------------------------------------------------
 
-# Column order of the published table.
-PROVIDER_COLUMNS = (
-    "DNI_PRESTADOR nombre_prestador dni_distribuidor nombre_distribuidor "
-    "tipo_perfil perfil_tarifa funcion_prestador clasificacion_predominante "
-    "n_habilitaciones n_tareas_distintas n_bloques_distintos n_productos_distintos "
-    "bloque_principal cdbloque_principal n_tareas_bloque_principal indice_especializacion "
-    "pct_tareas_nuevo_modelo pct_tareas_tratamiento n_tareas_con_maestro etapa_predominante "
-    "tipo_red es_red_estrategica cdoficina dsoficina n_redes cdmunicipio_base municipio_base "
-    "n_municipios_cobertura capacidad sin_capacidad antiguedad_dias fealta_prestador "
-    "n_programaciones_total n_citas_total pct_programaciones_campo n_citas_ejecutadas "
-    "n_citas_canceladas n_cancela_empresa n_cancela_prestador n_cancela_sin_motivo "
-    "n_cancela_real_prestador tasa_ejecucion tasa_cancelacion tasa_cancela_empresa "
-    "tasa_cancela_prestador tasa_cancela_real_prestador duracion_promedio_ejecutada "
-    "duracion_total_ejecutada n_duracion_nula_ejecutadas n_empresas_atendidas "
-    "n_tareas_distintas_ejecutadas n_municipios_destino sector_principal_atendido "
-    "segmento_principal_atendido pct_empresa_compleja n_informes_enviados n_informes_aprobados "
-    "n_aprobados_auto tasa_aprobacion_informe tasa_aprobacion_auto dias_ciclo_informe_prom "
-    "n_lineas_oc n_oc_historicas n_ordenes_distintas_prog costo_logistico_prom "
-    "costo_total_tarea_prom fecha_primera_oc fecha_ultima_oc utilizacion_capacidad "
-    "ratio_cobertura_real FLAG_SIN_ACTIVIDAD_2025 FLAG_SOLO_VIRTUAL_2025"
-).split()
-
-
 def join_profile_performance(profile_table: DataFrame, performance_table: DataFrame) -> DataFrame:
     out = profile_table.join(performance_table, PROVIDER, "left")
     return out.select(
@@ -253,21 +230,13 @@ def join_profile_performance(profile_table: DataFrame, performance_table: DataFr
         ratio("duracion_total_ejecutada", "capacidad").alias("utilizacion_capacidad"),
         F.col("n_citas_total").isNull().alias("FLAG_SIN_ACTIVIDAD_2025"),
         (F.col("n_citas_total") == 0).alias("FLAG_SOLO_VIRTUAL_2025"),
-    ).select(*PROVIDER_COLUMNS)
+    ).select(*K.PROVIDER_COLUMNS)
 
 
 def provider_table(catalog, master, visits, orders, companies, cutoff: str = K.TENURE_CUTOFF) -> DataFrame:
     return join_profile_performance(profile(catalog, master, cutoff), performance(visits, orders, companies))
 
 
-# Descriptive columns carried next to the features.
-CONTEXT = (
-    "bloque_principal clasificacion_predominante tipo_perfil tipo_red municipio_base dsoficina "
-    "nombre_distribuidor sector_principal_atendido segmento_principal_atendido "
-    "etapa_predominante n_tareas_con_maestro"
-).split()
-
-
 def grouping_matrix(providers: DataFrame) -> DataFrame:
     """Active providers with complete numeric features and their context."""
     active = providers.where(~F.col("FLAG_SIN_ACTIVIDAD_2025"))
@@ -277,5 +246,5 @@ def grouping_matrix(providers: DataFrame) -> DataFrame:
             "es_red_estrategica": F.col("es_red_estrategica").cast("double"),
         }
     )
-    typed = coded.select(PROVIDER, *[F.col(c).cast("double").alias(c) for c in K.FEATURES], *CONTEXT)
+    typed = coded.select(PROVIDER, *[F.col(c).cast("double").alias(c) for c in K.FEATURES], *K.CONTEXT)
     return typed.transform(A.impute_zero, K.ZERO_WHEN_MISSING).transform(A.impute_median, K.MEDIAN_WHEN_MISSING)

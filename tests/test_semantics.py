@@ -128,9 +128,12 @@ def test_unfilled_columns(spark):
     assert col(A.standardize(constant, ["v"]), "v") == [0.0, 0.0]
 
 
-def test_one_hot_refuses_too_many_levels(spark):
-    with pytest.raises(ValueError):
-        A.one_hot(spark.range(20).select(F.col("id").cast("string").alias("c")), ["c"], max_levels=5)
+def test_one_hot_vector_has_no_level_limit(spark):
+    df = spark.range(3000).select(F.when(F.col("id") > 0, F.col("id").cast("string")).alias("c"))
+    rows = A.one_hot_vector(df, ["c"]).collect()
+    assert {r.encoded.size for r in rows} == {2999}
+    assert sorted(len(r.encoded.indices) for r in rows) == [0] + [1] * 2999
+    assert len({tuple(r.encoded.indices) for r in rows}) == 3000
 
 
 def test_text_format_and_bad_rows(spark, tmp_path):

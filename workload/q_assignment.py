@@ -247,7 +247,7 @@ def conservation_checks(t: Tables):
     coalesce(avg(k_rb), 0) AS k1, coalesce(avg(k_lp), 0) AS k2, count(*) FILTER (WHERE k_rb IS NULL) AS z1, count(*) FILTER (WHERE k_lp IS NULL) AS z2 FROM o_scen)""",
     rounds=[
         c
-        for c in P.SCENARIO_COLUMNS
+        for c in K.SCENARIO_COLUMNS
         if c not in ("n_orders_compared", "n_orders_only_in_rule_based", "n_reassigned", "n_costo_log_null_rb", "n_costo_log_null_lp", "computed_at")
     ],
     digits=5,

@@ -1,5 +1,6 @@
 """Outlier quarantine, scaling, PCA, k-means, quality figures and group descriptions."""
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def outlier_quarantine_providers(t: Tables):
     return OF.outlier_quarantine(prepared, G.WHO, FEATURES).select(G.WHO, "outlier_score", "is_inlier")
 
 
-SCALED = FEATURES[:6]
+SCALED = FEATURES
 
 
 @query(
@@ -74,15 +75,32 @@ def robust_scale(t: Tables):
 def robust_scale_sketch(t: Tables):
     df = wide(t)
     fitted = G.robust_scaler(AXES).fit(df)
-    return fitted.transform(df).select("vec_id", vector_to_array("scaled").alias("scaled")).select("vec_id", F.get("scaled", F.lit(0)).alias("e0"))
+    return fitted.transform(df).select("vec_id", vector_to_array("scaled").alias("scaled")).select("vec_id", *[F.get("scaled", F.lit(i)).alias(a) for i, a in enumerate(AXES)])
 
 
 @query("pca_by_variance")
 def pca_by_variance(t: Tables):
+    """All kept axes of every point, in long form."""
     df = wide(t)
     model, n, kept = G.pca_by_variance(df, AXES)
     out = model.transform(df).select("vec_id", vector_to_array("projected").alias("p"))
-    return out.select("vec_id", F.lit(n).alias("n_components"), F.lit(kept).alias("variance"), F.get("p", F.lit(0)).alias("p0"))
+    return out.select("vec_id", F.lit(n).alias("n_components"), F.lit(kept).alias("variance"), F.posexplode("p").alias("axis", "value"))
+
+
+@query(
+    "pca_identities",
+    "SELECT (SELECT sum(v) FROM (SELECT var_samp(v) AS v FROM o_points GROUP BY d)) AS total_variance, 0.0 AS largest_covariance",
+    rounds=["total_variance", "largest_covariance"],
+)
+def pca_identities(t: Tables):
+    """The axes keep the whole variance and do not vary together: one pass over all pairs of axes."""
+    df = wide(t)
+    model, _, _ = G.pca_by_variance(df, AXES)
+    rotated = model.transform(df).select("vec_id", F.posexplode(vector_to_array("rotated")).alias("axis", "v"))
+    other = rotated.select("vec_id", F.col("axis").alias("axis2"), F.col("v").alias("v2"))
+    cov = rotated.join(other, "vec_id").where("axis <= axis2").groupBy("axis", "axis2").agg(F.covar_samp("v", "v2").alias("c"))
+    same = F.col("axis") == F.col("axis2")
+    return cov.agg(F.sum(F.when(same, F.col("c"))).alias("total_variance"), F.max(F.when(~same, F.abs("c"))).alias("largest_covariance"))
 
 
 def projected(t: Tables):
@@ -93,7 +111,7 @@ def projected(t: Tables):
 
 @query("kmeans_grid")
 def kmeans_grid(t: Tables):
-    grid, _ = G.kmeans_grid(projected(t), key="vec_id", restarts=2)
+    grid, _ = G.kmeans_grid(projected(t), key="vec_id")
     return grid
 
 
@@ -107,6 +125,18 @@ def silhouette_points(t: Tables):
     return Q.silhouette_points(points(t), "x", "label", "vec_id")
 
 
+@query(
+    "squared_silhouette_points",
+    """SELECT i.vec_id, i.label, CASE WHEN i.n = 0 OR greatest(i.a, o.b) = 0 THEN 0.0 ELSE (o.b - i.a) / greatest(i.a, o.b) END AS s FROM (
+    SELECT vec_id, label, count(*) FILTER (WHERE apart) AS n, coalesce(avg(dist * dist) FILTER (WHERE apart), 0) AS a FROM o_pairs WHERE label = other GROUP BY 1, 2) i JOIN (
+    SELECT vec_id, min(m) AS b FROM (SELECT vec_id, other, avg(dist * dist) AS m FROM o_pairs WHERE label <> other GROUP BY 1, 2) GROUP BY 1) o ON i.vec_id = o.vec_id""",
+    rounds=["s"],
+    digits=5,
+)
+def squared_silhouette_points(t: Tables):
+    return Q.squared_silhouette_points(points(t), "x", "label", "vec_id")
+
+
 @query("silhouette", "SELECT avg(s) AS silhouette FROM o_sil", rounds=["silhouette"])
 def silhouette(t: Tables):
     return Q.silhouette(points(t), "x", "label", "vec_id")
@@ -169,11 +199,15 @@ def suppress_small_clusters(t: Tables):
     return G.suppress_small_clusters(df, min_size=1300).drop("label")
 
 
-SMALL = dict(k_range=(3, 4, 5), restarts=2, min_size=5, min_kept=2)
+_FITTED: dict[tuple[str, str], tuple] = {}
 
 
 def fitted(t: Tables):
-    return G.fit_grouping(matrix(t), **SMALL)
+    """The full fit (k 3..10, 20 restarts), once per application and dataset; only the size limits are set for few providers."""
+    name = (t.spark.sparkContext.applicationId, t.root)
+    if name not in _FITTED:
+        _FITTED[name] = G.fit_grouping(matrix(t), min_size=5, min_kept=2)
+    return _FITTED[name]
 
 
 @query("cluster_table")
@@ -199,18 +233,44 @@ def predict_clusters(t: Tables):
     return model.predict(matrix(t)).join(first, G.WHO, "left").fillna(-1, subset=["fitted_id"])
 
 
-@query("kmeans_fixed")
-def kmeans_fixed(t: Tables):
-    """k = 4 on standardised numbers and one-hot categories of the task table."""
-    df = t.visits.select("DNI_PRESTADOR", "TIPO_PROGRAMACION", "DSESTADO_PROGRAMACION", "DURACION")
+@query("cluster_table_keys", "SELECT DNI_PRESTADOR FROM o_matrix")
+def cluster_table_keys(t: Tables):
+    """Every provider of the matrix has exactly one row in the group table."""
+    _, labels = fitted(t)
+    return G.cluster_table(matrix(t), labels).select(G.WHO)
+
+
+@query("predict_agreement", "SELECT count(*) AS n, count(*) AS n_agree FROM o_matrix")
+def predict_agreement(t: Tables):
+    """The stored and reloaded model gives all training providers their training label."""
+    model, labels = fitted(t)
+    path = scratch_path(t.spark, "model")
+    model.save(path)
+    first = labels.select(G.WHO, F.col("cluster_id").alias("fitted_id"))
+    both = G.GroupingModel.load(t.spark, path).predict(matrix(t)).join(first, G.WHO, "left").fillna(-1, subset=["fitted_id"])
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("cluster_id") == F.col("fitted_id")).alias("n_agree"))
+
+
+@query("outlier_counts", "SELECT count(*) AS n, cast(ceil(0.03 * (count(*) - 1)) AS bigint) AS n_outliers FROM embeddings")
+def outlier_counts(t: Tables):
+    """Below the interpolated 3 % quantile of n different scores lie ceil(0.03 (n - 1)) rows."""
+    out = OF.outlier_quarantine(wide(t), "vec_id", AXES)
+    return out.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("is_inlier")).alias("n_outliers"))
+
+
+def encoded_visits(t: Tables):
+    df = t.visits.select("DNI_PRESTADOR", "NMCONSECUTIVO_ORDEN", "TIPO_PROGRAMACION", "DSESTADO_PROGRAMACION", "DURACION")
     df = A.standardize(df, ["DURACION"])
-    df = A.one_hot(df, ["TIPO_PROGRAMACION", "DSESTADO_PROGRAMACION"])
-    cols = [c for c in df.columns if c != "DNI_PRESTADOR"]
-    from pyspark.ml.feature import VectorAssembler
+    return A.one_hot_vector(df, ["TIPO_PROGRAMACION", "DSESTADO_PROGRAMACION"])
 
-    rows = VectorAssembler(inputCols=cols, outputCol="v").transform(df).select("DNI_PRESTADOR", "v")
-    model = G.best_kmeans(rows, 4, "v", restarts=1, seed=K.SEED)
-    return model.transform(rows).groupBy(F.col("label").alias("CLUSTER_ASIGNADO")).agg(F.count(F.lit(1)).alias("n"))
+
+@query("kmeans_fixed")
+def kmeans_fixed(t: Tables):
+    """k = 4 on standardised numbers and one-hot categories of the task table: a label per row."""
+    rows = VectorAssembler(inputCols=["DURACION", "encoded"], outputCol="v").transform(encoded_visits(t))
+    rows = rows.select("DNI_PRESTADOR", "NMCONSECUTIVO_ORDEN", "v").persist()
+    model = G.best_kmeans(rows, 4, "v", restarts=K.KMEANS_RESTARTS, seed=K.SEED)
+    return model.transform(rows).select("DNI_PRESTADOR", "NMCONSECUTIVO_ORDEN", F.col("label").alias("CLUSTER_ASIGNADO"))
 
 
 PROFILE = (
@@ -295,10 +355,31 @@ def ari(t: Tables):
     return Q.ari(t.clusters, "cluster_id", "alt_cluster")
 
 
-@query("compare_labelings", f"SELECT (SELECT count(*) FROM fx_clusters) AS n_common, {NMI} AS nmi, {ARI} AS ari", rounds=["nmi", "ari"])
+@query(
+    "compare_labelings",
+    f"""SELECT 'ours' AS part, a, NULL::varchar AS b, sum(n)::double AS value FROM o_cells GROUP BY a UNION ALL SELECT 'alt', NULL, b, sum(n)::double FROM o_cells GROUP BY b
+    UNION ALL SELECT 'confusion', x.a, y.b, coalesce(c.n, 0)::double FROM (SELECT DISTINCT a FROM o_cells) x CROSS JOIN (SELECT DISTINCT b FROM o_cells) y LEFT JOIN o_cells c ON c.a = x.a AND c.b = y.b
+    UNION ALL SELECT 'n_common', NULL, NULL, (SELECT count(*) FROM fx_clusters)::double UNION ALL SELECT 'nmi', NULL, NULL, {NMI} UNION ALL SELECT 'ari', NULL, NULL, {ARI}""",
+    rounds=["value"],
+)
 def compare_labelings(t: Tables):
+    """All four tables of the comparison in long form."""
     other = t.clusters.select(G.WHO, F.col("alt_cluster").alias("cluster_id"))
-    return Q.compare_labelings(t.clusters, other)["agreement"]
+    r = Q.compare_labelings(t.clusters, other)
+    none = F.lit(None).cast("int")
+    text = F.lit(None).cast("string")
+    table = r["confusion"]
+    labels = [c for c in table.columns if c != "cluster_ours"]
+    parts = [
+        r["distribution_ours"].select(F.lit("ours").alias("part"), F.col("value").alias("a"), text.alias("b"), F.col("n").cast("double").alias("value")),
+        r["distribution_alt"].select(F.lit("alt"), none, "value", F.col("n").cast("double")),
+        table.unpivot(["cluster_ours"], labels, "b", "n").select(F.lit("confusion"), "cluster_ours", "b", F.col("n").cast("double")),
+        *[r["agreement"].select(F.lit(c), none, text, F.col(c).cast("double")) for c in ("n_common", "nmi", "ari")],
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
 
 
 @query(

@@ -444,7 +444,7 @@ def standardize(t: Tables):
     "CASE WHEN TIPO_DE_RED = 'ESTRATEGICA' THEN 1 ELSE 0 END AS TIPO_DE_RED_ESTRATEGICA FROM fx_catalogo",
 )
 def one_hot(t: Tables):
-    return A.one_hot(t.catalog.select("DNI_PRESTADOR", "CDTAREA", "TIPO_DE_RED"), ["TIPO_DE_RED"])
+    return A.one_hot(t.catalog.select("DNI_PRESTADOR", "CDTAREA", "TIPO_DE_RED"), {"TIPO_DE_RED": ["APOYO", "ESTRATEGICA"]})
 
 
 @query("sanitize_column_names", "SELECT s_suppkey AS clave_n, s_name AS Direccion_y_Ano, s_nationkey AS Pais_ FROM supplier")
