@@ -35,13 +35,13 @@ def _decoded(words: list[bytes], table: pa.Array) -> list[bytes]:
     return [x.encode() for x in pc.binary_join(joined, " ").to_pylist()]
 
 
-def digests(docs: DataFrame, tokenizer_json: str, keep_ids: bool = False) -> DataFrame:
+def digests(docs: DataFrame, tokenizer_json: str, keep_ids: bool = False, stored: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids) of every whole text.
 
     Ids are those of encoding the text without special tokens; the decoded text is what the
     tokenizer makes of them without a decoder step: pieces joined by blanks. Null and empty
     texts have no tokens; every row gives one row, repeated ids and texts included; other
-    columns are not read.
+    columns are not read. `stored` is that of `wordtable.encoded`.
     """
     # as many pieces as the vocabulary has, whatever the data
     table = docs.sparkSession.sparkContext.broadcast(pieces(tokenizer_json))
@@ -72,7 +72,7 @@ def digests(docs: DataFrame, tokenizer_json: str, keep_ids: bool = False) -> Dat
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
-    return encoded(docs, tokenizer_json).select("docs", "sizes", "codes", "found").mapInArrow(run, schema)
+    return encoded(docs, tokenizer_json, stored=stored).select("docs", "sizes", "codes", "found").mapInArrow(run, schema)
 
 
 def decode(ids: DataFrame, tokenizer_json: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,10 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from matchwright.llm.texts import slices
+from matchwright.llm.texts import slices, tidy
 from matchwright.session import stage
 
-BLOCKS = "docs array<long>, sizes array<int>, codes binary, words array<string>, n_words long"
+BLOCKS = "docs array<long>, sizes array<int>, codes binary, words binary"
 PARTS = "bucket int, block long, codes binary, words binary"
 FOUND = "block long, codes binary, lengths binary, ids binary"
 #: Trailing marks that a word ending in a letter or digit is encoded without; they never join the letters before them.
@@ -51,7 +52,7 @@ def _binary(numbers: list[bytes]) -> pa.Array:
     return pa.array(numbers, pa.binary())
 
 
-def blocks(docs: DataFrame, size: int = 12 << 20) -> DataFrame:
+def blocks(docs: DataFrame, size: int = 6 << 20) -> DataFrame:
     """Documents in blocks of about `size` bytes of text: their ids, words per document, word numbers and word list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,11 +66,12 @@ def blocks(docs: DataFrame, size: int = 12 << 20) -> DataFrame:
                         pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
                         pa.array([pc.list_value_length(lists).to_numpy(zero_copy_only=False)], pa.list_(pa.int32())),
                         _binary([pack(words.indices.to_numpy())]),
-                        pa.ListArray.from_arrays(pa.array([0, len(words.dictionary)], pa.int32()), words.dictionary),
-                        pa.array([len(words.dictionary)], pa.int64()),
+                        _binary([zstandard.ZstdCompressor(level=1).compress("\n".join(words.dictionary.to_pylist()).encode())]),
                     ],
-                    ["docs", "sizes", "codes", "words", "n_words"],
+                    ["docs", "sizes", "codes", "words"],
                 )
+                del text, lists, words
+                tidy()
 
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return cut.mapInArrow(run, BLOCKS).withColumn("block", F.monotonically_increasing_id())
@@ -81,9 +83,7 @@ def _route(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, words in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = words.values
-                if not len(words):
-                    continue
+                words = pa.array(zstandard.ZstdDecompressor().decompress(words.as_py()).decode().split("\n"), pa.string())
                 body = pc.ascii_rtrim(pc.ascii_lower(words), characters=MARKS)
                 bucket = (pd.util.hash_array(np.array(body.to_pylist(), dtype=object), categorize=False) % parts).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
@@ -97,6 +97,8 @@ def _route(parts: int):
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
                     ["bucket", "block", "codes", "words"],
                 )
+                del words, body, ordered, rows
+                tidy()
 
     return run
 
@@ -111,39 +113,49 @@ def _tokenizer(text: str) -> Tokenizer:
 
 def encode_words(tokenizer: Tokenizer, words: list[str]) -> list[bytes]:
     """Ids of each word as little-endian 32-bit numbers; every distinct body and run of marks is encoded once."""
-    cut = []
-    for word in words:
-        if AS_IS.search(word):
-            cut.append((word, ""))
-            continue
-        word = word.translate(UPPER)
-        body = word.rstrip(MARKS)
-        cut.append((body, word[len(body) :]) if PLAIN_END.search(body) else (word, ""))
-    forms = list({x for pair in cut for x in pair})
-    ids = {}
-    for s in range(0, len(forms), 4096):
-        part = forms[s : s + 4096]
-        for form, code in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-            ids[form] = np.array(code.ids, "<u4").tobytes()
-    return [ids[body] + ids[marks] for body, marks in cut]
-
-
-def encoded(docs: DataFrame, tokenizer_json: str, block_bytes: int = 12 << 20, bucket_words: int = 250_000) -> DataFrame:
-    """One row per block: docs, sizes, codes and `found`, the parts that give each word number its ids.
-
-    The word lists of the blocks are dealt by word to as many buckets as hold about
-    `bucket_words` of them. A word that every document has is one entry per block there, so
-    no word is a hot key. `found` has at most the words of the block.
+    ids: dict[str, bytes] = {"": b""}
+    out: list[bytes] = []
+    for s in range(0, len(words), 16384):
+        cut = []
+        for word in words[s : s + 16384]:
+            if AS_IS.search(word):
+                cut.append((word, ""))
+                continue
+            word = word.translate(UPPER)
+            body = word.rstrip(MARKS)
+            cut.append((body, word[len(body) :]) if PLAIN_END.search(body) else (word, ""))
+        forms = [x for x in {x for pair in cut for x in pair} if x not in ids]
+        for f in range(0, len(forms), 2048):
+            part = forms[f : f + 2048]
+            for form, code in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                ids[form] = struct.pack(f"<{len(code.ids)}I", *code.ids)
+        out += [ids[body] + ids[marks] for body, marks in cut]
+    return out
+
+
+def encoded(
+    docs: DataFrame, tokenizer_json: str, block_bytes: int = 6 << 20, bucket_bytes: int = 10 << 20, stored: bool = True
+) -> DataFrame:
+    """One row per block: block, docs, sizes, codes and `found`, the parts that give each word number its ids.
+
+    The word lists of the blocks are dealt by word to as many buckets as the texts hold
+    `bucket_bytes`. A word that every document has is one entry per block there, so no word
+    is a hot key. `found` has at most the words of the block. The blocks are needed twice:
+    they are stored, or, with stored=False, cut twice from the texts, which takes more time
+    and less disk; `docs` must then be a stored table, read in the same order each time.
     """
     spark = docs.sparkSession
-    rows = stage(blocks(docs, block_bytes), "word-blocks")
-    total = rows.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
-    parts = max(1, math.ceil(total / bucket_words))
+    rows = blocks(docs, block_bytes)
+    if stored:
+        rows = stage(rows, "word-blocks")
+    total = docs.agg(F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0))).first()[0]
+    parts = max(1, math.ceil(total / bucket_bytes))
     vocabulary = spark.sparkContext.broadcast(tokenizer_json)  # the tokenizer file: its size does not depend on the data
 
     def encode(group: pa.Table) -> pa.Table:
         press, expand = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
         lists = [expand.decompress(w).decode().split("\n") for w in group.column("words").to_pylist()]
+        tidy()
         every = pa.array([w for words in lists for w in words], pa.string()).dictionary_encode()
         ids = encode_words(_tokenizer(vocabulary.value), every.dictionary.to_pylist())
         index, at, out = every.indices.to_numpy(), 0, ([], [])
@@ -163,6 +175,7 @@ def encoded(docs: DataFrame, tokenizer_json: str, block_bytes: int = 12 << 20, b
 def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
     """The rows of a batch, one at a time."""
     for i in range(batch.num_rows):
+        tidy()
         yield batch.slice(i, 1).to_pylist()[0]
 
 
