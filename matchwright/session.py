@@ -48,3 +48,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def discard(spark: SparkSession, tables: list[DataFrame]) -> None:
+    """Delete staged tables that nothing reads any more (their files below the scratch folder only)."""
+    root = scratch_root(spark)
+    folders = {f.rsplit("/", 1)[0] for t in tables for f in t.inputFiles()}
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getParent().toUri().getPath().rstrip("/") == spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/"):
+            path.getFileSystem(hadoop).delete(path, True)

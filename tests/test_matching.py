@@ -26,8 +26,8 @@ def instance(seed, orders, providers, levels, per_order=6):
 def greedy(spark, rows, cap):
     """Orders per (candidate list, provider) when pairs are taken one by one in the same strict order."""
     df = spark.createDataFrame(rows, SCHEMA)
-    folded = M._fold_orders(df, M.K.ORDER_KEY).select(
-        "dni_empresa", "sig_a", "sig_b", "cands", F.pmod("sig_a", F.lit(M._SLOTS)).alias("slot")
+    folded = M.fold_orders(df, M.K.ORDER_KEY).select(
+        "dni_empresa", "sig_a", "sig_b", "cands", F.pmod("sig_a", F.lit(M.SLOTS)).alias("slot")
     )
     pairs, sig_of = [], {}
     for r in folded.collect():

@@ -135,6 +135,29 @@ def assign_overflow_fallback(t: Tables):
     return capped(t).where(F.col("overflow"))
 
 
+@query(
+    "assign_capacitated_stability",
+    "SELECT (SELECT count(*) FROM (SELECT DISTINCT dni_empresa, codigo_tarea, cd_municipio_destino FROM o_top10)) AS n_orders, "
+    "0::bigint AS n_above_cap, 0::bigint AS n_blocking",
+)
+def assign_capacitated_stability(t: Tables):
+    """Under one strict order the stable matching is unique: every order once, nobody above the
+    cap, and no order and listed provider that both prefer each other to what they have."""
+    done, ranked, key = capped(t), top10(t), list(K.ORDER_KEY)
+    cap = M.capacity_cap(ranked).select("cap").scalar()
+    who = M.fold_orders(ranked, key).select(*key, "sig_a", "sig_b", F.pmod("sig_a", F.lit(M.SLOTS)).alias("slot"))
+    standing = F.struct((-F.col("score_total")).alias("loss"), "slot", "sig_a", "sig_b")
+    held = done.where(~F.col("overflow")).select(*key, "dni_prestador", "score_total").join(who, key)
+    loads = held.groupBy("dni_prestador").agg(F.count(F.lit(1)).alias("n"), F.max(standing).alias("worst"))
+    mine = done.select(*key, F.when(~F.col("overflow"), F.struct((-F.col("score_total")).alias("loss"), "dni_prestador")).alias("have"))
+    pairs = ranked.select(*key, "dni_prestador", "score_total").join(mine, key).join(who, key).join(loads, "dni_prestador", "left")
+    wants = F.col("have").isNull() | (F.struct((-F.col("score_total")).alias("loss"), "dni_prestador") < F.col("have"))
+    takes = F.col("n").isNull() | (F.col("n") < cap) | (standing < F.col("worst"))
+    keys = done.select(*key).distinct().agg(F.count(F.lit(1))).scalar()
+    above = loads.where(F.col("n") > cap).agg(F.count(F.lit(1))).scalar()
+    return pairs.agg(keys.alias("n_orders"), above.alias("n_above_cap"), F.count_if(wants & takes).alias("n_blocking"))
+
+
 @query(
     "assign_capacitated_totals",
     "SELECT 'lp_optimized' AS scenario, (SELECT count(*) FROM o_assign) AS n_orders, true AS within_cap",
