@@ -15,56 +15,113 @@ DELIMITERS = ("\t", "|", "~", ";", ",")
 _NAMES = {"\t": "tab", "|": "pipe", "~": "tilde", ";": "semicolon", ",": "comma"}
 
 
-def delimiter_evidence(lines: DataFrame, column: str = "value") -> DataFrame:
-    """delimiter, mean and variance of its count per non-blank line, share of valid UTF-8."""
-    text = F.col(column)
-    kept = lines.where(F.length(F.btrim(text)) > 0)
-    counts = {
-        _NAMES[d]: (F.length(text) - F.length(F.replace(text, F.lit(d), F.lit("")))).cast("double") for d in DELIMITERS
-    }
-    stats = kept.select(*[c.alias(n) for n, c in counts.items()]).agg(
-        *[F.avg(n).alias(f"{n}_avg") for n in counts], *[F.var_pop(n).alias(f"{n}_var") for n in counts]
+def _unquoted(text: Column) -> Column:
+    """The line without what stands in double quotes; a quote left open hides the rest of the line."""
+    return F.regexp_replace(F.regexp_replace(text, '"[^"]*"', ""), '"[^"]*$', "")
+
+
+def _count(text: Column, delimiter: str) -> Column:
+    return (F.length(text) - F.length(F.replace(text, F.lit(delimiter), F.lit("")))).cast("double")
+
+
+def text_evidence(spark: SparkSession, path: str) -> DataFrame:
+    """Per file below the path: its first line, lines, validity as UTF-8, and sums of every delimiter's counts per line.
+
+    One pass over the text. The first line is the least row of the file's first block.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("id"),
+    )
+    plain = _unquoted(F.col("value"))
+    counted = lines.select("*", *[_count(plain, d).alias(_NAMES[d]) for d in DELIMITERS])
+    filled = F.length(F.btrim("value")) > 0
+    sums = []
+    for name in _NAMES.values():
+        sums += [F.sum(F.when(filled, F.col(name))).alias(f"{name}_sum"), F.sum(F.when(filled, F.col(name) * F.col(name))).alias(f"{name}_sq")]
+    head = F.min_by("value", F.when(F.col("start") == 0, F.col("id"))).alias("header")
+    return counted.groupBy("file").agg(
+        head, F.count_if(filled).alias("lines"), F.bool_and(F.is_valid_utf8("value")).alias("utf8"), *sums
     )
+
+
+def delimiter_evidence(files: DataFrame) -> DataFrame:
+    """delimiter, mean and variance of its count per non-blank line, whether every file's first line has it, all text valid UTF-8."""
+    headed = {n: F.bool_and(_count(_unquoted(F.col("header")), d) > 0).alias(f"{n}_head") for d, n in _NAMES.items()}
+    stats = files.agg(
+        F.sum("lines").alias("n"), F.bool_and("utf8").alias("utf8"), *headed.values(),
+        *[F.sum(f"{n}_{k}").alias(f"{n}_{k}") for n in _NAMES.values() for k in ("sum", "sq")],
+    )
     rows = F.array(
         *[
             F.struct(
-                F.lit(_NAMES[d]).alias("delimiter"),
-                F.col(f"{_NAMES[d]}_avg").alias("mean_count"),
-                F.col(f"{_NAMES[d]}_var").alias("variance"),
+                F.lit(n).alias("delimiter"),
+                (F.col(f"{n}_sum") / F.col("n")).alias("mean_count"),
+                (F.col(f"{n}_sq") / F.col("n") - F.pow(F.col(f"{n}_sum") / F.col("n"), 2)).alias("variance"),
+                F.coalesce(F.col(f"{n}_head"), F.lit(False)).alias("in_header"),
+                F.col("utf8").alias("utf8"),
                 F.lit(i).alias("preference"),
             )
-            for i, d in enumerate(DELIMITERS)
+            for i, n in enumerate(_NAMES.values())
         ]
     )
-    return stats.select(F.explode(rows).alias("r")).select("r.*")
+    return stats.where(F.col("n") > 0).select(F.explode(rows).alias("r")).select("r.*")
+
+
+def _best_format(files: DataFrame) -> DataFrame:
+    best = delimiter_evidence(files).where("in_header").orderBy(F.desc("mean_count"), "variance", "preference").limit(1)
+    charset = F.when(F.col("utf8"), F.lit("UTF-8")).otherwise(F.lit("ISO-8859-1"))
+    return best.select("delimiter", charset.alias("charset"))
 
 
 def infer_text_format(spark: SparkSession, path: str) -> DataFrame:
-    """One row: delimiter and charset of the text files below a path.
+    """One row: delimiter and charset of the text files below a path (no row if no delimiter fits).
 
-    The delimiter with the highest mean count per line wins, then the lowest variance. Text
-    that is not valid UTF-8 is taken as ISO-8859-1.
+    Only delimiters that occur in every file's first line count, outside quotes; of those the
+    highest mean count per line wins, then the lowest variance. Text that is not valid UTF-8
+    is taken as ISO-8859-1.
     """
-    lines = spark.read.text(path)
-    scored = delimiter_evidence(lines).where(F.col("mean_count") > 0)
-    best = scored.orderBy(F.desc("mean_count"), "variance", "preference").limit(1)
-    valid = lines.agg(F.min(F.is_valid_utf8("value")).alias("ok")).scalar()
-    charset = F.when(valid, F.lit("UTF-8")).otherwise(F.lit("ISO-8859-1"))
-    return best.select("delimiter", F.coalesce(charset, F.lit("UTF-8")).alias("charset"))
+    return _best_format(text_evidence(spark, path))
 
 
 def read_delimited_strings(
-    spark: SparkSession, path: str, delimiter: str | None = None, charset: str | None = None
+    spark: SparkSession,
+    path: str,
+    delimiter: str | None = None,
+    charset: str | None = None,
+    columns: Sequence[str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Delimited text with a header; every column a string, damaged rows kept with nulls."""
+    """Delimited text with a header; every column a string, damaged rows kept with nulls.
+
+    Fields may be quoted, with doubled quotes inside. With multi_line, quoted fields may hold
+    line breaks; such files are not split, so a large table should come in many files.
+    `columns` are the expected names in order; without them the files must agree on their
+    first line. A file with another header is an error, as columns would be mixed up.
+    """
+    files = text_evidence(spark, path)
     if delimiter is None or charset is None:
-        found = infer_text_format(spark, path).first()
+        found = _best_format(files).first()
         names = {v: k for k, v in _NAMES.items()}
         delimiter = delimiter or (names[found["delimiter"]] if found else ",")
         charset = charset or (found["charset"] if found else "UTF-8")
-    return spark.read.csv(
-        path, sep=delimiter, encoding=charset, header=True, inferSchema=False, mode="PERMISSIVE"
-    )
+    head = F.translate(F.regexp_replace("header", "^\ufeff", ""), '"\r', "")
+    heads = files.where(F.col("header").isNotNull()).groupBy(F.encode(head, "UTF-8").alias("h")).agg(F.min(head).alias("head"), F.min("file").alias("file"))
+    if columns is not None:
+        wrong = heads.where(F.col("head") != F.lit(delimiter.join(columns))).limit(1).collect()
+        if wrong:
+            raise ValueError(f"{wrong[0]['file']} has the columns {wrong[0]['head'].split(delimiter)}, expected {list(columns)}")
+    else:
+        two = heads.orderBy("file").limit(2).collect()
+        if len(two) > 1:
+            raise ValueError(f"files differ in their columns: {two[0]['file']} has {two[0]['head']!r}, {two[1]['file']} has {two[1]['head']!r}")
+    reader = spark.read.option("sep", delimiter).option("encoding", charset).option("header", True).option("mode", "PERMISSIVE")
+    reader = reader.option("quote", '"').option("escape", '"').option("multiLine", multi_line).option("inferSchema", False)
+    if columns is not None:
+        reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
+    return reader.csv(path)
 
 
 def parse_text_table(raw: DataFrame, columns: Sequence[str], delimiter: str = "\t") -> DataFrame:

@@ -209,3 +209,34 @@ def test_roles(spark):
     df = spark.createDataFrame([(None,), ("",), ("Riesgos y Proyectos",), ("prevención",), ("Línea de atención",)], "r string")
     assert col(df.select(X.advisor_role("r").alias("o")), "o") == ["Otros / Especiales", "Otros / Especiales", "Mixto (Core)", "Prevención", "Otros / Especiales"]
     assert col(df.select(X.provider_function("r").alias("o")), "o") == ["OTROS", "OTROS", "MIXTO", "PREVENCION", "LINEA DE ATENCION"]
+
+
+def test_delimiter_must_stand_in_the_header(spark, tmp_path):
+    path = tmp_path / "p"
+    path.mkdir()
+    (path / "a.txt").write_text("a|b\nx, y, z, w|1\nk, l, m, n|2\n")
+    assert SR.infer_text_format(spark, str(path)).first()["delimiter"] == "pipe"
+    (path / "a.txt").write_text('a;b\n"x|y|z";1\n"k|l|m";2\n')
+    assert SR.infer_text_format(spark, str(path)).first()["delimiter"] == "semicolon"
+
+
+def test_quoted_fields(spark, tmp_path):
+    path = tmp_path / "q"
+    path.mkdir()
+    (path / "a.csv").write_text('id,motivo\n1,"dos\nlineas, con coma"\n2,"dijo ""no"""\n')
+    rows = SR.read_delimited_strings(spark, str(path), ",", "UTF-8", multi_line=True).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [("1", "dos\nlineas, con coma"), ("2", 'dijo "no"')]
+
+
+def test_swapped_columns_are_refused(spark, tmp_path):
+    path = tmp_path / "s"
+    path.mkdir()
+    (path / "a.csv").write_text("id,n\n1,2\n")
+    (path / "b.csv").write_text("n,id\n2,1\n")
+    with pytest.raises(ValueError, match="columns"):
+        SR.read_delimited_strings(spark, str(path), ",", "UTF-8")
+    with pytest.raises(ValueError, match="columns"):
+        SR.read_delimited_strings(spark, str(path), ",", "UTF-8", columns=["id", "n"])
+    (path / "b.csv").write_text("id,n\n3,4\n")
+    rows = SR.read_delimited_strings(spark, str(path), ",", "UTF-8", columns=["id", "n"]).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [("1", "2"), ("3", "4")]

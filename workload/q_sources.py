@@ -86,14 +86,42 @@ def infer_text_format(t: Tables):
 
 @query(
     "delimiter_evidence",
-    """SELECT delimiter, mean_count, variance, preference FROM (
-    SELECT 'tab' AS delimiter, avg(length(p_name) - length(replace(p_name, chr(9), ''))) AS mean_count, 0.0 AS variance, 0 AS preference FROM part
-    UNION ALL SELECT 'pipe', avg(length(v) - length(replace(v, '|', ''))), var_pop(length(v) - length(replace(v, '|', ''))), 1 FROM (SELECT p_name || '|' || p_brand || '|' || p_type AS v FROM part)
-    UNION ALL SELECT 'tilde', 0.0, 0.0, 2 UNION ALL SELECT 'semicolon', 0.0, 0.0, 3 UNION ALL SELECT 'comma', 0.0, 0.0, 4)""",
+    """SELECT delimiter, mean_count, variance, in_header, true AS utf8, preference FROM (
+    SELECT 'tab' AS delimiter, avg(length(p_name) - length(replace(p_name, chr(9), ''))) AS mean_count, 0.0 AS variance, false AS in_header, 0 AS preference FROM part
+    UNION ALL SELECT 'pipe', avg(length(v) - length(replace(v, '|', ''))), var_pop(length(v) - length(replace(v, '|', ''))), true, 1 FROM (SELECT p_name || '|' || p_brand || '|' || p_type AS v FROM part)
+    UNION ALL SELECT 'tilde', 0.0, 0.0, false, 2 UNION ALL SELECT 'semicolon', 0.0, 0.0, false, 3 UNION ALL SELECT 'comma', 0.0, 0.0, false, 4)""",
     rounds=["mean_count", "variance"],
 )
 def delimiter_evidence(t: Tables):
-    return SR.delimiter_evidence(t.table("part").select(F.concat_ws("|", "p_name", "p_brand", "p_type").alias("value")))
+    path = scratch_path(t.spark, "text")
+    t.table("part").select(F.concat_ws("|", "p_name", "p_brand", "p_type")).write.text(path)
+    return SR.delimiter_evidence(SR.text_evidence(t.spark, path))
+
+
+@query("read_quoted_text", "SELECT cast(doc_id AS string) AS doc_id, text, lang FROM documents")
+def read_quoted_text(t: Tables):
+    """Whole texts with line breaks, commas and quotes, as quoted fields of several files."""
+    path = scratch_path(t.spark, "quoted")
+    rows = t.table("documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang").repartition(4)
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.csv(path, header=True, quote='"', escape='"', quoteAll=True, **keep)
+    return SR.read_delimited_strings(t.spark, path, ",", "UTF-8", columns=["doc_id", "text", "lang"], multi_line=True)
+
+
+@query(
+    "read_pipe_with_commas",
+    "SELECT cast(o_orderkey AS string) AS okey, 'a, b, c, ' || o_orderstatus || ', d' AS note, cast(o_custkey AS string) AS ckey FROM orders",
+)
+def read_pipe_with_commas(t: Tables):
+    """More commas than pipes in every line: only the header tells which one separates."""
+    path = scratch_path(t.spark, "piped")
+    rows = t.table("orders").select(
+        F.col("o_orderkey").cast("string").alias("okey"),
+        F.concat(F.lit("a, b, c, "), "o_orderstatus", F.lit(", d")).alias("note"),
+        F.col("o_custkey").cast("string").alias("ckey"),
+    )
+    rows.write.csv(path, sep="|", header=True)
+    return SR.read_delimited_strings(t.spark, path)
 
 
 @query("parse_text_table", TEXT_SQL)
