@@ -1,8 +1,9 @@
 """Exact order statistics that never sort a whole population in one task.
 
 Every operator here works on a histogram (one row per distinct value), splits it into value
-bands with a monotone function of the value, and carries totals from band to band. Only the
-band totals meet in one window, and their number has a fixed bound (`BAND_LIMIT` per group).
+bands with a monotone function of the value and crowded bands again at their quantiles, and
+carries totals from band to band. Only the band totals meet in one window, and their number
+has a fixed bound (`BAND_LIMIT` times the parts of a crowded band, per group).
 """
 
 from __future__ import annotations
@@ -16,12 +17,13 @@ from pyspark.sql import functions as F
 # ln|v| of a double lies within (-746, 710); 256 bands per unit keep each band 0.4 % wide.
 _BANDS_PER_UNIT = 256
 _BAND_SHIFT = 200_000
-BAND_LIMIT = 2 * (_BAND_SHIFT + 710 * _BANDS_PER_UNIT) + 1
+BAND_LIMIT = 2 * (_BAND_SHIFT + 711 * _BANDS_PER_UNIT) + 1
 
 
 def value_band(v: Column) -> Column:
     """Order-preserving integer band of a double: v <= w implies band(v) <= band(w)."""
-    size = F.floor(F.ln(F.abs(v)) * _BANDS_PER_UNIT) + _BAND_SHIFT
+    end = _BAND_SHIFT + 711 * _BANDS_PER_UNIT  # the infinities have bands of their own
+    size = F.when(F.abs(v) == float("inf"), F.lit(end)).otherwise(F.floor(F.ln(F.abs(v)) * _BANDS_PER_UNIT) + _BAND_SHIFT)
     return F.when(v == 0, F.lit(0).cast("long")).when(v > 0, size).otherwise(-size).cast("long")
 
 
@@ -45,25 +47,49 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     return left.join(r, cond, how).drop(*[f"__{k}" for k in keys])
 
 
+def _between(lo: Column, hi: Column, part: Column) -> Column:
+    """Linear interpolation that stays defined at the infinities."""
+    return F.when((part == 0) | (lo == hi), lo).otherwise(lo + (hi - lo) * part)
+
+
+def banded(hist: DataFrame, groups: Sequence[str], most: int = 200_000, parts: int = 256) -> DataFrame:
+    """The histogram with `band` and `sub`, which together order like the value.
+
+    Values that crowd into one band (time stamps, ids, scores close to 1) would meet in one
+    task there. A band of more than `most` distinct values is cut again at its own
+    approximate quantiles into `parts` pieces of about equal size.
+    """
+    g = list(groups)
+    base = hist.withColumn("band", value_band(F.col("v")))
+    crowded = base.groupBy(*g, "band").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > most).drop("__n")
+    probs = [i / parts for i in range(1, parts)]
+    inner = _null_safe(base, crowded, [*g, "band"], "left_semi")
+    cuts = inner.groupBy(*g, "band").agg(F.percentile_approx("v", probs, 16 * parts).alias("__cuts"))
+    below = F.size(F.filter("__cuts", lambda c: c < F.col("v")))
+    joined = _null_safe(base, cuts, [*g, "band"], "left")
+    return joined.withColumn("sub", F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(below)).drop("__cuts")
+
+
 def running_totals(hist: DataFrame, groups: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
     """Per measure m: `m`, `m_before` (sum over smaller values), `m_all` (sum over the group)."""
     g = list(groups)
-    base = hist.withColumns(dict(measures)).withColumn("band", value_band(F.col("v")))
-    bands = base.groupBy(*g, "band").agg(*[F.sum(m).alias(m) for m in measures])
-    by_band = W.partitionBy(*g).orderBy("band")
+    base = banded(hist, g).withColumns(dict(measures))
+    bands = base.groupBy(*g, "band", "sub").agg(*[F.sum(m).alias(m) for m in measures])
+    by_band = W.partitionBy(*g).orderBy("band", "sub")
     earlier = by_band.rowsBetween(W.unboundedPreceding, -1)
     offsets = bands.select(
         *g,
         "band",
+        "sub",
         *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"{m}_offset") for m in measures],
         *[F.sum(m).over(W.partitionBy(*g)).alias(f"{m}_all") for m in measures],
     )
-    inside = W.partitionBy(*g, "band").orderBy("v").rowsBetween(W.unboundedPreceding, -1)
-    joined = _null_safe(base, offsets, [*g, "band"], "inner")
+    inside = W.partitionBy(*g, "band", "sub").orderBy("v").rowsBetween(W.unboundedPreceding, -1)
+    joined = _null_safe(base, offsets, [*g, "band", "sub"], "inner")
     before = {
         f"{m}_before": F.coalesce(F.sum(m).over(inside), F.lit(0)) + F.col(f"{m}_offset") for m in measures
     }
-    return joined.withColumns(before).drop("band", *[f"{m}_offset" for m in measures])
+    return joined.withColumns(before).drop("band", "sub", *[f"{m}_offset" for m in measures])
 
 
 def exact_percentiles(
@@ -74,12 +100,13 @@ def exact_percentiles(
     Only the bands that hold a wanted rank are sorted; all others are just counted.
     """
     g = list(groups)
-    hist = histogram(df, g, value).withColumn("band", value_band(F.col("v")))
-    bands = hist.groupBy(*g, "band").agg(F.sum("c").alias("c"))
-    order = W.partitionBy(*g).orderBy("band").rowsBetween(W.unboundedPreceding, -1)
+    hist = banded(histogram(df, g, value), g)
+    bands = hist.groupBy(*g, "band", "sub").agg(F.sum("c").alias("c"))
+    order = W.partitionBy(*g).orderBy("band", "sub").rowsBetween(W.unboundedPreceding, -1)
     located = bands.select(
         *g,
         "band",
+        "sub",
         F.col("c").alias("band_rows"),
         F.coalesce(F.sum("c").over(order), F.lit(0)).alias("offset"),
         F.sum("c").over(W.partitionBy(*g)).alias("n"),
@@ -97,8 +124,8 @@ def exact_percentiles(
         lo, hi, _ = ranks(p)
         wanted = wanted | holds(lo, "offset", "band_rows") | holds(hi, "offset", "band_rows")
     needed = located.where(wanted).drop("band_rows")
-    inside = W.partitionBy(*g, "band").orderBy("v").rowsBetween(W.unboundedPreceding, -1)
-    ranked = _null_safe(hist, needed, [*g, "band"], "inner").withColumn(
+    inside = W.partitionBy(*g, "band", "sub").orderBy("v").rowsBetween(W.unboundedPreceding, -1)
+    ranked = _null_safe(hist, needed, [*g, "band", "sub"], "inner").withColumn(
         "start", F.coalesce(F.sum("c").over(inside), F.lit(0)) + F.col("offset")
     )
     picks = []
@@ -113,7 +140,7 @@ def exact_percentiles(
     return ends.select(
         *g,
         *[
-            (F.col(f"{n}__lo") + (F.col(f"{n}__hi") - F.col(f"{n}__lo")) * F.col(f"{n}__part")).alias(n)
+            _between(F.col(f"{n}__lo"), F.col(f"{n}__hi"), F.col(f"{n}__part")).alias(n)
             for n in probs
         ],
     )

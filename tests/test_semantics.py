@@ -240,3 +240,20 @@ def test_swapped_columns_are_refused(spark, tmp_path):
     (path / "b.csv").write_text("id,n\n3,4\n")
     rows = SR.read_delimited_strings(spark, str(path), ",", "UTF-8", columns=["id", "n"]).orderBy("id").collect()
     assert [tuple(r) for r in rows] == [("1", "2"), ("3", "4")]
+
+
+def test_infinities_in_order_statistics(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(v,) for v in (-inf, 1.0, 2.0, inf, inf)], "v double")
+    row = N.exact_percentiles(df, [], "v", {"lo": 0.0, "q": 0.25, "mid": 0.5, "hi": 1.0}).first()
+    assert (row.lo, row.q, row.mid, row.hi) == (-inf, 1.0, 2.0, inf)
+
+
+def test_crowded_band_is_split(spark):
+    df = spark.range(1_000_000).select((F.lit(1.7e9) + F.col("id") / 1000.0).alias("v"))
+    hist = N.histogram(df, [], "v")
+    assert hist.select(N.value_band(F.col("v")).alias("b")).distinct().count() <= 2
+    sizes = [r["count"] for r in N.banded(hist, []).groupBy("band", "sub").count().collect()]
+    assert len(sizes) > 100 and max(sizes) < 3 * sum(sizes) / len(sizes)
+    got = N.exact_percentiles(df, [], "v", {"p": 0.3}).first().p
+    assert got == pytest.approx(1.7e9 + 0.3 * 999_999 / 1000.0, abs=1e-6)
