@@ -22,9 +22,9 @@ from matchwright.plans import kpis as P  # noqa: E402
 from matchwright.plans import provider_features as PF  # noqa: E402
 from matchwright.plans import recommend as R  # noqa: E402
 from matchwright.plans.company_features import company_table  # noqa: E402
-from matchwright.plans.silver import clean_orders  # noqa: E402
+from matchwright.plans import silver as S  # noqa: E402
 from matchwright.session import build_session, stage  # noqa: E402
-from workload.views import Tables  # noqa: E402
+from workload.views import Tables, narrow  # noqa: E402
 
 
 def main() -> None:
@@ -62,7 +62,7 @@ def main() -> None:
     )
     companies, clusters, master = t.companies, t.clusters, t.master
 
-    timed("silver_ordenado", lambda: clean_orders(raw), keep=False)
+    timed("silver_ordenado", lambda: narrow(S.clean_orders, raw, (S.ORDER_DATES, S.ORDER_AMOUNTS, S.ORDER_FLAGS)), keep=False)
     providers = timed("feat_provider", lambda: PF.provider_table(catalog, master, visits, orders, companies))
     timed("feat_company", lambda: company_table(companies, orders, visits))
     matrix = timed("clustering_input", lambda: PF.grouping_matrix(providers))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,10 +22,17 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
 
 
+def require(df: DataFrame, columns: Iterable[str]) -> None:
+    """An error that names the listed columns the table lacks."""
+    absent = [c for c in columns if c not in set(df.columns)]
+    if absent:
+        raise ValueError(f"the table lacks {absent}; it has {df.columns}")
+
+
 def _replace(df: DataFrame, columns: Sequence[str], make) -> DataFrame:
-    """Rewrite the listed columns in a single projection; columns the table lacks are skipped."""
-    present = set(df.columns)
-    return df.withColumns({c: make(F.col(c)) for c in columns if c in present})
+    """Rewrite the listed columns in a single projection; a column the table lacks is an error."""
+    require(df, columns)
+    return df.withColumns({c: make(F.col(c)) for c in columns})
 
 
 def clean_strings(df: DataFrame) -> DataFrame:
@@ -53,8 +60,8 @@ def parse_dates(df: DataFrame, formats: Mapping[str, str]) -> DataFrame:
             return date_from(F.substring(F.col(name), 1, 10), "yyyy-MM-dd")
         return date_from(name, fmt)
 
-    present = set(df.columns)
-    return df.withColumns({n: one(n, f) for n, f in formats.items() if n in present})
+    require(df, formats)
+    return df.withColumns({n: one(n, f) for n, f in formats.items()})
 
 
 def lenient(c: Column | str, kind: str) -> Column:
@@ -74,8 +81,8 @@ def decimal_comma_to_double(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def flag_to_boolean(df: DataFrame, truths: Mapping[str, str]) -> DataFrame:
     """`truths` maps a column to the text that means true; null stays null."""
-    present = set(df.columns)
-    return df.withColumns({n: F.col(n) == F.lit(v) for n, v in truths.items() if n in present})
+    require(df, truths)
+    return df.withColumns({n: F.col(n) == F.lit(v) for n, v in truths.items()})
 
 
 def recode_values(df: DataFrame, column: str, table: Mapping[str, str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection, Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,59 +83,66 @@ def _yes(columns) -> dict[str, str]:
     return dict.fromkeys(columns, "S")
 
 
-def clean_orders(raw: DataFrame) -> DataFrame:
+def _given(columns, optional: Collection[str]):
+    """The declared columns without those the caller names as optional."""
+    if isinstance(columns, Mapping):
+        return {c: v for c, v in columns.items() if c not in optional}
+    return [c for c in columns if c not in optional]
+
+
+def clean_orders(raw: DataFrame, optional: Collection[str] = ()) -> DataFrame:
     return (
         raw.transform(C.clean_strings)
         .transform(C.sentinel_to_null)
         .transform(C.drop_malformed, ["Ord_Plan_Vers_Act_Id", "Codigo_Estado_Orden"])
-        .transform(C.parse_dates, ORDER_DATES)
-        .transform(C.decimal_comma_to_double, ORDER_AMOUNTS)
-        .transform(C.flag_to_boolean, _yes(ORDER_FLAGS))
+        .transform(C.parse_dates, _given(ORDER_DATES, optional))
+        .transform(C.decimal_comma_to_double, _given(ORDER_AMOUNTS, optional))
+        .transform(C.flag_to_boolean, _given(_yes(ORDER_FLAGS), optional))
         .transform(C.dedup_exact)
         .transform(C.quality_flags, {"FLAG_PERFIL_DESCONOCIDO": F.col("Perfil_Prestador").isNull()})
     )
 
 
-def clean_companies(raw: DataFrame) -> DataFrame:
+def clean_companies(raw: DataFrame, optional: Collection[str] = ()) -> DataFrame:
     return (
         raw.transform(C.clean_strings)
-        .transform(C.parse_dates, COMPANY_DATES)
-        .transform(C.lenient_numeric_cast, ["ID_PROFESIONAL_PPAL", "Numero_Afiliados"], "bigint")
-        .transform(C.flag_to_boolean, COMPANY_TRUTHS)
+        .transform(C.parse_dates, _given(COMPANY_DATES, optional))
+        .transform(C.lenient_numeric_cast, _given(("ID_PROFESIONAL_PPAL", "Numero_Afiliados"), optional), "bigint")
+        .transform(C.flag_to_boolean, _given(COMPANY_TRUTHS, optional))
         .transform(C.quality_flags, {"FLAG_SIN_PROFESIONAL": F.col("ID_PROFESIONAL_PPAL") == -1})
     )
 
 
-def clean_visits(raw: DataFrame) -> DataFrame:
+def clean_visits(raw: DataFrame, optional: Collection[str] = ()) -> DataFrame:
     """No row is dropped: repeated keys are separate visits."""
     negative = F.coalesce(F.col("NMCANTIDAD_EJECUTADA") < 0, F.lit(False))
     return (
         raw.transform(C.clean_strings)
         .transform(C.collapse_newlines, "MOTIVO_CANCELACION")
         .transform(C.recode_values, "DSESTADO_INFORME", K.REPORT_RECODES)
-        .transform(C.parse_dates, VISIT_DATES)
-        .transform(C.lenient_numeric_cast, VISIT_NUMBERS)
-        .transform(C.flag_to_boolean, _yes(VISIT_FLAGS))
+        .transform(C.parse_dates, _given(VISIT_DATES, optional))
+        .transform(C.lenient_numeric_cast, _given(VISIT_NUMBERS, optional))
+        .transform(C.flag_to_boolean, _given(_yes(VISIT_FLAGS), optional))
         .transform(C.quality_flags, {"FLAG_CANTIDAD_EJECUTADA_NEGATIVA": negative})
     )
 
 
-def clean_catalog(raw: DataFrame) -> DataFrame:
+def clean_catalog(raw: DataFrame, optional: Collection[str] = ()) -> DataFrame:
     return (
         raw.transform(C.clean_strings)
         .transform(C.drop_malformed, ["CDMUNICIPIO"])
-        .transform(C.parse_dates, CATALOG_DATES)
-        .transform(C.lenient_numeric_cast, CATALOG_NUMBERS)
-        .transform(C.flag_to_boolean, _yes(CATALOG_FLAGS))
+        .transform(C.parse_dates, _given(CATALOG_DATES, optional))
+        .transform(C.lenient_numeric_cast, _given(CATALOG_NUMBERS, optional))
+        .transform(C.flag_to_boolean, _given(_yes(CATALOG_FLAGS), optional))
         .transform(C.dedup_exact)
         .transform(C.quality_flags, {"FLAG_CAPACIDAD_CERO": F.col("CAPACIDAD") == 0})
     )
 
 
-def clean_master(raw: DataFrame) -> DataFrame:
+def clean_master(raw: DataFrame, optional: Collection[str] = ()) -> DataFrame:
     return (
         raw.transform(C.clean_strings)
-        .transform(C.parse_dates, MASTER_DATES)
-        .transform(C.flag_to_boolean, _yes(MASTER_FLAGS))
+        .transform(C.parse_dates, _given(MASTER_DATES, optional))
+        .transform(C.flag_to_boolean, _given(_yes(MASTER_FLAGS), optional))
         .transform(C.quality_flags, {"FLAG_TAREA_ACTIVA": F.col("febaja").isNull()})
     )

@@ -26,9 +26,10 @@ def test_ranking_limits_before_the_shuffle(spark, small):
 
 
 def test_silver_stays_in_the_jvm(spark, small):
-    from matchwright.plans.silver import clean_orders
+    from matchwright.plans import silver as S
+    from workload.views import narrow
 
-    text = plan(clean_orders(Tables(spark, small).view("fx_raw_ordenado")))
+    text = plan(narrow(S.clean_orders, Tables(spark, small).view("fx_raw_ordenado"), (S.ORDER_DATES, S.ORDER_AMOUNTS, S.ORDER_FLAGS)))
     assert "EvalPython" not in text and "InPandas" not in text
 
 

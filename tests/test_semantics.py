@@ -257,3 +257,15 @@ def test_crowded_band_is_split(spark):
     assert len(sizes) > 100 and max(sizes) < 3 * sum(sizes) / len(sizes)
     got = N.exact_percentiles(df, [], "v", {"p": 0.3}).first().p
     assert got == pytest.approx(1.7e9 + 0.3 * 999_999 / 1000.0, abs=1e-6)
+
+
+def test_absent_columns_are_an_error(spark):
+    df = spark.createDataFrame([("1",)], "a string")
+    for step in (
+        lambda: C.parse_dates(df, {"b": "iso"}),
+        lambda: C.lenient_numeric_cast(df, ["a", "b"]),
+        lambda: C.flag_to_boolean(df, {"b": "S"}),
+        lambda: C.log1p_columns(df, ["b"]),
+    ):
+        with pytest.raises(ValueError, match="lacks"):
+            step()

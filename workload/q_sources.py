@@ -13,7 +13,7 @@ from matchwright.session import scratch_path
 from matchwright.sources import readers as SR
 from matchwright.sources import store as ST
 from workload.registry import company_features, matrix, providers, query
-from workload.views import Tables
+from workload.views import Tables, narrow
 
 LINE = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
 
@@ -334,7 +334,7 @@ def quality_flags(t: Tables):
     dates=["Fecha_Creacion_Orden", "Fecha_Entrega_Servicio"],
 )
 def silver_ordenado(t: Tables):
-    return S.clean_orders(t.view(RAW))
+    return narrow(S.clean_orders, t.view(RAW), (S.ORDER_DATES, S.ORDER_AMOUNTS, S.ORDER_FLAGS))
 
 
 @query(
@@ -346,7 +346,7 @@ def silver_ordenado(t: Tables):
     dates=["Fecha_Fin_Cobertura"],
 )
 def silver_empresas(t: Tables):
-    return S.clean_companies(t.view("fx_raw_empresa"))
+    return narrow(S.clean_companies, t.view("fx_raw_empresa"), (S.COMPANY_DATES, S.COMPANY_TRUTHS))
 
 
 @query(
@@ -361,7 +361,7 @@ def silver_empresas(t: Tables):
     dates=["FEPROGRAMACION", "FECREACION_OC"],
 )
 def silver_tareas_programadas(t: Tables):
-    return S.clean_visits(t.view("fx_raw_citas"))
+    return narrow(S.clean_visits, t.view("fx_raw_citas"), (S.VISIT_DATES, S.VISIT_NUMBERS, S.VISIT_FLAGS))
 
 
 @query(
@@ -374,7 +374,7 @@ def silver_tareas_programadas(t: Tables):
     dates=["FEC_FIN_COS_TAR", "FEC_INI_COS_TAR"],
 )
 def silver_tareas_prestador(t: Tables):
-    return S.clean_catalog(t.view("fx_raw_catalogo"))
+    return narrow(S.clean_catalog, t.view("fx_raw_catalogo"), (S.CATALOG_DATES, S.CATALOG_NUMBERS, S.CATALOG_FLAGS))
 
 
 @query(
@@ -384,7 +384,7 @@ def silver_tareas_prestador(t: Tables):
     dates=["febaja"],
 )
 def silver_maestro(t: Tables):
-    return S.clean_master(t.view("fx_raw_maestro"))
+    return narrow(S.clean_master, t.view("fx_raw_maestro"), (S.MASTER_DATES, S.MASTER_FLAGS))
 
 
 @query("strip_float_suffix", "SELECT regexp_replace(Municipio_Entrega_Id, '\\.0$', '') AS m FROM fx_ordenado")

@@ -284,3 +284,8 @@ def duck(text: str) -> str:
     heads = ",\n".join(f"{n} AS MATERIALIZED ({CTES[n].strip()})" for n in needed)
     body = text.strip()
     return f"WITH {heads}\n{body}" if not body.upper().startswith("WITH ") else f"WITH {heads},\n{body[5:]}"
+
+
+def narrow(clean, raw, declared):
+    """Clean a view of the driver's tables; the declared columns it does not have are named as optional."""
+    return clean(raw, optional={c for columns in declared for c in columns} - set(raw.columns))
