@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from matchwright import constants as K
 from matchwright.functions.expr import ratio, seniority
 from matchwright.operators import aggregates as A
+from matchwright.session import stage
 
 PROVIDER = "DNI_PRESTADOR"
 
@@ -85,6 +86,7 @@ def served_demand(visits: DataFrame, companies: DataFrame) -> DataFrame:
     served = per_client.join(
         companies.select("Empresa_Id", "Sector_Economico_Desc", "Segmentacion_Arl_Desc"), "Empresa_Id", "left"
     )
+    served = stage(served, "served-demand")  # both modes and the share read it
     sector = A.mode_of(served, [PROVIDER], "Sector_Economico_Desc", "sector_principal_atendido", weight="n")
     segment = A.mode_of(served, [PROVIDER], "Segmentacion_Arl_Desc", "segmento_principal_atendido", weight="n")
     complex_ = F.col("Segmentacion_Arl_Desc").isin(*K.COMPLEX_SEGMENTS)
@@ -168,46 +170,48 @@ def main_theme(catalog: DataFrame) -> DataFrame:
     )
 
 
-def _tasks_of(catalog: DataFrame) -> DataFrame:
-    return catalog.select(PROVIDER, "CDTAREA").distinct()
+def provider_tasks(catalog: DataFrame, master: DataFrame) -> DataFrame:
+    """Distinct (provider, task) with what the task master says: nuevo, activa, tratamiento, etapa and whether it is known.
 
-
-def master_enrichment(catalog: DataFrame, master: DataFrame) -> DataFrame:
-    """Share of new-model and treatment tasks, and active tasks, each task counted once."""
+    Stored, as the shares and the most frequent stage both read it.
+    """
     per_task = master.groupBy(F.col("cdtarea").alias("CDTAREA")).agg(
         A.any_true(F.col("snnuevo_modelo")).alias("nuevo"),
         A.any_true(F.col("FLAG_TAREA_ACTIVA")).alias("activa"),
         A.any_true(F.col("cdetapa_gestion") == K.STAGE_TREATMENT).alias("tratamiento"),
+        F.min("cdetapa_gestion").alias("etapa"),
+        F.lit(True).alias("known"),
     )
+    return stage(catalog.select(PROVIDER, "CDTAREA").distinct().join(per_task, "CDTAREA", "left"), "provider-tasks")
+
+
+def master_enrichment(catalog: DataFrame, master: DataFrame, tasks: DataFrame | None = None) -> DataFrame:
+    """Share of new-model and treatment tasks, and active tasks, each task counted once."""
 
     def known(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(False))
 
-    return (
-        _tasks_of(catalog)
-        .join(per_task, "CDTAREA", "left")
-        .groupBy(PROVIDER)
-        .agg(
-            A.share_true(known("nuevo")).alias("pct_tareas_nuevo_modelo"),
-            A.share_true(known("tratamiento")).alias("pct_tareas_tratamiento"),
-            A.count_where(F.col("activa")).cast("int").alias("n_tareas_con_maestro"),
-        )
+    tasks = provider_tasks(catalog, master) if tasks is None else tasks
+    return tasks.groupBy(PROVIDER).agg(
+        A.share_true(known("nuevo")).alias("pct_tareas_nuevo_modelo"),
+        A.share_true(known("tratamiento")).alias("pct_tareas_tratamiento"),
+        A.count_where(F.col("activa")).cast("int").alias("n_tareas_con_maestro"),
     )
 
 
-def stage_mode(catalog: DataFrame, master: DataFrame) -> DataFrame:
+def stage_mode(catalog: DataFrame, master: DataFrame, tasks: DataFrame | None = None) -> DataFrame:
     """Most frequent management stage over a provider's distinct tasks; unknown stages do not vote."""
-    per_task = master.groupBy(F.col("cdtarea").alias("CDTAREA")).agg(F.min("cdetapa_gestion").alias("etapa"))
-    staged = _tasks_of(catalog).join(per_task, "CDTAREA", "inner")
-    return A.mode_of(staged, [PROVIDER], "etapa", "etapa_predominante", keep_null=False)
+    tasks = provider_tasks(catalog, master) if tasks is None else tasks
+    return A.mode_of(tasks.where("known"), [PROVIDER], "etapa", "etapa_predominante", keep_null=False)
 
 
 def profile(catalog: DataFrame, master: DataFrame, cutoff: str = K.TENURE_CUTOFF) -> DataFrame:
+    tasks = provider_tasks(catalog, master)
     blocks = [
         A.mode_of(catalog, [PROVIDER], "DSCLASIFICACION", "clasificacion_predominante"),
         main_theme(catalog),
-        master_enrichment(catalog, master),
-        stage_mode(catalog, master),
+        master_enrichment(catalog, master, tasks),
+        stage_mode(catalog, master, tasks),
     ]
     out = profile_base(catalog)
     for block in blocks:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from matchwright import constants as K
 from matchwright.functions import expr as X
+from matchwright.session import stage
 
 # name and Spark type of every output column, so that an empty result has them too
 RECOMMENDATION_SCHEMA = (
@@ -166,17 +167,15 @@ def _ranked_list(classed: DataFrame, keys: list[str], geography: float, top_n: i
 
 def shortlists(catalog: DataFrame, eligible: DataFrame, top_n: int) -> dict[str, DataFrame]:
     """The three lists: by (task, town), by (task, department) and by task."""
+    keys = ["CDTAREA", "DNI_PRESTADOR"]
     scores = eligible.select("DNI_PRESTADOR", "cluster_id", *_OWN_SCORES)
-
-    def level(place: Column | None, name: str | None) -> DataFrame:
-        keys = ["CDTAREA", "DNI_PRESTADOR"]
-        source = catalog.dropna(subset=[*keys, "CDMUNICIPIO"])
-        picked = source.select(*keys) if place is None else source.select(*keys, place.alias(name))
-        return _classed(picked.distinct().join(scores, "DNI_PRESTADOR", "inner"))
-
-    town = level(F.col("CDMUNICIPIO"), "town")
-    dept = level(X.department("CDMUNICIPIO"), "dept")
-    anywhere = level(None, None)
+    towns = catalog.dropna(subset=[*keys, "CDMUNICIPIO"]).select(*keys, F.col("CDMUNICIPIO").alias("town")).distinct()
+    # the catalog is read once; departments and "anywhere" follow from its distinct towns
+    pairs = stage(towns.join(scores, "DNI_PRESTADOR", "inner"), "scored-pairs")
+    own = [*keys, "cluster_id", *_OWN_SCORES]
+    town = _classed(pairs)
+    dept = _classed(pairs.select(*own, X.department("town").alias("dept")).distinct())
+    anywhere = _classed(pairs.select(*own).distinct())
     return {
         "town": _ranked_list(town, ["CDTAREA", "town"], 1.0, top_n),
         "dept": _ranked_list(dept, ["CDTAREA", "dept"], 0.4, top_n),
