@@ -15,9 +15,11 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from matchwright.operators import forest as OF  # noqa: E402
 from matchwright.operators import ranks as N  # noqa: E402
 from matchwright.operators.matching import assign_capacitated  # noqa: E402
 from matchwright.plans import eda  # noqa: E402
+from matchwright.plans import grouping as G  # noqa: E402
 from matchwright.plans import kpis as P  # noqa: E402
 from matchwright.plans import provider_features as PF  # noqa: E402
 from matchwright.plans import recommend as R  # noqa: E402
@@ -79,6 +81,11 @@ def main() -> None:
     timed("scenario_diff", lambda: P.scenario_diff(first, capped, providers), False)
     timed("scenario_diff_by_cluster", lambda: P.scenario_diff_by_cluster(first, capped, providers), False)
     timed("agg_gini", lambda: N.gini(eda.loads_by_provider(orders), "n_ordenes"), False)
+    eligible = stage(R.eligible_providers(providers, matrix, clusters), "eligible")
+    timed("score_one_order", lambda: R.score_one_order(catalog, eligible, "T11", "1111.0", segment="GRAN EMPRESA"), False)
+    prepared = stage(G.model_matrix(matrix).select(G.WHO, *G.FEATURES), "prepared")
+    timed("outlier_quarantine", lambda: OF.outlier_quarantine(prepared, G.WHO, G.FEATURES), False)
+    timed("clustering_fit", lambda: G.fit_grouping(matrix, min_size=20, min_kept=2)[1], False)
     times.pop("warm_up")
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "pipeline_total", "value": total, "unit": "sec", "queries": times, "sf": root.rsplit("sf", 1)[-1]}))
