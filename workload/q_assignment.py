@@ -309,15 +309,34 @@ def topk_hit_rate(t: Tables):
 
 # ---- profiles and exploratory reports --------------------------------------------------------------
 
-NULLABLE = ["SNCANCELA_EMPRESA", "MOTIVO_CANCELACION", "DURACION", "FEENVIO_INFORME", "FEAPROBACION_INFORME", "DSESTADO_INFORME", "CDTAREA"]
+# The columns of the visit view.
+VISIT_COLUMNS = (
+    "NMCONSECUTIVO_ORDEN",
+    "DNI_PRESTADOR",
+    "DNI_EMPRESA",
+    "CDTAREA",
+    "DS_MUNICIPIO_DESTINO",
+    "CLASIFICACION",
+    "TIPO_DE_ASESOR",
+    "TIPO_PROGRAMACION",
+    "DSESTADO_PROGRAMACION",
+    "SNCANCELA_EMPRESA",
+    "MOTIVO_CANCELACION",
+    "DURACION",
+    "FEPROGRAMACION",
+    "FEENVIO_INFORME",
+    "FEAPROBACION_INFORME",
+    "DSESTADO_INFORME",
+    "SNAPROBADO_AUTOMATICO",
+)
 
 
 @query(
     "profile_nulls",
-    " UNION ALL ".join(f"SELECT '{c}' AS columna, count(*) AS nulos FROM fx_citas WHERE {c} IS NULL HAVING count(*) > 0" for c in NULLABLE),
+    " UNION ALL ".join(f"SELECT '{c}' AS columna, count(*) AS nulos FROM fx_citas WHERE {c} IS NULL HAVING count(*) > 0" for c in VISIT_COLUMNS),
 )
 def profile_nulls(t: Tables):
-    return PR.profile_nulls(t.visits.select(*NULLABLE))
+    return PR.profile_nulls(t.visits)
 
 
 @query(
@@ -352,11 +371,10 @@ def profile_text(t: Tables):
 @query(
     "profile_duplicates",
     "SELECT (SELECT cast(coalesce(sum(n), 0) AS bigint) FROM (SELECT count(*) AS n FROM fx_citas GROUP BY NMCONSECUTIVO_ORDEN, DNI_PRESTADOR HAVING count(*) > 1)) AS por_llave, "
-    "(SELECT cast(coalesce(sum(n), 0) AS bigint) FROM (SELECT count(*) AS n FROM fx_citas GROUP BY NMCONSECUTIVO_ORDEN, DNI_PRESTADOR, CDTAREA, FEPROGRAMACION, DURACION HAVING count(*) > 1)) AS exactas",
+    f"(SELECT cast(coalesce(sum(n), 0) AS bigint) FROM (SELECT count(*) AS n FROM fx_citas GROUP BY {', '.join(VISIT_COLUMNS)} HAVING count(*) > 1)) AS exactas",
 )
 def profile_duplicates(t: Tables):
-    df = t.visits.select("NMCONSECUTIVO_ORDEN", "DNI_PRESTADOR", "CDTAREA", "FEPROGRAMACION", "DURACION")
-    return PR.profile_duplicates(df, ["NMCONSECUTIVO_ORDEN", "DNI_PRESTADOR"])
+    return PR.profile_duplicates(t.visits, ["NMCONSECUTIVO_ORDEN", "DNI_PRESTADOR"])
 
 
 @query(

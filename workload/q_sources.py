@@ -200,17 +200,29 @@ def write_replace(t: Tables):
 # ---- cleaning ------------------------------------------------------------------------------
 
 RAW = "fx_raw_ordenado"
-TRIMMED = "nullif(trim(Numero_Consecutivo_Orden), '') AS Numero_Consecutivo_Orden, nullif(trim(Perfil_Prestador), '') AS Perfil_Prestador"
+# The columns of the raw order view, all text.
+RAW_COLUMNS = (
+    "Ord_Plan_Vers_Act_Id",
+    "Numero_Consecutivo_Orden",
+    "Codigo_Estado_Orden",
+    "Perfil_Prestador",
+    "Fecha_Creacion_Orden",
+    "Fecha_Entrega_Servicio",
+    "Valor_Costo_Total_Tarea",
+    "Numero_Cantidad_Pedida",
+    "Ind_Compensacion",
+)
+TRIMMED = ", ".join(f"nullif(trim({c}), '') AS {c}" for c in RAW_COLUMNS)
 
 
-@query("clean_strings", f"SELECT {TRIMMED}, Ind_Compensacion FROM {RAW}")
+@query("clean_strings", f"SELECT {TRIMMED} FROM {RAW}")
 def clean_strings(t: Tables):
-    return t.view(RAW).select("Numero_Consecutivo_Orden", "Perfil_Prestador", "Ind_Compensacion").transform(C.clean_strings)
+    return t.view(RAW).transform(C.clean_strings)
 
 
-@query("sentinel_to_null", f"SELECT nullif(nullif(trim(Perfil_Prestador), ''), '?') AS Perfil_Prestador FROM {RAW}")
+@query("sentinel_to_null", f"SELECT {', '.join(f'nullif({c}, $$?$$) AS {c}' for c in RAW_COLUMNS)} FROM (SELECT {TRIMMED} FROM {RAW})".replace("$$", "'"))
 def sentinel_to_null(t: Tables):
-    return t.view(RAW).select("Perfil_Prestador").transform(C.clean_strings).transform(C.sentinel_to_null)
+    return t.view(RAW).transform(C.clean_strings).transform(C.sentinel_to_null)
 
 
 @query(
@@ -295,15 +307,9 @@ def collapse_newlines(t: Tables):
     return t.view("fx_raw_citas").select(F.col("MOTIVO_CANCELACION").alias("m")).transform(C.collapse_newlines, "m")
 
 
-@query(
-    "dedup_exact",
-    f"SELECT DISTINCT trim(Ord_Plan_Vers_Act_Id) AS a, trim(Codigo_Estado_Orden) AS b, Fecha_Creacion_Orden AS c FROM {RAW}",
-)
+@query("dedup_exact", f"SELECT DISTINCT {TRIMMED} FROM {RAW}")
 def dedup_exact(t: Tables):
-    df = t.view(RAW).select(
-        F.trim("Ord_Plan_Vers_Act_Id").alias("a"), F.trim("Codigo_Estado_Orden").alias("b"), F.col("Fecha_Creacion_Orden").alias("c")
-    )
-    return df.transform(C.dedup_exact)
+    return t.view(RAW).transform(C.clean_strings).transform(C.dedup_exact)
 
 
 @query(
@@ -431,20 +437,35 @@ def log1p_columns(t: Tables):
     return matrix(t).select("DNI_PRESTADOR", *HEAVY).transform(C.log1p_columns, HEAVY, True)
 
 
-@query("drop_sparse_columns", "SELECT DNI_PRESTADOR, CDTAREA, DS_MUNICIPIO_DESTINO, TIPO_PROGRAMACION FROM fx_citas")
+DENSE = (
+    "NMCONSECUTIVO_ORDEN",
+    "DNI_PRESTADOR",
+    "DNI_EMPRESA",
+    "CDTAREA",
+    "DS_MUNICIPIO_DESTINO",
+    "CLASIFICACION",
+    "TIPO_PROGRAMACION",
+    "DSESTADO_PROGRAMACION",
+    "FEPROGRAMACION",
+)
+
+
+@query("drop_sparse_columns", f"SELECT {', '.join(DENSE)} FROM fx_citas", dates=["FEPROGRAMACION"])
 def drop_sparse_columns(t: Tables):
-    cols = ["DNI_PRESTADOR", "CDTAREA", "DS_MUNICIPIO_DESTINO", "TIPO_PROGRAMACION", "TIPO_DE_ASESOR", "MOTIVO_CANCELACION", "DURACION"]
-    return A.drop_sparse_columns(t.visits.select(*cols), 0.1)
+    return A.drop_sparse_columns(t.visits, 0.1)
+
+
+CATEGORIES = ("DSCLASIFICACION", "DSTIPO_PERFIL", "FUNCION_PRESTADOR", "PERFIL_TARIFA", "TIPO_DE_RED", "CDOFICINA")
 
 
 @query(
     "impute_mode",
-    "SELECT DNI_PRESTADOR, coalesce(TIPO_DE_RED, (SELECT TIPO_DE_RED FROM fx_catalogo WHERE TIPO_DE_RED IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS TIPO_DE_RED, "
-    "coalesce(PERFIL_TARIFA, (SELECT PERFIL_TARIFA FROM fx_catalogo WHERE PERFIL_TARIFA IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS PERFIL_TARIFA FROM fx_catalogo",
+    "SELECT DNI_PRESTADOR, "
+    + ", ".join(f"coalesce({c}, (SELECT {c} FROM fx_catalogo WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS {c}" for c in CATEGORIES)
+    + " FROM fx_catalogo",
 )
 def impute_mode(t: Tables):
-    cols = ["TIPO_DE_RED", "PERFIL_TARIFA"]
-    return t.catalog.select("DNI_PRESTADOR", *cols).transform(A.impute_mode, cols)
+    return t.catalog.select("DNI_PRESTADOR", *CATEGORIES).transform(A.impute_mode, CATEGORIES)
 
 
 @query(
