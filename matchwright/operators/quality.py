@@ -51,7 +51,8 @@ def calinski_harabasz(df: DataFrame, features: str | Sequence[str], label: str)
     return groups.agg(
         F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("within").alias("w")
     ).select(
-        ((between / (F.col("k") - 1)) / (F.col("w") / (F.col("n") - F.col("k")))).alias("calinski_harabasz")
+        # null where it is not defined: one group, or as many groups as points
+        F.try_divide(F.try_divide(between, F.col("k") - 1), F.try_divide(F.col("w"), F.col("n") - F.col("k"))).alias("calinski_harabasz")
     )
 
 
@@ -76,7 +77,7 @@ def davies_bouldin(df: DataFrame, features: str | Sequence[str], label: str) ->
     spread = stage(spread, "group-spreads")
     pairs = spread.withColumn("o", F.explode(F.map_entries(per_label(spread, label, "s", "centre"))))
     pairs = pairs.where(F.col("o.key") != F.col(label))
-    ratio = (F.col("s") + F.col("o.value.s")) / F.sqrt(squared_distance("centre", "o.value.centre"))
+    ratio = F.try_divide(F.col("s") + F.col("o.value.s"), F.sqrt(squared_distance("centre", "o.value.centre")))
     return pairs.groupBy(label).agg(F.max(ratio).alias("worst")).agg(F.avg("worst").alias("davies_bouldin"))
 
 

@@ -206,7 +206,7 @@ def fitted(t: Tables):
     """The full fit (k 3..10, 20 restarts), once per application and dataset; only the size limits are set for few providers."""
     name = (t.spark.sparkContext.applicationId, t.root)
     if name not in _FITTED:
-        _FITTED[name] = G.fit_grouping(matrix(t), min_size=5, min_kept=2)
+        _FITTED[name] = G.fit_grouping(matrix(t), min_size=2, min_kept=1)
     return _FITTED[name]
 
 
