@@ -52,7 +52,8 @@ def pieces(docs: DataFrame, tokenizer_json: str, capacity: int = 4096, end_id: i
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
     schema = PIECES + ", ids array<int>" * keep_ids
-    return encoded(docs, tokenizer_json).select("block", "docs", "sizes", "codes", "found").mapInArrow(run, schema)
+    # larger blocks than elsewhere: fewer words come twice, and time is the tighter limit here
+    return encoded(docs, tokenizer_json, 12 << 20, 13 << 20).select("block", "docs", "sizes", "codes", "found").mapInArrow(run, schema)
 
 
 # ---- the plan: counts of lengths to counts of filled sequences --------------------------------
