@@ -29,7 +29,7 @@ NAMES = frozenset(
 VOID = frozenset(("hr", "br", "wbr", "img", "input", "meta", "link"))
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({SILENT})\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))"
+    rf"<!--.*?(?:-->|\Z)|<({SILENT})(?=[\s/>])[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*)>"
     r"|</?[a-zA-Z][^>]*(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
@@ -116,6 +116,6 @@ def page_blocks(page: str) -> list[Block]:
 
 def title_and_links(page: str) -> tuple[str, list[str]]:
     """The page's title and the targets of its links, in order."""
-    m = re.search(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", page, re.DOTALL | re.IGNORECASE)
+    m = re.search(r"<title(?=[\s/>])[^>]*>(.*?)(?:</title\s*>|\Z)", page, re.DOTALL | re.IGNORECASE)
     links = [html.unescape(h[1] or h[2] or h[3] or "") for t in TOKEN.finditer(page) if (t[3] or "").lower() == "a" and (h := HREF.search(t[4]))]
     return (" ".join(html.unescape(m[1]).split()) if m else ""), links

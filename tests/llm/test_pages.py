@@ -3,7 +3,7 @@ import hashlib
 from base64 import b32encode
 
 from matchwright.llm import extract, warc
-from matchwright.llm.blocks import page_blocks
+from matchwright.llm.blocks import page_blocks, title_and_links
 
 PAGE = (
     "<!DOCTYPE html><html><head><title>T &amp; U</title><style>p{}</style><script>var t='</p>';</script></head><body><nav><ul><li>"
@@ -55,6 +55,16 @@ def test_unbalanced_markup():
     assert [b.text for b in page_blocks("a < b<p>c")] == ["a < b", "c"]
 
 
+def test_custom_elements_do_not_hide_the_page():
+    tree = extract.labelled_tree()
+    for name in ("video-player", "svg-icon", "title-bar", "button-group", "audio-player", "script-x"):
+        page = f"<title-bar></title-bar><title>T</title><article><p>one</p><{name} a='b'></{name}><p>two</p><{name}/><p>three <a href=/x>x</a></p></article>"
+        assert [b.text for b in page_blocks(page)] == ["one", "two", "three x"]
+        assert extract.main_text(page, tree) == "one\ntwo\nthree x"
+        assert title_and_links(page) == ("T", ["/x"])
+    assert [b.text for b in page_blocks("<p>a<video\nsrc=x>no</video>b<svg/>c")] == ["a b c".replace(" ", "")]
+
+
 def _read(data):
     """Records of a WARC file by their Content-Length."""
     out = []
