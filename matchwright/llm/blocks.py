@@ -36,7 +36,10 @@ TOKEN = re.compile(
 )
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 HREF = re.compile(r"\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-PART = re.compile(r"[a-zA-Z]+")
+#: Elements that hold the page or its article: their class, id and role say what lies beside the text, not what they are.
+WHOLE = frozenset(("html", "body", "main", "article"))
+#: Elements that a page's head may hold; any other start tag ends a head whose end tag is missing.
+IN_HEAD = frozenset(("base", "basefont", "bgsound", "head", "html", "link", "meta", "title", "style", "script", "noscript", "template"))
 
 
 @dataclass(slots=True)
@@ -53,7 +56,7 @@ class Block:
 def _names_furniture(attributes: str) -> bool:
     if "=" not in attributes:
         return False
-    return any(w.lower() in NAMES for m in NAMED.finditer(attributes) for w in PART.findall(m[1] or m[2] or m[3] or ""))
+    return any(w.lower() in NAMES for m in NAMED.finditer(attributes) for w in (m[1] or m[2] or m[3] or "").split())
 
 
 def page_blocks(page: str) -> list[Block]:
@@ -89,6 +92,10 @@ def page_blocks(page: str) -> list[Block]:
         if name is None:
             continue
         name, attributes = name.lower(), m[4]
+        if not m[2] and name not in IN_HEAD and stack and stack[-1][0] == "head":
+            flush()
+            stack.pop()
+            state = stack[-1] if stack else ("", False, False, False)
         if name == "a":
             in_link = not m[2]
         elif name in SPACERS:
@@ -105,7 +112,8 @@ def page_blocks(page: str) -> list[Block]:
                     state = stack[-1] if stack else ("", False, False, False)
                 else:
                     article = state[1] or name in ("article", "main")
-                    furniture = state[2] or name in FURNITURE or (name == "header" and not state[1]) or _names_furniture(attributes)
+                    furniture = state[2] or name in FURNITURE or (name == "header" and not state[1])
+                    furniture = furniture or (name not in WHOLE and _names_furniture(attributes))
                     state = (name, article, furniture, state[3] or "data-keep" in attributes)
                     stack.append(state)
     if at < len(page):

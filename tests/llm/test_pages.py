@@ -65,6 +65,23 @@ def test_custom_elements_do_not_hide_the_page():
     assert [b.text for b in page_blocks("<p>a<video\nsrc=x>no</video>b<svg/>c")] == ["a b c".replace(" ", "")]
 
 
+def test_layout_names_do_not_hide_the_article():
+    tree = extract.labelled_tree()
+    text = "Rain fell on the harbour for most of the week and the boats stayed in, so the market had little fish to sell."
+    article = f"<article><h1>Storm</h1><p>{text}</p><div class='comments'><p>Nice!</p></div></article>"
+    for page in (
+        f"<body class='right-sidebar'>{article}</body>",
+        f"<body class='sidebar'>{article}</body>",
+        f"<body><main class='has-sidebar'>{article}</main></body>",
+        f"<article class='post no-comments' id=comments>{article[9:]}",
+        f"<body><div class='page with-menu'>{article}</div></body>",
+        f"<html><head><title>T</title><meta charset=utf-8><body>{article}</body></html>",
+        f"<html><head><title>T</title>{article}</html>",
+    ):
+        assert extract.main_text(page, tree) == f"Storm\n{text}", page
+    assert extract.main_text(f"<body><div class='box sidebar'><p>{text}</p></div>{article}</body>", tree) == f"Storm\n{text}"
+
+
 def _read(data):
     """Records of a WARC file by their Content-Length."""
     out = []
