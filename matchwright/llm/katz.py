@@ -156,23 +156,40 @@ def good_turing(counts: list[int]) -> np.ndarray:
     """Discount factor of count c at index c, up to K (index 0 unused), from the counts of counts 1..K+1.
 
     Katz's form, which spreads the once-seen mass over the counts up to K. Where the counts of
-    counts do not support it (a factor outside (0, 1), as in small tables), absolute
-    discounting by n1 / (n1 + 2 n2) takes its place for all counts up to K.
+    counts do not support it as they are (a factor outside (0, 1), as copied texts make), they
+    are smoothed by a log-linear fit; where that falls no faster than 1 / count (few words in
+    all), absolute discounting by n1 / (n1 + 2 n2) takes its place for all counts up to K.
     """
     n = [0.0, *map(float, counts)]
     out = np.ones(K + 1)
-    if all(n[1:]):
-        common = (K + 1) * n[K + 1] / n[1]
-        if common != 1.0:
-            for c in range(1, K + 1):
-                out[c] = ((c + 1) * n[c + 1] / (c * n[c]) - common) / (1.0 - common)
-            if ((out[1:] > 0) & (out[1:] < 1)).all():
-                return out
+    for z in (n, smoothed(n)):
+        if z is not None and all(z[1:]):
+            common = (K + 1) * z[K + 1] / z[1]
+            if common != 1.0:
+                for c in range(1, K + 1):
+                    out[c] = ((c + 1) * z[c + 1] / (c * z[c]) - common) / (1.0 - common)
+                if ((out[1:] > 0) & (out[1:] < 1)).all():
+                    return out
     off = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else 0.5
     out[1:] = [(c - off) / c for c in range(1, K + 1)]
     return out
 
 
+def smoothed(n: list[float]) -> list[float] | None:
+    """Counts of counts on the line through (log r, log Z_r), as in simple Good-Turing; None without a slope below -1.
+
+    Z_r spreads a count of counts over the empty counts around it. A line that falls faster
+    than 1 / r gives discount factors in (0, 1).
+    """
+    held = [r for r in range(1, K + 2) if n[r]]
+    if len(held) < 2:
+        return None
+    after = [*held[1:], 2 * held[-1] - held[-2]]
+    z = [2 * n[r] / (t - q) for q, r, t in zip([0, *held], held, after)]
+    slope, level = np.polyfit(np.log(held), np.log(z), 1)
+    return [0.0, *(math.exp(level) * r**slope for r in range(1, K + 2))] if slope < -1 - 1e-9 else None
+
+
 @dataclass
 class Unigrams:
     """Discounted word probabilities; what the discounts free goes to one class of unknown words."""

@@ -79,6 +79,18 @@ def test_discounts_of_zipf_counts():
     assert abs(freed - counts[0]) < 1e-6  # Katz's choice frees the once-seen mass
 
 
+def test_discounts_of_tables_with_copies():
+    """Pairs of the given 10,000 documents: the raw factor of count 4 is 1.11, the fit keeps Good-Turing."""
+    counts = [1480242, 227968, 47069, 19756, 17459, 7018]
+    factors = Z.good_turing(counts)
+    assert ((factors[1:] > 0) & (factors[1:] < 1)).all() and (np.diff(factors[1:]) > 0).all()
+    slope = np.polyfit(np.log(range(1, 7)), np.log(counts), 1)[0]
+    common = 6 ** (1 + slope)
+    assert np.allclose(factors[1:], [(((c + 1) / c) ** (1 + slope) - common) / (1 - common) for c in range(1, 6)])
+    assert Z.smoothed([0.0, 5, 5, 5, 5, 5, 5]) is None  # no fall: absolute discounting
+    assert ((f := Z.good_turing([90, 20, 0, 0, 3, 0]))[1:] > 0).all() and (f[1:] < 1).all()
+
+
 def test_arrays_as_bytes():
     for a in ([], [0, 255], [256, 3], [70000], [2**40, 5]):
         assert Z.unpack(Z.pack(np.array(a, np.int64)))[0].tolist() == a
