@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm import bpe, extract, katz, licences, packing, pii, quality, simhash, topk, warc
+from matchwright.llm import bpe, extract, katz, langid, licences, packing, pii, quality, simhash, topk, warc
 from matchwright.llm.texts import table
 
 
@@ -187,3 +187,8 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op9_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
