@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm import bpe, extract, katz, langid, licences, packing, pii, quality, simhash, topk, warc
+from matchwright.llm import bpe, extract, katz, langid, licences, packing, pii, quality, repair, simhash, topk, warc
 from matchwright.llm.texts import table
 
 
@@ -192,3 +192,73 @@ def op9_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of an ASCII text, bit by bit."""
+    bits = f"flatten(list_transform(string_split({text}, ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+    step = "xor(xor(a, x) >> 1, CASE WHEN xor(a, x) & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {bits}), lambda a, x: {step}), 4294967295)"
+
+
+@register
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.reports(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+ORACLES["op12_conversation_repair"] = rf"""
+WITH RECURSIVE c AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS draw
+    FROM conversations
+), d AS (
+    SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+           CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, copy
+    FROM c, (VALUES (0), (1)) AS k(copy) WHERE draw <> 0 AND (copy = 0 OR draw = 3)
+), f AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+           regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS body,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+    FROM d
+), r AS (
+    SELECT conv_id, n, turn, role, text, left(role, 1) AS i, body = '' AS blank, body <> '' AND nth > 1 AS again,
+           body <> '' AND nth = 1 AND right(body, 1) NOT IN ('.', '!', '?') AS cut,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) || left(role, 1) AS pair
+    FROM f
+), moves(q, i, t, given) AS (
+    VALUES ('0', 's', 'S', CAST(NULL AS VARCHAR)), ('0', 'u', 'U', 'user'), ('S', 'u', 'U', 'user'), ('U', 'a', 'A', 'assistant'), ('A', 'u', 'U', 'user')
+), more(q, t, k, rows) AS (
+    VALUES ('0', '0', 0, ''), ('0', 'U', 1, chr(10) || 'user:'), ('0', 'A', 2, chr(10) || 'user:' || chr(10) || 'assistant:'),
+           ('S', 'S', 0, ''), ('S', 'U', 1, chr(10) || 'user:'), ('S', 'A', 2, chr(10) || 'user:' || chr(10) || 'assistant:'),
+           ('U', 'U', 0, ''), ('U', 'A', 1, chr(10) || 'assistant:'), ('A', 'A', 0, ''), ('A', 'U', 1, chr(10) || 'user:')
+), edits(kind, q, i, t, given) AS (
+    SELECT 'D', q, CAST(NULL AS VARCHAR), q, CAST(NULL AS VARCHAR) FROM (VALUES ('0'), ('S'), ('U'), ('A')) AS x(q)
+    UNION ALL SELECT 'K', q, i, t, CAST(NULL AS VARCHAR) FROM moves
+    UNION ALL SELECT 'R', q, CAST(NULL AS VARCHAR), t, given FROM moves WHERE given IS NOT NULL
+), best AS (
+    SELECT conv_id, 0::BIGINT AS n, m.t AS q, CAST(2 * m.k AS BIGINT) AS cost, repeat('I', m.k) AS audit, m.rows AS text
+    FROM (SELECT DISTINCT conv_id FROM conversations) JOIN more m ON m.q = '0'
+    UNION ALL
+    SELECT conv_id, n, q, cost, audit, text FROM (
+        SELECT *, row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) AS place FROM (
+            SELECT b.conv_id, r.n, m.t AS q,
+                   b.cost + 2 * m.k + CASE e.kind WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END + CASE WHEN e.kind <> 'D' AND r.cut THEN 1 ELSE 0 END AS cost,
+                   b.audit || e.kind || repeat('I', m.k) AS audit,
+                   b.text || CASE WHEN e.kind = 'D' THEN '' ELSE chr(10) || coalesce(e.given, r.role) || ':' || r.text END || m.rows AS text
+            FROM best b JOIN r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.n = b.n + 1
+            JOIN edits e ON e.q = b.q AND (e.i IS NULL OR e.i = r.i) AND (e.kind = 'D' OR NOT (r.blank OR r.again))
+            JOIN more m ON m.q = e.t
+        )
+    ) WHERE place = 1
+), last AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY n DESC, cost, audit) AS place FROM best WHERE q IN ('0', 'A')
+), counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+           count(*) FILTER (again) AS duplicate, count(*) FILTER (cut) AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM r GROUP BY conv_id
+)
+SELECT l.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit, sha256(substr(l.text, 2)) AS repaired_sha256
+FROM last l LEFT JOIN counts ON l.conv_id IS NOT DISTINCT FROM counts.conv_id WHERE place = 1
+"""
