@@ -140,7 +140,8 @@ def bounded_sample(labelled: DataFrame, per_lang: int) -> DataFrame:
         .where(F.col("rank") <= per_lang)
         .groupBy("lang").agg(F.max("h").alias("most"))
     )
-    return hashed.join(least, "lang").where("h <= most").dropDuplicates(["lang", "h"]).select("lang", "text")
+    # one row per language, as the model has; a join by language would send each one's texts to one task
+    return hashed.join(F.broadcast(least), "lang").where("h <= most").dropDuplicates(["lang", "h"]).select("lang", "text")
 
 
 def _clusters(rows: np.ndarray, k: int, rounds: int = 25) -> tuple[np.ndarray, np.ndarray]:

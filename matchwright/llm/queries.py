@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchwright.llm import bpe, extract, katz, langid, licences, packing, pii, quality, repair, simhash, topk, warc
+from matchwright.llm import bpe, extract, katz, langid, licences, packing, pii, quality, repair, simhash, topk, trie, warc
 from matchwright.llm.texts import table
 
 
@@ -262,3 +262,40 @@ SELECT l.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
        coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit, sha256(substr(l.text, 2)) AS repaired_sha256
 FROM last l LEFT JOIN counts ON l.conv_id IS NOT DISTINCT FROM counts.conv_id WHERE place = 1
 """
+
+
+@register
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(trie.rebuilt(trie.turns(table(spark, sf_dir, "conversations"))))
+
+
+ORACLES["op13_conversation_trie"] = rf"""
+WITH own AS (
+    SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS rows,
+           {_crc32("CAST(conv_id AS VARCHAR)")} % 4 AS h
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), built AS (
+    SELECT o.conv_id, list_concat(coalesce(list_slice(b.rows, 1, o.h), []), list_slice(o.rows, o.h + 1, len(o.rows))) AS rows
+    FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20
+), prefix AS (
+    SELECT conv_id, len(rows) = d AS ends, d, list_slice(rows, 1, d) AS path
+    FROM (SELECT conv_id, rows, unnest(range(len(rows) + 1)) AS d FROM built)
+), node AS (
+    SELECT path, any_value(d) AS d, min(conv_id) AS conv_id, count(*) AS n_convs,
+           coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ends,
+           CASE WHEN any_value(d) = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(path[-1].text, '[^\x20\x09-\x0D]+')) END AS saved
+    FROM prefix GROUP BY path
+), family AS (
+    SELECT n.path, count(c.path) AS n_children, min(p.conv_id) AS parent
+    FROM node n LEFT JOIN node c ON c.d = n.d + 1 AND list_slice(c.path, 1, n.d) = n.path
+    LEFT JOIN node p ON n.d > 0 AND p.d = n.d - 1 AND p.path = list_slice(n.path, 1, n.d - 1)
+    GROUP BY n.path
+), below AS (
+    SELECT a.path, sum(CASE WHEN f.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(x.saved) AS saved_tokens
+    FROM node a JOIN node x ON x.d >= a.d AND list_slice(x.path, 1, a.d) = a.path JOIN family f ON f.path = x.path
+    GROUP BY a.path
+)
+SELECT conv_id, CAST(d AS BIGINT) AS depth, parent AS parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
+FROM node JOIN family USING (path) JOIN below USING (path)
+"""
