@@ -1,15 +1,16 @@
 """Corpus pipeline: quality rules, SimHash near-dedup, personal data, best-fit packing.
 
 Every stage reads the table the one before has written; all but the last give the columns of
-`documents`. The near-dedup group is a component of texts whose five-word shingles have a
-similarity of 0.8 or more, confirmed exactly (not the fingerprint group of op1); the personal data are replaced by their kind, and the packed sequences hold what is left.
+`documents`. Near-duplicates are the components of fingerprints as op1 links them (three-word
+shingles, two bits); personal data are replaced by their kind, and the packed sequences hold
+what is left.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchwright.llm import bpe, packing, pii, quality, similar
+from matchwright.llm import bpe, packing, pii, quality, simhash
 from matchwright.llm.queries import tokenizer_path
 from matchwright.session import stage
 
@@ -20,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8 or more) stays."""
-    return similar.keep_one(docs)
+    """One document of each group that fingerprints link stays: op1's shingles and its greatest distance."""
+    return simhash.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
