@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,19 +44,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared scratch folder and read back: ends the lineage, survives lost executors."""
+def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write to the shared scratch folder and read back: ends the lineage, survives lost executors.
+
+    The folder goes with the returned frame as `scratch_path`, for `discard`.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def discard(spark: SparkSession, tables: list[DataFrame]) -> None:
-    """Delete staged tables that nothing reads any more (their files below the scratch folder only)."""
-    root = scratch_root(spark)
-    folders = {f.rsplit("/", 1)[0] for t in tables for f in t.inputFiles()}
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in folders:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        if path.getParent().toUri().getPath().rstrip("/") == spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/"):
-            path.getFileSystem(hadoop).delete(path, True)
+    df.write.parquet(path, partitionBy=list(partition_by) or None)
+    out = df.sparkSession.read.schema(df.schema).parquet(path) if partition_by else df.sparkSession.read.parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more, each by the folder `stage` gave it."""
+    for table in tables:
+        sc = table.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from matchwright.operators import cutoffs
 from matchwright.operators import matching as M
 from matchwright.plans import recommend as R
 
@@ -44,8 +45,12 @@ def greedy(spark, rows, cap):
     return counts, sig_of
 
 
+@pytest.mark.parametrize("most", [cutoffs.MAX_BARS, 0])
 @pytest.mark.parametrize("seed, orders, providers, levels, cap", [(1, 60, 8, 5, 5), (2, 120, 10, 40, 9), (3, 40, 4, 2, 1), (4, 200, 12, 7, 30), (5, 90, 6, 3, 10)])
-def test_equals_sequential_greedy(spark, seed, orders, providers, levels, cap):
+def test_equals_sequential_greedy(spark, monkeypatch, seed, orders, providers, levels, cap, most):
+    """By cut-offs, and by holdings where there are more providers than cut-offs may be."""
+    monkeypatch.setattr(cutoffs, "MAX_BARS", most)
+    monkeypatch.setattr(cutoffs, "NAMED", seed)  # with and without a list of providers in the filter
     rows = instance(seed, orders, providers, levels)
     expected, sig_of = greedy(spark, rows, cap)
     out = M.assign_capacitated(spark.createDataFrame(rows, SCHEMA), cap=cap).collect()
