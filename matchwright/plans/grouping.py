@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler, VectorSlicer
 from pyspark.ml.feature import RobustScaler
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +20,9 @@ from matchwright.functions.expr import archetype
 from matchwright.operators import aggregates as A
 from matchwright.operators import forest as OF
 from matchwright.operators import quality as Q
+from matchwright.operators.kmeans import KMeansFit, fit_many, nearest
 from matchwright.operators.ranks import column_percentiles, melt
-from matchwright.session import stage
+from matchwright.session import discard, stage
 
 WHO = "DNI_PRESTADOR"
 FEATURES = list(K.FEATURES)
@@ -93,17 +92,6 @@ def pca_by_variance(df: DataFrame, columns: Sequence[str], target: float = K.PCA
 # ---- k-means --------------------------------------------------------------------------------------
 
 
-def best_kmeans(points: DataFrame, k: int, features: str, restarts: int, seed: int, side_by_side: int = 8) -> KMeansModel:
-    """Lowest cost over seeded restarts, which run side by side; ties go to the earlier seed."""
-
-    def fit(r: int) -> KMeansModel:
-        return KMeans(k=k, featuresCol=features, predictionCol="label", seed=seed + r).fit(points)
-
-    with ThreadPoolExecutor(max_workers=side_by_side) as pool:
-        models = list(pool.map(fit, range(restarts)))
-    return min(models, key=lambda m: m.summary.trainingCost)
-
-
 @dataclass
 class GridEntry:
     k: int
@@ -137,26 +125,22 @@ def kmeans_grid(
     k_range: Sequence[int] = K.K_RANGE,
     restarts: int = K.KMEANS_RESTARTS,
     seed: int = K.SEED,
-) -> tuple[DataFrame, dict[int, KMeansModel]]:
-    """One row per k with quality figures, and the fitted models."""
-    held = points.select(key, features).persist()
-    entries, models = [], {}
-    try:
-        for k in k_range:
-            model = best_kmeans(held, k, features, restarts, seed)
-            labelled = model.transform(held)
-            sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
-            entries.append(
-                GridEntry(
-                    k=int(k),
-                    inertia=float(model.summary.trainingCost),
-                    cluster_sizes=[sizes.get(i, 0) for i in range(k)],
-                    **evaluate_labels(labelled, features, key),
-                )
-            )
-            models[int(k)] = model
-    finally:
-        held.unpersist()
+) -> tuple[DataFrame, dict[int, KMeansFit]]:
+    """One row per k with quality figures, and the fitted models. All models are fitted together."""
+    held = stage(points.select(key, features).transform(Q.as_array, features).select(key, "x"), "grid-points")
+    models = fit_many(held, "x", k_range, restarts, seed)
+    labels = {f"label_{k}": nearest(m.centres, F.col("x")) for k, m in models.items()}
+    labelled = stage(held.withColumns(labels), "grid-labels")
+    entries = [
+        GridEntry(
+            k=int(k),
+            inertia=m.cost,
+            cluster_sizes=list(m.sizes),
+            **evaluate_labels(labelled.select(key, "x", F.col(f"label_{k}").alias("label")), "x", key),
+        )
+        for k, m in models.items()
+    ]
+    discard(held, labelled)
     rows = [tuple(vars(e)[c.split()[0]] for c in GRID_SCHEMA.split(", ")) for e in entries]
     return points.sparkSession.createDataFrame(rows, GRID_SCHEMA), models
 
@@ -234,7 +218,7 @@ class GroupingModel:
     cut: float
     scaling: DataFrame
     projection: PipelineModel
-    kmeans: KMeansModel
+    kmeans: KMeansFit
     remap: DataFrame
     metadata: dict[str, Any]
 
@@ -250,7 +234,7 @@ class GroupingModel:
         inliers = self._scored(prepared).where(F.col("outlier_score") >= self.cut).drop("outlier_score")
         # stored, so that the model below does not carry the whole chain of expressions
         projected = stage(self.project(inliers).select(WHO, "projected"), "grouping-predicted")
-        raw = self.kmeans.transform(projected).select(WHO, "label")
+        raw = self.kmeans.transform(projected, "projected").select(WHO, "label")
         placed = remapped(raw, self.remap).select(WHO, "cluster_id")
         return matrix.select(WHO).join(placed, WHO, "left").fillna(K.NOISE_CLUSTER, subset=["cluster_id"])
 
@@ -259,7 +243,7 @@ class GroupingModel:
         self.scaling.write.mode("overwrite").parquet(f"{path}/scaling")
         self.remap.write.mode("overwrite").parquet(f"{path}/remap")
         self.projection.write().overwrite().save(f"{path}/projection")
-        self.kmeans.write().overwrite().save(f"{path}/kmeans")
+        self.kmeans.save(self.forest.sparkSession, f"{path}/kmeans")
         facts = {"features": self.features, "sample_size": self.sample_size, "cut": self.cut, **self.metadata}
         spark = self.forest.sparkSession
         spark.createDataFrame([(json.dumps(facts),)], "value string").coalesce(1).write.mode("overwrite").text(
@@ -277,7 +261,7 @@ class GroupingModel:
             cut,
             spark.read.parquet(f"{path}/scaling"),
             PipelineModel.load(f"{path}/projection"),
-            KMeansModel.load(f"{path}/kmeans"),
+            KMeansFit.load(spark, f"{path}/kmeans"),
             spark.read.parquet(f"{path}/remap"),
             facts,
         )
@@ -310,12 +294,10 @@ def fit_grouping(
     grid, models = kmeans_grid(projected, key=WHO, k_range=k_range, restarts=restarts, seed=seed)
     chosen = require_k(grid, min_size, min_kept)
     best = models[chosen["k"]]
-    labelled = best.transform(projected)
+    labelled = best.transform(projected, "projected")
     remap = stage(size_remap(labelled, "label", min_size), "grouping-remap")
     spark = matrix.sparkSession
-    centres = spark.createDataFrame(
-        [(i, [float(v) for v in c]) for i, c in enumerate(best.clusterCenters())], "label int, centre array<double>"
-    )
+    centres = best.table(spark).select("label", "centre")
     placed = stage(
         remapped(centroid_distance(labelled, centres, "projected"), remap).drop("x"), "grouping-labels"
     )

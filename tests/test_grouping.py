@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchwright.operators import forest as OF
+from matchwright.operators import kmeans as KM
 from matchwright.operators import quality as Q
 from matchwright.plans import grouping as G
 
@@ -72,6 +73,53 @@ def test_agreement_extremes(spark):
         Q.compare_labelings(same, same)
 
 
+def test_many_kmeans_models_in_one_pass(spark):
+    """Each model against plain Lloyd rounds from the same start; several files, so that sums meet."""
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(0, 1, (400, 3)) + rng.integers(0, 3, (400, 1)) * 6, 6)
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)], "id int, v array<double>").repartition(5)
+    found = KM.fit_many(df, "v", (2, 3, 5), restarts=4, seed=9)
+    sample = np.array(sorted(map(tuple, x)))
+    for k in (2, 3, 5):
+        costs = []
+        for r in range(4):
+            c = KM._start(sample, k, np.random.default_rng([9, k, r]))
+            for _ in range(100):
+                label = ((x[:, None] - c) ** 2).sum(axis=2).argmin(axis=1)
+                new = np.array([x[label == j].mean(axis=0) if (label == j).any() else c[j] for j in range(k)])
+                moved, c = np.sqrt(((new - c) ** 2).sum(axis=1)).max(), new
+                if moved <= 1e-4:
+                    break
+            costs.append(((x[:, None] - c) ** 2).sum(axis=2).min(axis=1).sum())
+        model = found[k]
+        assert model.cost == pytest.approx(min(costs)) and sum(model.sizes) == 400 and model.k == k
+        own = {r["id"]: r["label"] for r in model.transform(df, "v").collect()}
+        d = ((x[:, None] - model.centres) ** 2).sum(axis=2)
+        assert all(d[i, j] <= d[i].min() + 1e-9 for i, j in own.items())
+
+
+def test_kmeans_is_no_worse_than_the_library(spark, blobs):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+
+    points = VectorAssembler(inputCols=["a", "b", "c"], outputCol="v").transform(blobs)
+    found = KM.fit_many(points, "v", (3, 4, 6), restarts=10)
+    for k, model in found.items():
+        theirs = min(KMeans(k=k, featuresCol="v", seed=s).fit(points).summary.trainingCost for s in range(3))
+        assert model.cost <= theirs * (1 + 1e-6)
+
+
+def test_kmeans_of_few_and_equal_points(spark, tmp_path):
+    df = spark.createDataFrame([([1.0, 2.0],)] * 6 + [([5.0, 5.0],)], "v array<double>")
+    model = KM.fit_many(df, "v", [4], restarts=2)[4]
+    assert model.cost == 0 and sorted(model.sizes) == [0, 0, 1, 6]
+    model.save(spark, str(tmp_path / "m"))
+    again = KM.KMeansFit.load(spark, str(tmp_path / "m"))
+    assert np.array_equal(again.centres, model.centres) and again.sizes == model.sizes
+    with pytest.raises(ValueError):
+        KM.fit_many(df.limit(0), "v", [2])
+
+
 def test_components(spark):
     assert G.components_for([0.95, 0.03, 0.02], 0.9) == 2
     assert G.components_for([0.5, 0.3, 0.15, 0.05], 0.9) == 3

@@ -8,8 +8,9 @@ from matchwright import constants as K
 from matchwright.operators import aggregates as A
 from matchwright.operators import forest as OF
 from matchwright.operators import quality as Q
+from matchwright.operators.kmeans import fit_many
 from matchwright.plans import grouping as G
-from matchwright.session import scratch_path
+from matchwright.session import scratch_path, stage
 from workload.registry import matrix, providers, query
 from workload.sqlparts import ARCHETYPE
 from workload.views import Tables, cte
@@ -264,13 +265,48 @@ def encoded_visits(t: Tables):
     return A.one_hot_vector(df, ["TIPO_PROGRAMACION", "DSESTADO_PROGRAMACION"])
 
 
+def fixed_labels(t: Tables):
+    rows = VectorAssembler(inputCols=["DURACION", "encoded"], outputCol="v").transform(encoded_visits(t))
+    rows = stage(rows.select("DNI_PRESTADOR", "NMCONSECUTIVO_ORDEN", "v"), "fixed-points")
+    model = fit_many(rows, "v", [4], restarts=K.KMEANS_RESTARTS, seed=K.SEED)[4]
+    return model, model.transform(rows, "v")
+
+
 @query("kmeans_fixed")
 def kmeans_fixed(t: Tables):
     """k = 4 on standardised numbers and one-hot categories of the task table: a label per row."""
-    rows = VectorAssembler(inputCols=["DURACION", "encoded"], outputCol="v").transform(encoded_visits(t))
-    rows = rows.select("DNI_PRESTADOR", "NMCONSECUTIVO_ORDEN", "v").persist()
-    model = G.best_kmeans(rows, 4, "v", restarts=K.KMEANS_RESTARTS, seed=K.SEED)
-    return model.transform(rows).select("DNI_PRESTADOR", "NMCONSECUTIVO_ORDEN", F.col("label").alias("CLUSTER_ASIGNADO"))
+    _, labelled = fixed_labels(t)
+    return labelled.select("DNI_PRESTADOR", "NMCONSECUTIVO_ORDEN", F.col("label").alias("CLUSTER_ASIGNADO"))
+
+
+_LEVELS = "(SELECT sum(c - c * c / t) FROM (SELECT count(*)::double AS c, (SELECT count(*) FROM fx_citas) AS t FROM fx_citas WHERE {c} IS NOT NULL GROUP BY {c}))"
+
+
+@query(
+    "kmeans_fixed_identities",
+    f"""SELECT count(*) AS n, 4::bigint AS k, 0::bigint AS n_nearer_elsewhere, true AS cost_is_within,
+    CASE WHEN stddev_samp(DURACION) > 0 THEN count(*) - 1 ELSE 0 END + {_LEVELS.format(c="TIPO_PROGRAMACION")} + {_LEVELS.format(c="DSESTADO_PROGRAMACION")} AS total FROM fx_citas""",
+    rounds=["total"],
+    digits=4,
+)
+def kmeans_fixed_identities(t: Tables):
+    """What holds for every grouping into nearest centres: within and between add up to the total
+    (a standardised column has n - 1, a 0/1 column c - c*c/n), the stored cost is the within part
+    recomputed from the labels, and no row lies nearer to another group's centre."""
+    model, labelled = fixed_labels(t)
+    placed = labelled.transform(Q.as_array, "v")
+    groups = Q.group_means(placed, "label")
+    dims = groups.select("n", F.posexplode("centre").alias("d", "m"))
+    means = dims.groupBy("d").agg(F.sum("n").alias("all"), (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("mean"))
+    between = dims.join(means, "d").agg(F.sum(F.col("n") * F.pow(F.col("m") - F.col("mean"), 2))).scalar()
+    distances = F.array(*(Q.squared_distance(F.col("x"), F.array(*(F.lit(float(v)) for v in c))) for c in model.centres))
+    own = F.get(distances, F.col("label"))
+    rows = placed.select(own.alias("own"), F.array_min(distances).alias("least"))
+    checked = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("own") > F.col("least") + 1e-9).alias("n_nearer_elsewhere"), F.sum("own").alias("cost"))
+    return checked.select(
+        "n", F.lit(model.k).cast("long").alias("k"), "n_nearer_elsewhere", (F.abs(F.col("cost") - model.cost) <= 1e-6 * model.cost).alias("cost_is_within"),
+        (groups.agg(F.sum("within")).scalar() + between).alias("total"),
+    )
 
 
 PROFILE = (
