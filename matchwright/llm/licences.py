@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +40,48 @@ TEMPLATES: dict[str, tuple[str, str]] = {
         "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
         "permission to use copy modify",
     ),
+    "mit-text": (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and "
+        "associated documentation files the software to deal in the software without restriction including "
+        "without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies "
+        "of the software and to permit persons to whom the software is furnished to do so subject to the following "
+        "conditions the above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the software the software is provided as is without warranty of any kind express "
+        "or implied including but not limited to the warranties of merchantability fitness for a particular purpose "
+        "and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or "
+        "other liability whether in an action of contract tort or otherwise arising from out of or in connection "
+        "with the software or the use or other dealings in the software",
+        "substantial portions of the software",
+    ),
+    "bsd-3-text": (
+        "redistribution and use in source and binary forms with or without modification are permitted provided that "
+        "the following conditions are met redistributions of source code must retain the above copyright notice this "
+        "list of conditions and the following disclaimer redistributions in binary form must reproduce the above "
+        "copyright notice this list of conditions and the following disclaimer in the documentation and or other "
+        "materials provided with the distribution neither the name of the copyright holder nor the names of its "
+        "contributors may be used to endorse or promote products derived from this software without specific prior "
+        "written permission",
+        "endorse or promote products derived from this software",
+    ),
+    "isc-text": (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies the "
+        "software is provided as is and the author disclaims all warranties with regard to this software",
+        "the author disclaims all warranties",
+    ),
+    "zlib-text": (
+        "this software is provided as is without any express or implied warranty in no event will the authors be held "
+        "liable for any damages arising from the use of this software permission is granted to anyone to use this "
+        "software for any purpose including commercial applications and to alter it and redistribute it freely "
+        "subject to the following restrictions the origin of this software must not be misrepresented",
+        "the origin of this software must not be misrepresented",
+    ),
+    "unlicense-text": (
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish "
+        "use compile sell or distribute this software either in source code form or as a compiled binary for any "
+        "purpose commercial or non commercial and by any means",
+        "free and unencumbered software",
+    ),
 }
 
 #: phrase -> label of the base scan
@@ -90,35 +130,33 @@ def places(phrase: str) -> Column:
     return F.when(holds, found).otherwise(F.array().cast("array<int>"))
 
 
-def rare_words(df: DataFrame, words: list[str], share: float) -> list[str]:
-    """Licence words by falling IDF over all rows, without the most common `1 - share` of them.
+def rare_words(df: DataFrame, templates: dict[str, tuple[str, str]], probes: int) -> dict[str, list[str]]:
+    """Of each template the `probes` words of highest IDF over all rows (all, if it has fewer); ties by the word.
 
     One count per licence word comes to the driver: their number is that of the templates' words.
     """
-    rows = df.count()
     counted = {r.w: r.n for r in df.select(F.explode("held").alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
-    idf = {w: math.log((rows + 1) / (counted.get(w, 0) + 1)) for w in words}
-    ordered = sorted(words, key=lambda w: (-idf[w], w))
-    return ordered[: math.ceil(share * len(ordered))]
+    # the IDF falls as the number of rows that hold the word grows
+    return {label: sorted(set(text.split()), key=lambda w: (counted.get(w, 0), w))[:probes] for label, (text, _) in templates.items()}
 
 
 def scan(
     docs: DataFrame,
     templates: dict[str, tuple[str, str]] = TEMPLATES,
-    share: float = 0.7,
-    per_file: int = 8,
+    probes: int = 12,
     slack: int = 2,
     least: float = 0.6,
 ) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row.
 
-    Base: all places of the `BASE` phrases. Templates: a file's `per_file` licence words of
-    highest IDF (counted over all rows) are looked up in the postings of the template words;
-    the difference of file place and template place must agree, so an alignment is a
-    (file, template, difference) with its number of agreeing words. It holds when at least
-    `least` of the template's indexed places that these words can give agree and the
-    template's key phrase stands within `slack` words of its place. score: the highest
-    share of agreeing places, at least 0.5 where a base phrase stands, else 0.
+    Base: all places of the `BASE` phrases. Templates: the index holds every place of a
+    template's `probes` words of highest IDF (counted over all rows). In each file the words of
+    every template whose key phrase stands are looked up; the difference of file place and
+    template place must agree, so an alignment is a (file, template, difference) with its
+    number of agreeing places. It holds when at least `least` of the template's indexed places
+    agree and the key phrase stands within `slack` words of its place. No template stands
+    back for another, however many notices a file has. score: the highest share of agreeing
+    places, at least 0.5 where a base phrase stands, else 0.
 
     Null and empty texts have no words, empty label strings and score 0; ties and repeated
     rows each give their own row; other columns are not read; an empty table gives no rows.
@@ -128,33 +166,23 @@ def scan(
     found = hits(docs, words)
     held = F.array_distinct(F.transform("hits", lambda x: x.w))
     rows = stage(found.withColumn("held", held), "licence-hits")
-    rare = rare_words(rows, words, share)
-    index = [(label, w, p) for label, (text, _) in templates.items() for p, w in enumerate(text.split()) if w in set(rare)]
-    postings = spark.createDataFrame(index, "label string, w string, p int")
+    rare = rare_words(rows, templates, probes)
+    index = [(label, w, p) for label, (text, _) in templates.items() for p, w in enumerate(text.split()) if w in rare[label]]
+    able = {label: sum(1 for x in index if x[0] == label) for label in templates}
+    postings = spark.createDataFrame([(label, w, p, able[label]) for label, w, p in index], "label string, w string, p int, able int")
     keys = [(label, key, len(f" {text} ".split(f" {key} ")[0].split())) for label, (text, key) in templates.items()]
 
-    top = F.slice(F.filter(F.array(*map(F.lit, rare)), lambda v: F.array_contains("held", v)), 1, per_file)
-    files = rows.withColumn("top", top).where(F.size("top") > 0)
     marks = F.array(*(F.struct(F.lit(label).alias("label"), F.lit(at).alias("at"), places(key).alias("starts")) for label, key, at in keys))
-    files = files.withColumn("keys", F.filter(marks, lambda m: F.size(m.starts) > 0)).where(F.size("keys") > 0)
-
-    # what the chosen words can give at most, per template: its postings of those words
-    look = files.select("uid", "top", "keys", F.explode(F.filter("hits", lambda x: F.array_contains("top", x.w))).alias("h"))
+    files = rows.withColumn("keys", F.filter(marks, lambda m: F.size(m.starts) > 0)).where(F.size("keys") > 0)
+    probed = sorted({w for ws in rare.values() for w in ws})
+    standing = F.transform("keys", lambda k: k.label)
+    look = files.select("uid", standing.alias("standing"), F.explode(F.filter("hits", lambda x: x.w.isin(probed))).alias("h"))
     # the postings are as many rows as the templates have words
-    votes = look.join(F.broadcast(postings), F.col("h.w") == F.col("w")).select(
-        "uid", "label", (F.col("h.i") - F.col("p")).alias("shift"), "p"
-    )
-    aligned = votes.groupBy("uid", "label", "shift").agg(F.count("*").alias("agree"))
-    able = (
-        files.select("uid", F.explode("top").alias("w"))
-        .join(F.broadcast(postings), "w")
-        .groupBy("uid", "label")
-        .agg(F.count("*").alias("able"))
-    )
+    votes = look.join(F.broadcast(postings), F.col("h.w") == F.col("w")).where(F.array_contains("standing", F.col("label")))
+    aligned = votes.groupBy("uid", "label", "able", (F.col("h.i") - F.col("p")).alias("shift")).agg(F.count("*").alias("agree"))
     key_rows = files.select("uid", F.explode("keys").alias("k")).select("uid", F.col("k.label").alias("label"), F.col("k.at").alias("at"), F.col("k.starts").alias("starts"))
     verified = (
-        aligned.join(able, ["uid", "label"])
-        .where(F.col("agree") >= least * F.col("able"))
+        aligned.where(F.col("agree") >= least * F.col("able"))
         .join(key_rows, ["uid", "label"])
         .where(F.exists("starts", lambda s: F.abs(s - F.col("shift") - F.col("at")) <= slack))
         .groupBy("uid")

@@ -102,7 +102,7 @@ def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
-def _licence_sql(share: float = 0.7, per_file: int = 8, slack: int = 2, least: float = 0.6) -> str:
+def _licence_sql(probes: int = 12, slack: int = 2, least: float = 0.6) -> str:
     """The scan as joins over one row per word; the tables of templates and phrases are written out as values."""
     rows = lambda xs: ", ".join(xs)
     words = rows(f"('{w}')" for w in licences.vocabulary())
@@ -121,24 +121,23 @@ w AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM
 vocab(word) AS (VALUES {words}), posting(label, word, p) AS (VALUES {posts}),
 keyed(label, phrase, site) AS (VALUES {keys}), based(phrase, label) AS (VALUES {base}),
 df AS (SELECT v.word, count(DISTINCT rid) AS n FROM vocab v LEFT JOIN w USING (word) GROUP BY v.word),
-rank AS (SELECT word, row_number() OVER (ORDER BY n, word) AS r FROM df),
-rare AS (SELECT word, r FROM rank WHERE r <= ceil({share} * (SELECT count(*) FROM vocab))),
-top AS (
-    SELECT rid, word FROM (
-        SELECT rid, word, row_number() OVER (PARTITION BY rid ORDER BY r) AS k FROM (SELECT DISTINCT rid, word FROM w) JOIN rare USING (word)
-    ) WHERE k <= {per_file}
-), phrases AS (SELECT DISTINCT phrase FROM (SELECT phrase FROM keyed UNION ALL SELECT phrase FROM based)),
+probe AS (
+    SELECT label, word FROM (
+        SELECT label, word, row_number() OVER (PARTITION BY label ORDER BY n, word) AS k FROM (SELECT DISTINCT label, word FROM posting) JOIN df USING (word)
+    ) WHERE k <= {probes}
+), indexed AS (SELECT label, word, p FROM posting JOIN probe USING (label, word)),
+phrases AS (SELECT DISTINCT phrase FROM (SELECT phrase FROM keyed UNION ALL SELECT phrase FROM based)),
 part AS (SELECT phrase, unnest(string_split(phrase, ' ')) AS word, generate_subscripts(string_split(phrase, ' '), 1) - 1 AS k FROM phrases),
 place AS (
     SELECT rid, phrase, pos - k AS start FROM w JOIN part USING (word)
     GROUP BY rid, phrase, pos - k HAVING count(*) = len(string_split(phrase, ' '))
-), aligned AS (
-    SELECT rid, label, pos - p AS shift, count(*) AS agree FROM w JOIN top USING (rid, word) JOIN posting USING (word)
-    GROUP BY rid, label, pos - p
-), able AS (SELECT rid, label, count(*) AS able FROM top JOIN posting USING (word) GROUP BY rid, label),
+), standing AS (SELECT rid, label, start, site FROM place JOIN keyed USING (phrase)),
+aligned AS (
+    SELECT rid, label, pos - p AS shift, count(*) AS agree FROM w JOIN indexed USING (word)
+    SEMI JOIN standing USING (rid, label) GROUP BY rid, label, pos - p
+), able AS (SELECT label, count(*) AS able FROM indexed GROUP BY label),
 verified AS (
-    SELECT rid, label, max(agree / able) AS share FROM aligned JOIN able USING (rid, label)
-    JOIN keyed USING (label) JOIN place USING (rid, phrase)
+    SELECT rid, label, max(agree / able) AS share FROM aligned JOIN able USING (label) JOIN standing USING (rid, label)
     WHERE agree >= {least} * able AND abs(start - shift - site) <= {slack} GROUP BY rid, label
 ), own AS (SELECT rid, label, start FROM place JOIN based USING (phrase)),
 o AS (

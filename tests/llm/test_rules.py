@@ -99,3 +99,25 @@ def test_hot_word_in_a_long_text(spark):
     row = licences.scan(docs).first()
     assert row.n_base == 19999 and row.n_words == 40000
     assert docs.select(F.length("text")).first()[0] == 240000
+
+
+def test_no_notice_hides_another(spark):
+    """Every ordered pair of templates, and all in one file after long prose with licence words, keep what each finds alone."""
+    texts = {label: text for label, (text, _) in licences.TEMPLATES.items()}
+    prose = "the license of this software may be used by any person under the terms and conditions of the copyright holder " * 300
+    names = list(texts)
+    rows = [*texts.values(), *(f"{texts[a]}.\n\n{texts[b]}" for a in names for b in names if a != b)]
+    rows += [prose + ". ".join(texts.values()), prose + " ".join(reversed(texts.values()))]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.doc_id: set(r.labels.split(",")) for r in licences.scan(docs).collect()}
+    alone = {label: found[i] for i, label in enumerate(names)}
+    assert all(label in labels for label, labels in alone.items())
+    pairs = [(a, b) for a in names for b in names if a != b]
+    assert [(a, b) for i, (a, b) in enumerate(pairs, len(names)) if not alone[a] | alone[b] <= found[i]] == []
+    assert all(set().union(*alone.values()) <= found[i] for i in (len(rows) - 2, len(rows) - 1))
+
+
+def test_prose_of_licence_words_is_no_notice(spark):
+    text = "a person may copy this software and the license permits it " * 40 + "permission is hereby granted to sit down"
+    row = licences.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.labels == "" and row.score == 0.0
