@@ -56,9 +56,24 @@ def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFr
     return out
 
 
+def _folder(spark: SparkSession, path: str):
+    """The path and its Hadoop file system: Spark itself has no call to look for a folder or to delete one."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, store = _folder(spark, path)
+    return store.exists(folder)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whatever store it lies."""
+    folder, store = _folder(spark, path)
+    store.delete(folder, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete staged tables that nothing reads any more, each by the folder `stage` gave it."""
     for table in tables:
-        sc = table.sparkSession.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        delete(table.sparkSession, table.scratch_path)

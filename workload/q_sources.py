@@ -169,23 +169,38 @@ def materialize(t: Tables):
     return ST.materialize(t.spark, path, build)
 
 
+# text columns of each baked table, by which its rows are compared
+BAKED = {
+    "feat_prestador": ("o_provider", ["DNI_PRESTADOR", "bloque_principal", "tipo_perfil", "etapa_predominante", "tipo_red"]),
+    "clustering_input": ("o_matrix", ["DNI_PRESTADOR"]),
+    "feat_empresa": ("o_company", ["Empresa_Id", "Segmentacion_Arl_Desc", "Ruta_Atencion"]),
+}
+
+
+def _row_text(columns: list[str]) -> str:
+    return "concat_ws('|', " + ", ".join(f"coalesce(cast({c} AS string), '~')" for c in columns) + ")"
+
+
 @query(
     "bake_targets",
-    "SELECT 'feat_prestador' AS name, count(*) AS n FROM o_provider UNION ALL SELECT 'clustering_input', count(*) FROM o_matrix "
-    "UNION ALL SELECT 'feat_empresa', count(*) FROM o_company",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS name, md5({_row_text(columns)}) AS row_hash, count(*) AS n FROM {view} GROUP BY ALL" for name, (view, columns) in BAKED.items()
+    ),
 )
 def bake_targets(t: Tables):
+    """Every row of the baked tables by a hash of its text columns; the matrix is built from the stored provider table."""
     from matchwright.plans.company_features import company_table
 
     registry = {
-        "feat_prestador": lambda done: PF.provider_table(t.catalog, t.master, t.visits, t.orders, t.companies),
-        "clustering_input": lambda done: PF.grouping_matrix(done["feat_prestador"]),
-        "feat_empresa": lambda done: company_table(t.companies, t.orders, t.visits),
+        "clustering_input": ST.Target(lambda done: PF.grouping_matrix(done["feat_prestador"]), ("feat_prestador",), {"known": F.col("DNI_PRESTADOR").isNotNull()}),
+        "feat_prestador": ST.Target(lambda done: PF.provider_table(t.catalog, t.master, t.visits, t.orders, t.companies)),
+        "feat_empresa": ST.Target(lambda done: company_table(t.companies, t.orders, t.visits)),
     }
+    baked = ST.bake_targets(t.spark, registry, scratch_path(t.spark, "gold"))
     out = None
-    for name, df in ST.bake_targets(t.spark, registry, scratch_path(t.spark, "gold")).items():
-        row = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-        out = row if out is None else out.unionByName(row)
+    for name, (_, columns) in BAKED.items():
+        rows = baked[name].select(F.lit(name).alias("name"), F.expr(f"md5({_row_text(columns)})").alias("row_hash")).groupBy("name", "row_hash").agg(F.count(F.lit(1)).alias("n"))
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
