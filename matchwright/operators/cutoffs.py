@@ -9,8 +9,8 @@ arrive further down their lists, and only the providers where they arrive are lo
 Bars only rise, and where no provider is above its room any more, the bars are those of the
 one stable matching (deferred acceptance, in whatever order it is carried out).
 
-Groups are found through an inverted index, provider to groups, stored in buckets: a round
-reads the buckets of the providers it looks at and no others.
+A round reads the stored groups once; where it looks at few providers, the lists that name
+none of them are passed over in the scan, before anything is worked out or sent on.
 """
 
 from __future__ import annotations
@@ -26,15 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from matchwright.session import discard, stage
+from matchwright.session import stage
 
 log = logging.getLogger(__name__)
 
 #: Most providers whose bars (48 bytes each) are sent to the tasks; more take the way by holdings.
 MAX_BARS = 1 << 21
-BUCKETS, SPREAD = 64, 16
-#: Providers named one by one in the filter of the index; more are told apart by bucket only.
-NAMED = 400
+#: Providers named one by one in the filter of the scan; for more, all groups are worked out.
+NAMED = 200
+#: With more bars raised than this, the next round looks at all providers without asking which are reached.
+FEW = 20
 PAIR = ("loss", "slot", "sig_a", "sig_b")
 
 
@@ -123,51 +124,28 @@ def _numbered(groups: DataFrame, slots: int) -> DataFrame:
     )
 
 
-def _stored_index(numbered: DataFrame) -> DataFrame:
-    """One row per group and list place, in folders by provider bucket.
-
-    Groups of one provider are spread over `SPREAD` tasks, so that a provider that most groups
-    list does not make one task.
-    """
-    places = numbered.select(*_GROUP, F.posexplode("providers").alias("place", "provider"))
-    rows = places.withColumn("bucket", F.pmod("provider", F.lit(BUCKETS)).cast("int"))
-    dealt = rows.repartition("bucket", F.pmod("sig_b", F.lit(SPREAD))).sortWithinPartitions("bucket", "provider")
-    return stage(dealt, "cutoff-index", partition_by=["bucket"])
-
-
-def _rows_of(index: DataFrame, providers: list[int] | None) -> DataFrame:
-    """Index rows of the providers (None: all), reading only their buckets."""
-    if providers is None:
-        return index
-    rows = index.where(F.col("bucket").isin(sorted({p % BUCKETS for p in providers})))
-    if len(providers) <= NAMED:
-        return rows.where(F.col("provider").isin(providers))
-    known = index.sparkSession.sparkContext.broadcast(np.array(sorted(providers), np.int64))
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(np.isin(b.column(b.schema.names.index("provider")).to_numpy(), known.value)))
-
-    return rows.mapInArrow(keep, rows.schema)
+def _listing(groups: DataFrame, providers: list[int] | None) -> DataFrame:
+    """Groups that list one of the providers (None or too many to name: all groups)."""
+    if providers is None or len(providers) > NAMED:
+        return groups
+    return groups.where(F.arrays_overlap("providers", F.array(*map(F.lit, providers))))
 
 
-def _asks(rows: DataFrame, bars: Bars) -> DataFrame:
-    """provider, the pair and units of every index row whose provider takes something of the group."""
-    given = rows.sparkSession.sparkContext.broadcast(bars)  # a row per full provider, MAX_BARS at most
+def _asks(groups: DataFrame, bars: Bars) -> DataFrame:
+    """provider, the pair and units of every group and provider that takes something of it."""
+    given = groups.sparkSession.sparkContext.broadcast(bars)  # a row per full provider, MAX_BARS at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = Lists.of(batch)
-            place = batch.column(batch.schema.names.index("place")).to_numpy()
-            row = np.arange(batch.num_rows)
-            units = given.value.taken(lists)[row, place]
-            some = units > 0
+            units = given.value.taken(lists)
+            row, place = np.nonzero(units)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[some]) for x in (lists.provider[row, place], lists.loss[row, place], lists.slot, lists.sig_a, lists.sig_b, units)],
+                [pa.array(x) for x in (lists.provider[row, place], lists.loss[row, place], lists.slot[row], lists.sig_a[row], lists.sig_b[row], units[row, place])],
                 ["provider", *PAIR, "units"],
             )
 
-    return rows.select(*_GROUP, "place").mapInArrow(run, "provider long, loss double, slot long, sig_a long, sig_b long, units long")
+    return groups.select(*_GROUP).mapInArrow(run, "provider long, loss double, slot long, sig_a long, sig_b long, units long")
 
 
 def _raises(asks: DataFrame, cap: int) -> DataFrame:
@@ -177,6 +155,7 @@ def _raises(asks: DataFrame, cap: int) -> DataFrame:
     step in which a provider becomes full.
     """
     step = ["provider", "loss", "slot"]
+    asks = asks.repartition(*step)  # dealt once, read by both branches below
     totals = asks.groupBy(*step).agg(F.sum("units").alias("total"))
     by_provider = W.partitionBy("provider")
     earlier = by_provider.orderBy("loss", "slot").rowsBetween(W.unboundedPreceding, -1)
@@ -202,18 +181,18 @@ def _reached(rows: DataFrame, old: Bars, new: Bars) -> list[int]:
     return [r[0] for r in rows.select(*_GROUP).mapInArrow(run, "provider long").distinct().collect()]
 
 
-def fits(groups: DataFrame) -> bool:
-    """Whether the providers are few enough for bars on the driver, and their numbers differ."""
+def count_providers(groups: DataFrame) -> tuple[int, bool]:
+    """How many providers are listed, and whether bars for all of them may be used (few enough, numbers differ)."""
     listed = groups.select(F.explode("cands.provider").alias("p")).distinct()
     row = listed.agg(F.count("*").alias("n"), F.count_distinct(F.xxhash64("p")).alias("numbers")).first()
-    return row["n"] <= MAX_BARS and row["n"] == row["numbers"]
+    return row["n"], row["n"] <= MAX_BARS and row["n"] == row["numbers"]
 
 
 def search(groups: DataFrame, cap: int, slots: int, max_rounds: int = 10_000) -> DataFrame:
     """sig_a, sig_b, pos, provider, held: what each group gets from its listed providers.
 
     Takes groups with sig_a, sig_b, qty and cands, an array of (loss, provider) in order of
-    preference, read from a stored table; `fits` says whether this way is open. Providers
+    preference, read from a stored table; `count_providers` says whether this way is open. Providers
     prefer by loss, hash slot of the group and signature. Every round but the last raises a
     bar, and a bar is raised at most once per pair, so the loop ends; `max_rounds` turns a
     fault into an error.
@@ -221,21 +200,23 @@ def search(groups: DataFrame, cap: int, slots: int, max_rounds: int = 10_000) ->
     if cap < 1:
         return groups.select("sig_a", "sig_b", F.lit(0).alias("pos"), F.lit(None).cast("string").alias("provider"), F.lit(0).cast("long").alias("held")).limit(0)
     numbered = stage(_numbered(groups, slots), "cutoff-groups")
-    index = _stored_index(numbered)
     bars, looked_at = Bars.none(), None
     for round_ in range(1, max_rounds + 1):
         start = time.perf_counter()
-        raised = _raises(_asks(_rows_of(index, looked_at), bars), cap).collect()  # a row per provider at most
+        raises = _raises(_asks(_listing(numbered, looked_at), bars), cap)
+        if looked_at is not None and len(looked_at) <= NAMED:  # of the others only some of their groups were read
+            raises = raises.where(F.col("provider").isin(looked_at))
+        raised = raises.collect()  # a row per provider at most
         if not raised:
             break
         old, bars = bars, bars.raised(raised)
-        looked_at = _reached(_rows_of(index, [r[0] for r in raised]), old, bars)
-        log.info("cut-off round %d: %d bars raised, %d providers reached, %.2f s", round_, len(raised), len(looked_at), time.perf_counter() - start)
-        if not looked_at:
+        if len(raised) > FEW:
+            looked_at = None
+        elif not (looked_at := _reached(_listing(numbered, [r["provider"] for r in raised]), old, bars)):
             break
+        log.info("cut-off round %d: %d bars raised, %s providers reached, %.2f s", round_, len(raised), "all" if looked_at is None else len(looked_at), time.perf_counter() - start)
     else:
-        raise RuntimeError(f"no settlement after {max_rounds} rounds; {len(looked_at)} providers still above their room")
-    discard(index)
+        raise RuntimeError(f"no settlement after {max_rounds} rounds; {len(raised)} providers still above their room")
     given = groups.sparkSession.sparkContext.broadcast(bars)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -51,6 +51,7 @@ def test_equals_sequential_greedy(spark, monkeypatch, seed, orders, providers, l
     """By cut-offs, and by holdings where there are more providers than cut-offs may be."""
     monkeypatch.setattr(cutoffs, "MAX_BARS", most)
     monkeypatch.setattr(cutoffs, "NAMED", seed)  # with and without a list of providers in the filter
+    monkeypatch.setattr(cutoffs, "FEW", 3 * seed)
     rows = instance(seed, orders, providers, levels)
     expected, sig_of = greedy(spark, rows, cap)
     out = M.assign_capacitated(spark.createDataFrame(rows, SCHEMA), cap=cap).collect()
