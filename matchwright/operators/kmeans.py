@@ -84,40 +84,41 @@ def _start(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     return sample[chosen].astype(np.float64)
 
 
-def _sums(points: DataFrame, models: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
-    """Per model: counts and coordinate sums of the points nearest to each centre, and the cost."""
-    flat = np.concatenate(models)
-    dims = flat.shape[1]
+def _pass(points: DataFrame, models: list[np.ndarray], width: int, measure, extra=None) -> list[np.ndarray]:
+    """Sums over all points of `measure(x, label, scores, extra_of_model)`, a (k, width) array per model and batch."""
     bounds = np.cumsum([0, *(len(m) for m in models)])
-    given = points.sparkSession.sparkContext.broadcast((flat, bounds))  # models x k x dimensions, as asked for
-    width = dims + 2  # count, cost, sums
+    given = points.sparkSession.sparkContext.broadcast((np.concatenate(models), bounds, extra))  # models x k x dimensions, as asked for
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres, at = given.value
+        centres, at, more = given.value
         out = np.zeros((len(centres), width))
-        some = False
         for batch in batches:
-            whole = _points(batch.column(0))
-            some = some or len(whole) > 0
+            whole = _points(batch.column(0)) if batch.num_rows else np.zeros((0, centres.shape[1]))
             for s in range(0, len(whole), CHUNK):
                 x = whole[s : s + CHUNK]
                 scores = (centres * centres).sum(axis=1) - 2 * (x @ centres.T)
-                own = (x * x).sum(axis=1)
-                for a, b in zip(at[:-1], at[1:]):
+                for i, (a, b) in enumerate(zip(at[:-1], at[1:])):
                     label = scores[:, a:b].argmin(axis=1)
                     one = (label[:, None] == np.arange(b - a)).astype(np.float64)
-                    out[a:b, 0] += one.sum(axis=0)
-                    out[a:b, 1] += one.T @ np.maximum(own + scores[np.arange(len(x)), a + label], 0)
-                    out[a:b, 2:] += one.T @ x
-        if some:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(out.size)), pa.array(out.ravel())], ["place", "v"])
-
-    total = np.zeros(len(flat) * width)
-    summed = points.select("x").mapInArrow(run, "place long, v double").groupBy("place").agg(F.sum("v").alias("v"))
-    for place, v in summed.collect():  # the sums of all centres, whatever the number of points
+                    out[a:b] += one.T @ measure(x, label, None if more is None else more[i])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(out.size)), pa.array(out.ravel())], ["place", "v"])
+
+    total = np.zeros(bounds[-1] * width)
+    for place, v in points.select("x").mapInArrow(run, "place long, v double").groupBy("place").agg(F.sum("v").alias("v")).collect():
         total[place] = v
-    total = total.reshape(len(flat), width)
-    return [(total[a:b, 0], total[a:b, 2:], float(total[a:b, 1].sum())) for a, b in zip(bounds[:-1], bounds[1:])]
+    total = total.reshape(-1, width)
+    return [total[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+def _costs_of(x: np.ndarray, label: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Per point: 1, squared distance to its centre, and x."""
+    return np.column_stack((np.ones(len(x)), ((x - centres[label]) ** 2).sum(axis=1), x))
+
+
+def _sums(points: DataFrame, models: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """Per model: counts and coordinate sums of the points nearest to each centre, and the cost."""
+    width = models[0].shape[1] + 2
+    return [(s[:, 0], s[:, 2:], float(s[:, 1].sum())) for s in _pass(points, models, width, _costs_of, models)]
 
 
 def fit_many(
@@ -160,3 +161,67 @@ def fit_many(
             best[name[0]] = KMeansFit(centres[name], cost, tuple(int(c) for c in count))
     discard(points)
     return best
+
+
+@dataclass(frozen=True)
+class Figures:
+    """How good one model's grouping is, over all points; None where a figure is not defined."""
+
+    silhouette: float | None
+    calinski_harabasz: float | None
+    davies_bouldin: float | None
+
+
+def _groups_of(x: np.ndarray, label: np.ndarray, _) -> np.ndarray:
+    """Per point: 1, |x|^2 and x."""
+    return np.column_stack((np.ones(len(x)), (x * x).sum(axis=1), x))
+
+
+def _spreads_of(x: np.ndarray, label: np.ndarray, stats: tuple) -> np.ndarray:
+    """Per point: squared distance to its group's mean, distance, and silhouette under squared distance.
+
+    The mean squared distance to a group of n points with mean m and mean square q is
+    |x|^2 - 2 x.m + q, so the groups' sums are all a point needs to see.
+    """
+    n, mean, square = stats
+    row = np.arange(len(x))
+    own = ((x - mean[label]) ** 2).sum(axis=1)
+    to_group = np.maximum((x * x).sum(axis=1)[:, None] - 2 * (x @ mean.T) + square, 0)
+    to_group[:, n == 0] = np.inf
+    size = n[label]
+    a = to_group[row, label] * size / np.maximum(size - 1, 1)
+    to_group[row, label] = np.inf
+    b = to_group.min(axis=1)
+    top = np.maximum(a, b)
+    fine = (size > 1) & np.isfinite(b) & (top > 0)
+    s = np.where(fine, (np.where(fine, b, 0) - a) / np.where(fine, top, 1), 0.0)
+    return np.column_stack((own, np.sqrt(own), s))
+
+
+def figures(points: DataFrame, models: dict[int, KMeansFit]) -> dict[int, Figures]:
+    """Silhouette (squared distance), Calinski-Harabasz and Davies-Bouldin of all models in two passes over `x`.
+
+    The same figures as `operators.quality` gives for each labelling by itself.
+    """
+    centres = [m.centres for m in models.values()]
+    dims = centres[0].shape[1]
+    stats = []
+    for sums in _pass(points, centres, dims + 2, _groups_of):
+        n = sums[:, 0]
+        stats.append((n, sums[:, 2:] / np.maximum(n, 1)[:, None], sums[:, 1] / np.maximum(n, 1)))
+    out = {}
+    for k, (n, mean, _), sums in zip(models, stats, _pass(points, centres, 3, _spreads_of, stats)):
+        used = n > 0
+        n, mean, (within, spread, silhouettes) = n[used], mean[used], sums[used].T
+        total, groups = n.sum(), len(n)
+        between = (n * ((mean - (n[:, None] * mean).sum(axis=0) / total) ** 2).sum(axis=1)).sum()
+        fine = 1 < groups < total and within.sum() > 0
+        gaps = np.sqrt(((mean[:, None] - mean[None]) ** 2).sum(axis=2))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ratio = np.where(gaps > 0, ((spread / n)[:, None] + (spread / n)[None]) / gaps, -np.inf).max(axis=1)
+        out[k] = Figures(
+            float(silhouettes.sum() / total),
+            float(between / (groups - 1) / (within.sum() / (total - groups))) if fine else None,
+            float(ratio[np.isfinite(ratio)].mean()) if np.isfinite(ratio).any() else None,
+        )
+    return out

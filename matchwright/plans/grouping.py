@@ -20,7 +20,7 @@ from matchwright.functions.expr import archetype
 from matchwright.operators import aggregates as A
 from matchwright.operators import forest as OF
 from matchwright.operators import quality as Q
-from matchwright.operators.kmeans import KMeansFit, fit_many, nearest
+from matchwright.operators.kmeans import KMeansFit, figures, fit_many
 from matchwright.operators.ranks import column_percentiles, melt
 from matchwright.session import discard, stage
 
@@ -109,15 +109,6 @@ GRID_SCHEMA = (
 )
 
 
-def evaluate_labels(labelled: DataFrame, features: str, key: str) -> dict[str, float]:
-    """Figures of one labelling over all points, each linear in their number."""
-    return {
-        "silhouette": Q.squared_silhouette(labelled, features, "label", key).first()[0],
-        "calinski_harabasz": Q.calinski_harabasz(labelled, features, "label").first()[0],
-        "davies_bouldin": Q.davies_bouldin(labelled, features, "label").first()[0],
-    }
-
-
 def kmeans_grid(
     points: DataFrame,
     features: str = "projected",
@@ -129,18 +120,9 @@ def kmeans_grid(
     """One row per k with quality figures, and the fitted models. All models are fitted together."""
     held = stage(points.select(key, features).transform(Q.as_array, features).select(key, "x"), "grid-points")
     models = fit_many(held, "x", k_range, restarts, seed)
-    labels = {f"label_{k}": nearest(m.centres, F.col("x")) for k, m in models.items()}
-    labelled = stage(held.withColumns(labels), "grid-labels")
-    entries = [
-        GridEntry(
-            k=int(k),
-            inertia=m.cost,
-            cluster_sizes=list(m.sizes),
-            **evaluate_labels(labelled.select(key, "x", F.col(f"label_{k}").alias("label")), "x", key),
-        )
-        for k, m in models.items()
-    ]
-    discard(held, labelled)
+    seen = figures(held, models)
+    entries = [GridEntry(k=int(k), inertia=m.cost, cluster_sizes=list(m.sizes), **vars(seen[k])) for k, m in models.items()]
+    discard(held)
     rows = [tuple(vars(e)[c.split()[0]] for c in GRID_SCHEMA.split(", ")) for e in entries]
     return points.sparkSession.createDataFrame(rows, GRID_SCHEMA), models
 

@@ -98,6 +98,18 @@ def test_many_kmeans_models_in_one_pass(spark):
         assert all(d[i, j] <= d[i].min() + 1e-9 for i, j in own.items())
 
 
+def test_figures_of_all_models_against_each_labelling(spark):
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(0, 1, (300, 2)) + rng.integers(0, 4, (300, 1)) * 3, 5)
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)], "id int, x array<double>").repartition(3)
+    models = KM.fit_many(df, "x", (2, 4, 7), restarts=2)
+    for k, f in KM.figures(df, models).items():
+        placed = models[k].transform(df.withColumnRenamed("x", "v"), "v")
+        assert f.silhouette == pytest.approx(Q.squared_silhouette(placed, "v", "label", "id").first()[0], abs=1e-9)
+        assert f.calinski_harabasz == pytest.approx(Q.calinski_harabasz(placed, "v", "label").first()[0])
+        assert f.davies_bouldin == pytest.approx(Q.davies_bouldin(placed, "v", "label").first()[0])
+
+
 def test_kmeans_is_no_worse_than_the_library(spark, blobs):
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
