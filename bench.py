@@ -25,7 +25,7 @@ from matchwright.plans import provider_features as PF  # noqa: E402
 from matchwright.plans import recommend as R  # noqa: E402
 from matchwright.plans.company_features import company_table  # noqa: E402
 from matchwright.plans import silver as S  # noqa: E402
-from matchwright.session import build_session, stage  # noqa: E402
+from matchwright.session import build_session, scratch_path, stage  # noqa: E402
 from workload.views import Tables, narrow  # noqa: E402
 
 
@@ -83,6 +83,9 @@ def main() -> None:
     timed("agg_gini", lambda: N.gini(eda.loads_by_provider(orders), "n_ordenes"), False)
     eligible = stage(R.eligible_providers(providers, matrix, clusters), "eligible")
     timed("score_one_order", lambda: R.score_one_order(catalog, eligible, "T11", "1111.0", segment="GRAN EMPRESA"), False)
+    index = R.store_serving_index(R.serving_index(catalog, eligible), scratch_path(spark, "serving"))
+    index.score("T11", "1111.0", segment="GRAN EMPRESA").collect()
+    timed("serve_one_order", lambda: index.score("T11", "1111.0", segment="GRAN EMPRESA"), False)
     prepared = stage(G.model_matrix(matrix).select(G.WHO, *G.FEATURES), "prepared")
     timed("outlier_quarantine", lambda: OF.outlier_quarantine(prepared, G.WHO, G.FEATURES), False)
     timed("clustering_fit", lambda: G.fit_grouping(matrix, min_size=20, min_kept=2)[1], False)

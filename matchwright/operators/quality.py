@@ -253,6 +253,8 @@ def compare_labelings(ours: DataFrame, other: DataFrame, who: str = "DNI_PRESTAD
 
     a, b = labeling(ours, who, name="cluster_ours"), labeling(other, who, name="cluster_alt")
     both = a.join(b, who, "inner")
+    if both.isEmpty():
+        raise ValueError(f"the two labelings have no {who} in common; are the keys written alike?")
     agreement = (
         both.agg(F.count(F.lit(1)).alias("n_common"))
         .withColumn("nmi", nmi(both, "cluster_ours", "cluster_alt").scalar())

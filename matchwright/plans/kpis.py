@@ -187,6 +187,29 @@ def saturation_index(scenarios: dict[str, DataFrame], clusters: DataFrame, provi
     )
 
 
+def saturation_rules() -> dict[str, Column]:
+    """What must hold for every row of the saturation table, for `sources.store.write_replace`."""
+    return {"capacity_positive": F.col("capacidad_estimada") > 0, "index_known": F.col("isc").isNotNull() & ~F.isnan("isc")}
+
+
+def scenario_rules() -> dict[str, Column]:
+    """The same for the comparison of two scenarios."""
+    return {
+        "common_orders": F.col("n_orders_compared") > 0,
+        "gini_rule_based_in_range": F.col("gini_load_rule_based").between(0.0, 1.0),
+        "gini_lp_optimized_in_range": F.col("gini_load_lp_optimized").between(0.0, 1.0),
+    }
+
+
+def _checks(figures: DataFrame, scenario: str, rows: dict[str, tuple[Column, Column]]) -> DataFrame:
+    each = [
+        F.struct(F.lit(name).alias("check"), seen.cast("bigint").alias("observed"), want.cast("bigint").alias("expected")) for name, (seen, want) in rows.items()
+    ]
+    return figures.select(F.explode(F.array(*each)).alias("r")).select(
+        F.lit(scenario).alias("scenario"), "r.*", (F.col("r.observed") == F.col("r.expected")).alias("ok")
+    )
+
+
 def conservation_checks(assigned: DataFrame, capacity: DataFrame, scenario: str) -> DataFrame:
     """check, observed, expected, ok. Nothing is hidden: `enforce` turns failures into an error."""
     cid = F.col("cluster_id")
@@ -196,29 +219,29 @@ def conservation_checks(assigned: DataFrame, capacity: DataFrame, scenario: str)
         A.count_where(cid.isNull()).alias("unknown"),
     )
     placed = cluster_load(assigned, scenario).agg(F.coalesce(F.sum("tareas_asignadas"), F.lit(0))).scalar()
-    bad = capacity.agg(
-        A.count_where(F.col("capacidad_estimada").isNull() | (F.col("capacidad_estimada") <= 0)).alias("b")
-    ).scalar()
-    rows = F.array(
-        F.struct(
-            F.lit("rows_conserved").alias("check"),
-            (placed + F.col("noise") + F.col("unknown")).cast("bigint").alias("observed"),
-            F.col("total").alias("expected"),
-        ),
-        F.struct(
-            F.lit("capacity_positive").alias("check"), bad.cast("bigint").alias("observed"), F.lit(0).cast("bigint").alias("expected")
-        ),
-        F.struct(
-            F.lit("not_empty").alias("check"),
-            (F.col("total") > 0).cast("bigint").alias("observed"),
-            F.lit(1).cast("bigint").alias("expected"),
-        ),
-    )
-    return totals.select(F.explode(rows).alias("r")).select(
-        F.lit(scenario).alias("scenario"), "r.*", (F.col("r.observed") == F.col("r.expected")).alias("ok")
+    broken = A.count_where(~F.coalesce(saturation_rules()["capacity_positive"], F.lit(False)))
+    return _checks(
+        totals,
+        scenario,
+        {
+            "rows_conserved": (placed + F.col("noise") + F.col("unknown"), F.col("total")),
+            "capacity_positive": (capacity.agg(broken).scalar(), F.lit(0)),
+            "not_empty": ((F.col("total") > 0).cast("bigint"), F.lit(1)),
+        },
     )
 
 
+def published_checks(index: DataFrame, difference: DataFrame, scenario: str) -> DataFrame:
+    """The same form for a saturation table and a scenario comparison: rows that break a rule of theirs."""
+
+    def broken(rules: dict[str, Column]) -> list[Column]:
+        return [A.count_where(~F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()]
+
+    known = index.where(F.col("scenario") == scenario).agg(*broken({"index_known": saturation_rules()["index_known"]}))
+    counts = difference.agg(*broken(scenario_rules())).withColumn("index_known", known.scalar())
+    return _checks(counts, scenario, {name: (F.col(name), F.lit(0)) for name in ("index_known", *scenario_rules())})
+
+
 def enforce(checks: DataFrame) -> DataFrame:
     failed = checks.where(~F.col("ok")).collect()  # a handful of checks per scenario
     if failed:

@@ -17,9 +17,13 @@ of the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import zlib
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchwright import constants as K
 from matchwright.functions import expr as X
@@ -263,6 +267,59 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
+@dataclass(frozen=True)
+class OneOrder:
+    """What the score of one order depends on besides the provider."""
+
+    town: str | None
+    complex_: Column
+    light: Column
+
+    @staticmethod
+    def of(town: str | None, segment: str | None, route: str | None, company: str | None, companies: DataFrame | None) -> OneOrder:
+        """Segment or route given by the caller win; otherwise they come from the company table;
+        otherwise the order counts as standard. The light route (given, or implied by the
+        segment when no route is known) reaches the remote group only.
+        """
+        if segment is None and route is None and company and companies is not None:
+            found = companies.where(F.col("Empresa_Id") == company).select("Segmentacion_Arl_Desc", "Ruta_Atencion").first()
+            if found:
+                segment, route = found[0], found[1]
+        seg = F.lit(segment).cast("string")
+        known = F.upper(F.lit(route or ""))
+        light = (known == K.ROUTE_LIGHT) | ((known == "") & X.is_remote_segment(seg))
+        return OneOrder(town[:-2] if town and town.endswith(".0") else town, X.is_complex_segment(seg), light)
+
+    def ranked(self, pool: DataFrame, n: int) -> DataFrame:
+        """The best `n` of candidates with has_muni_match, has_depto_match and the columns of `eligible_providers`."""
+        scored = (
+            pool.where(gate(self.light, F.col("cluster_id")))
+            .withColumn("score_specialization", X.specialisation_score("tipo_perfil_ord", self.complex_))
+            .withColumn("score_geo", X.geography_score(F.col("has_muni_match"), F.col("has_depto_match")))
+            .withColumn("score_total", X.total_score())
+            .withColumn("archetype_name", X.archetype("cluster_id"))
+        )
+        return scored.orderBy(F.desc("score_total"), "DNI_PRESTADOR").limit(n).select(*ONE_ORDER_COLUMNS, X.rationale().alias("rationale"))
+
+
+# The columns returned for one order, before the reason in words.
+ONE_ORDER_COLUMNS = (
+    "DNI_PRESTADOR",
+    "score_total",
+    "score_specialization",
+    "score_capacity",
+    "score_geo",
+    "score_performance",
+    "cluster_id",
+    "archetype_name",
+    "tipo_perfil",
+    "capacidad",
+    "utilizacion_capacidad",
+    "dni_distribuidor",
+    "nombre_distribuidor",
+)
+
+
 def score_one_order(
     catalog: DataFrame,
     eligible: DataFrame,
@@ -274,61 +331,73 @@ def score_one_order(
     companies: DataFrame | None = None,
     n: int = K.TOP_N,
 ) -> DataFrame:
-    """Best providers for one order, with the reason in words.
-
-    Segment or route given by the caller win; otherwise they come from the company table;
-    otherwise the order counts as standard. The light route (given, or implied by the
-    segment when no route is known) reaches the remote group only.
-    """
-    if segment is None and route is None and company and companies is not None:
-        found = (
-            companies.where(F.col("Empresa_Id") == company).select("Segmentacion_Arl_Desc", "Ruta_Atencion").first()
-        )
-        if found:
-            segment, route = found[0], found[1]
-    seg = F.lit(segment).cast("string")
-    complex_, remote_seg = X.is_complex_segment(seg), X.is_remote_segment(seg)
-    known_route = F.upper(F.lit(route or ""))
-    light = (known_route == K.ROUTE_LIGHT) | ((known_route == "") & remote_seg)
-    place = town[:-2] if town and town.endswith(".0") else town
+    """Best providers for one order, with the reason in words, straight from the catalog (see `OneOrder.of`)."""
+    order = OneOrder.of(town, segment, route, company, companies)
+    place = order.town
     towns = F.bool_or(F.col("CDMUNICIPIO") == place) if place else F.max(F.lit(False))
     depts = F.bool_or(X.department("CDMUNICIPIO") == place[:2]) if place else F.max(F.lit(False))
     pool = (
         catalog.where(F.col("CDTAREA") == task)
         .groupBy("DNI_PRESTADOR")
-        .agg(
-            F.coalesce(towns, F.lit(False)).alias("has_muni_match"),
-            F.coalesce(depts, F.lit(False)).alias("has_depto_match"),
-        )
+        .agg(F.coalesce(towns, F.lit(False)).alias("has_muni_match"), F.coalesce(depts, F.lit(False)).alias("has_depto_match"))
     )
-    scored = (
-        pool.join(eligible, "DNI_PRESTADOR", "inner")
-        .where(gate(light, F.col("cluster_id")))
-        .withColumn("score_specialization", X.specialisation_score("tipo_perfil_ord", complex_))
-        .withColumn("score_geo", X.geography_score(F.col("has_muni_match"), F.col("has_depto_match")))
-        .withColumn("score_total", X.total_score())
-        .withColumn("archetype_name", X.archetype("cluster_id"))
-    )
-    return (
-        scored.orderBy(F.desc("score_total"), "DNI_PRESTADOR")
-        .limit(n)
-        .select(
-            "DNI_PRESTADOR",
-            "score_total",
-            "score_specialization",
-            "score_capacity",
-            "score_geo",
-            "score_performance",
-            "cluster_id",
-            "archetype_name",
-            "tipo_perfil",
-            "capacidad",
-            "utilizacion_capacidad",
-            "dni_distribuidor",
-            "nombre_distribuidor",
-            X.rationale().alias("rationale"),
-        )
+    return order.ranked(pool.join(eligible, "DNI_PRESTADOR", "inner"), n)
+
+
+# ---- one order from a stored index --------------------------------------------------------------
+
+SERVING_BUCKETS, SERVING_SPREAD = 64, 8
+
+
+def serving_index(catalog: DataFrame, eligible: DataFrame) -> DataFrame:
+    """(bucket, task, provider) with the provider's towns and departments for the task and its attributes.
+
+    Stored by bucket, one call reads one folder and joins nothing. The towns of a pair are as
+    many as the country has. Rows of a bucket are sorted by task, and spread over several
+    files, so that a task that most providers offer is not written by one task.
+    """
+    pairs = catalog.where(F.col("CDTAREA").isNotNull()).groupBy("CDTAREA", "DNI_PRESTADOR").agg(
+        F.collect_set("CDMUNICIPIO").alias("towns"), F.collect_set(X.department("CDMUNICIPIO")).alias("depts")
     )
+    return pairs.join(eligible, "DNI_PRESTADOR", "inner").withColumn("bucket", (F.crc32(F.col("CDTAREA").cast("binary")) % SERVING_BUCKETS).cast("int"))
+
+
+def store_serving_index(index: DataFrame, path: str) -> ServingIndex:
+    """Write an index to a new folder and open it."""
+    dealt = index.repartition("bucket", F.pmod(F.xxhash64("DNI_PRESTADOR"), F.lit(SERVING_SPREAD))).sortWithinPartitions("bucket", "CDTAREA")
+    dealt.write.partitionBy("bucket").parquet(path)
+    return ServingIndex.open(index.sparkSession, path, index.schema)
+
+
+@dataclass(frozen=True)
+class ServingIndex:
+    """A stored index, its files listed once: calls only filter it."""
+
+    rows: DataFrame
+
+    @staticmethod
+    def open(spark: SparkSession, path: str, schema: T.StructType | None = None) -> ServingIndex:
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return ServingIndex(reader.parquet(path))
+
+    def score(
+        self,
+        task: str,
+        town: str | None = None,
+        segment: str | None = None,
+        route: str | None = None,
+        company: str | None = None,
+        companies: DataFrame | None = None,
+        n: int = K.TOP_N,
+    ) -> DataFrame:
+        """What `score_one_order` gives, from the one bucket of the task."""
+        order = OneOrder.of(town, segment, route, company, companies)
+        bucket = zlib.crc32(task.encode()) % SERVING_BUCKETS
+        here = self.rows.where((F.col("bucket") == bucket) & (F.col("CDTAREA") == task))
+        place = order.town
+        in_town = F.array_contains("towns", place) if place else F.lit(False)
+        in_dept = F.array_contains("depts", place[:2]) if place else F.lit(False)
+        return order.ranked(here.withColumns({"has_muni_match": in_town, "has_depto_match": in_dept}), n)
 
 
 def enrich(assigned: DataFrame) -> DataFrame:

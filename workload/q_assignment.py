@@ -9,6 +9,8 @@ from matchwright.plans import eda
 from matchwright.plans import kpis as P
 from matchwright.plans import recommend as R
 from matchwright.operators import profiling as PR
+from matchwright.session import scratch_path
+from matchwright.sources import store as ST
 from workload.registry import assigned, capped, company_features, matrix, providers, query, second_choice, top10
 from workload.sqlparts import ARCHETYPE, LOST, TOTAL, gini
 from workload.views import Tables
@@ -73,9 +75,19 @@ def assignments_rule_based(t: Tables):
     return R.require_rows(R.assignments(top10(t)), "assignments")
 
 
+def shown(c: str) -> str:
+    """A figure as the reason in words shows it: rounded half up in decimals."""
+    return f"cast(cast(round(cast(coalesce({c}, 0) AS decimal(28,12)), 2) AS double) AS string)"
+
+
+REASON = (
+    f"coalesce({ARCHETYPE}, '(sin nombre)') || ' · perfil=' || coalesce(tipo_perfil, '?') || ' · util=' || {shown('utilizacion_capacidad')} "
+    f"|| ' · exec=' || {shown('tasa_ejecucion')} || ' · cancel=' || {shown('tasa_cancela_real_prestador')}"
+)
+
 ONE = (
     "SELECT DNI_PRESTADOR, score_total, score_specialization, score_capacity, score_geo, score_performance, cluster_id, {a} AS archetype_name, tipo_perfil, "
-    "capacidad, utilizacion_capacidad, dni_distribuidor, nombre_distribuidor FROM (SELECT y.*, {t} AS score_total FROM ("
+    "capacidad, utilizacion_capacidad, dni_distribuidor, nombre_distribuidor, {r} AS rationale FROM (SELECT y.*, {t} AS score_total FROM ("
     "SELECT p.*, 0.6::double + CASE WHEN coalesce(tipo_perfil_ord, 3.0) >= {need} THEN 0.4::double ELSE 0.0::double END AS score_specialization, "
     "CASE WHEN EXISTS (SELECT 1 FROM o_towns t WHERE t.CDTAREA = p.CDTAREA AND t.DNI_PRESTADOR = p.DNI_PRESTADOR AND t.CDMUNICIPIO = '1111') THEN 1.0::double "
     "WHEN EXISTS (SELECT 1 FROM o_depts t WHERE t.CDTAREA = p.CDTAREA AND t.DNI_PRESTADOR = p.DNI_PRESTADOR AND t.dept = '11') THEN 0.4::double ELSE 0.0::double END AS score_geo "
@@ -85,17 +97,17 @@ ONE = (
 
 def one(t: Tables, **how):
     eligible = R.eligible_providers(providers(t), matrix(t), t.clusters)
-    return R.score_one_order(t.catalog, eligible, "T11", "1111.0", **how).drop("rationale")
+    return R.score_one_order(t.catalog, eligible, "T11", "1111.0", **how)
 
 
-@query("score_one_order", ONE.format(a=ARCHETYPE, t=TOTAL, need="5.0", gate=""), rounds=[*SCORES, "capacidad"])
+@query("score_one_order", ONE.format(a=ARCHETYPE, t=TOTAL, r=REASON, need="5.0", gate=""), rounds=[*SCORES, "capacidad"])
 def score_one_order(t: Tables):
     return one(t, segment="GRAN EMPRESA")
 
 
 @query(
     "score_one_order_light_route",
-    ONE.format(a=ARCHETYPE, t=TOTAL, need="3.0", gate="AND cluster_id = 3"),
+    ONE.format(a=ARCHETYPE, t=TOTAL, r=REASON, need="3.0", gate="AND cluster_id = 3"),
     rounds=[*SCORES, "capacidad"],
 )
 def score_one_order_light_route(t: Tables):
@@ -107,6 +119,7 @@ def score_one_order_light_route(t: Tables):
     ONE.format(
         a=ARCHETYPE,
         t=TOTAL,
+        r=REASON,
         need="(SELECT CASE WHEN Segmentacion_Arl_Desc IN ('Gran Empresa','Mediana Empresa') THEN 5.0 ELSE 3.0 END FROM fx_empresa WHERE Empresa_Id = 'E8')",
         gate="AND (cluster_id = 3 OR (SELECT coalesce(Ruta_Atencion, '') <> 'LIVIANA' FROM fx_empresa WHERE Empresa_Id = 'E8'))",
     ),
@@ -116,6 +129,14 @@ def score_one_order_company(t: Tables):
     return one(t, company="E8", companies=company_features(t))
 
 
+@query("serve_one_order", ONE.format(a=ARCHETYPE, t=TOTAL, r=REASON, need="5.0", gate=""), rounds=[*SCORES, "capacidad"])
+def serve_one_order(t: Tables):
+    """The same call from the stored index: one bucket is read, nothing is joined."""
+    eligible = R.eligible_providers(providers(t), matrix(t), t.clusters)
+    index = R.store_serving_index(R.serving_index(t.catalog, eligible), scratch_path(t.spark, "serving"))
+    return index.score("T11", "1111.0", segment="GRAN EMPRESA")
+
+
 @query(
     "capacity_cap",
     "SELECT n_orders, n_providers, cast(ceil(1.5 * n_orders / greatest(n_providers, 1)) AS bigint) AS cap FROM (SELECT (SELECT count(*) FROM (SELECT DISTINCT dni_empresa, codigo_tarea, cd_municipio_destino FROM o_top10)) AS n_orders, "
@@ -248,14 +269,33 @@ def saturation_index(t: Tables):
     return P.saturation_index(scenarios, t.clusters, providers(t)).drop("computed_at")
 
 
-@query(
-    "conservation_checks",
-    """SELECT 'rule_based' AS scenario, 'rows_conserved' AS check, (SELECT count(*) FROM o_assign) AS observed, (SELECT count(*) FROM o_assign) AS expected, true AS ok
-    UNION ALL SELECT 'rule_based', 'capacity_positive', 0, 0, true UNION ALL SELECT 'rule_based', 'not_empty', 1, 1, true""",
-)
+_CHECKS = f"""SELECT 'rule_based' AS scenario, 'rows_conserved' AS check,
+    (SELECT count(*) FILTER (WHERE cluster_id IS NOT NULL AND cluster_id <> -1) + count(*) FILTER (WHERE cluster_id = -1) + count(*) FILTER (WHERE cluster_id IS NULL) FROM o_assign) AS observed,
+    (SELECT count(*) FROM o_assign) AS expected
+    UNION ALL SELECT 'rule_based', 'capacity_positive', (SELECT count(*) FILTER (WHERE coalesce(capacidad_estimada, 0) <= 0) FROM o_cap), 0
+    UNION ALL SELECT 'rule_based', 'not_empty', (SELECT cast(count(*) > 0 AS bigint) FROM o_assign), 1
+    UNION ALL SELECT 'rule_based', 'index_known', (SELECT count(*) FILTER (WHERE isc IS NULL) FROM ({SATURATION}) WHERE scenario = 'rule_based'), 0
+    UNION ALL SELECT 'rule_based', 'common_orders', (SELECT cast(count(*) = 0 AS bigint) FROM o_scen), 0
+    UNION ALL SELECT 'rule_based', 'gini_rule_based_in_range', (SELECT cast({gini('(SELECT count(*) AS n FROM o_scen GROUP BY p_rb)', 'n')} NOT BETWEEN 0 AND 1 AS bigint)), 0
+    UNION ALL SELECT 'rule_based', 'gini_lp_optimized_in_range', (SELECT cast({gini('(SELECT count(*) AS n FROM o_scen GROUP BY p_lp)', 'n')} NOT BETWEEN 0 AND 1 AS bigint)), 0"""
+
+
+@query("conservation_checks", f"SELECT *, observed = expected AS ok FROM ({_CHECKS})")
 def conservation_checks(t: Tables):
+    scenarios = {"rule_based": assigned(t), "second": second_choice(t)}
+    index = P.saturation_index(scenarios, t.clusters, providers(t))
+    difference = P.scenario_diff(assigned(t), second_choice(t), providers(t))
     checks = P.conservation_checks(assigned(t), P.cluster_capacity(t.clusters, providers(t)), "rule_based")
-    return P.enforce(checks)
+    return P.enforce(checks.unionByName(P.published_checks(index, difference, "rule_based")))
+
+
+@query("publish_saturation", SATURATION, rounds=["median_capacidad", "capacidad_estimada", "isc"])
+def publish_saturation(t: Tables):
+    """The saturation table through the store: its rules are counted while it is written, the version is shown only if they hold."""
+    scenarios = {"rule_based": assigned(t), "second": second_choice(t)}
+    path = scratch_path(t.spark, "published")
+    ST.write_replace(P.saturation_index(scenarios, t.clusters, providers(t)), path, P.saturation_rules())
+    return ST.read_stored(t.spark, path).drop("computed_at")
 
 
 @query(

@@ -492,18 +492,20 @@ def argmax_label(t: Tables):
     return top10(t).select(*K.ORDER_KEY, "rank", X.top_contributor().alias("top_contributor"))
 
 
+def _figure(c: str) -> str:
+    """A figure as the reason in words shows it: rounded half up in decimals."""
+    return f"cast(cast(round(cast(coalesce({c}, 0) AS decimal(28,12)), 2) AS double) AS string)"
+
+
 @query(
     "format_rationale",
-    f"""SELECT DNI_PRESTADOR, split_part(r, ' · util=', 1) AS inicio, round(cast(split_part(split_part(r, ' · util=', 2), ' · exec=', 1) AS double), 2) AS util FROM (
-    SELECT p.DNI_PRESTADOR, coalesce({ARCHETYPE}, '(sin nombre)') || ' · perfil=' || coalesce(tipo_perfil, '?') || ' · util=' || cast(round(coalesce(utilizacion_capacidad, 0), 2) AS string)
-    || ' · exec=' || cast(round(coalesce(tasa_ejecucion, 0), 2) AS string) AS r FROM o_provider p JOIN (SELECT DNI_PRESTADOR AS d, cluster_id FROM fx_clusters) c ON p.DNI_PRESTADOR = c.d)""",
-    rounds=["util"],
+    f"""SELECT p.DNI_PRESTADOR, coalesce({ARCHETYPE}, '(sin nombre)') || ' · perfil=' || coalesce(tipo_perfil, '?') || ' · util=' || {_figure("utilizacion_capacidad")}
+    || ' · exec=' || {_figure("tasa_ejecucion")} || ' · cancel=' || {_figure("tasa_cancela_real_prestador")} AS rationale
+    FROM o_provider p JOIN (SELECT DNI_PRESTADOR AS d, cluster_id FROM fx_clusters) c ON p.DNI_PRESTADOR = c.d""",
 )
 def format_rationale(t: Tables):
     joined = providers(t).join(t.clusters.select("DNI_PRESTADOR", "cluster_id"), "DNI_PRESTADOR").withColumn("archetype_name", X.archetype("cluster_id"))
-    text = joined.select("DNI_PRESTADOR", X.rationale().alias("r"))
-    util = F.element_at(F.split(F.element_at(F.split("r", " · util="), 2), " · exec="), 1)
-    return text.select("DNI_PRESTADOR", F.element_at(F.split("r", " · util="), 1).alias("inicio"), util.cast("double").alias("util"))
+    return joined.select("DNI_PRESTADOR", X.rationale().alias("rationale"))
 
 
 @query("string_prefix_match", "SELECT DNI_PRESTADOR, CDMUNICIPIO, substr(CDMUNICIPIO, 1, 2) AS depto FROM fx_catalogo")
