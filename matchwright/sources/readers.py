@@ -291,7 +291,11 @@ def point_lookup(df: DataFrame, key: str, value, columns: Sequence[str]) -> Data
 
 
 def sample_rows(df: DataFrame, key: Sequence[str], share: float, seed: int = 42) -> DataFrame:
-    """Repeatable sample: rows whose keyed hash falls below the share."""
-    slots = 1_000_000
-    hashed: Column = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(slots))
-    return df.where(hashed < F.lit(int(share * slots)))
+    """Repeatable sample: rows whose keyed hash falls below the share.
+
+    The hash is the first eight hex digits of md5 over seed and key, so that other engines
+    draw the same rows.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
+    drawn = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+    return df.where(drawn < F.lit(int(share * (1 << 32))))

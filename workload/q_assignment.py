@@ -324,13 +324,12 @@ def scenario_diff_capacitated(t: Tables):
     return P.scenario_diff(assigned(t), capped(t), providers(t)).drop("computed_at")
 
 
-@query(
-    "scenario_diff_by_cluster",
-    f"""SELECT cluster_id, {ARCHETYPE} AS archetype_name, n_orders, x AS n_reassigned_to_other_cluster, x / cast(n_orders AS double) AS pct_reassigned_to_other_cluster,
+BY_CLUSTER = f"""SELECT cluster_id, {ARCHETYPE} AS archetype_name, n_orders, x AS n_reassigned_to_other_cluster, x / cast(n_orders AS double) AS pct_reassigned_to_other_cluster,
     w AS n_reassigned_to_same_cluster_diff_provider, mean_score_delta, mean_cost_delta FROM (SELECT c_rb AS cluster_id, count(*) AS n_orders, count(*) FILTER (WHERE c_rb <> c_lp) AS x,
-    count(*) FILTER (WHERE p_rb <> p_lp AND c_rb = c_lp) AS w, avg(sd) AS mean_score_delta, avg(kd) AS mean_cost_delta FROM o_scen GROUP BY 1)""",
-    rounds=["pct_reassigned_to_other_cluster", "mean_score_delta", "mean_cost_delta"],
-)
+    count(*) FILTER (WHERE p_rb <> p_lp AND c_rb = c_lp) AS w, avg(sd) AS mean_score_delta, avg(kd) AS mean_cost_delta FROM o_scen GROUP BY 1)"""
+
+
+@query("scenario_diff_by_cluster", BY_CLUSTER, rounds=["pct_reassigned_to_other_cluster", "mean_score_delta", "mean_cost_delta"])
 def scenario_diff_by_cluster(t: Tables):
     return P.scenario_diff_by_cluster(assigned(t), second_choice(t), providers(t)).drop("computed_at")
 
@@ -492,13 +491,14 @@ def _sql(t: Tables, text: str, **frames):
 
 @query(
     "consumer_recommendations",
-    """SELECT dni_empresa, rank, dni_prestador, round(score_total, 4) AS score_total, archetype_name, tipo_perfil FROM o_top10 WHERE codigo_tarea = 'T11' AND cd_municipio_destino = '1111' ORDER BY dni_empresa, rank""",
-    rounds=["score_total"],
+    """SELECT dni_empresa, rank, dni_prestador, score_total, score_specialization, score_capacity, score_geo, score_performance, archetype_name, tipo_perfil, utilizacion_capacidad
+    FROM o_top10 WHERE codigo_tarea = 'T11' AND cd_municipio_destino = '1111' ORDER BY dni_empresa, rank""",
+    rounds=SCORES,
 )
 def consumer_recommendations(t: Tables):
     return _sql(
         t,
-        "SELECT dni_empresa, rank, dni_prestador, round(score_total, 4) AS score_total, archetype_name, tipo_perfil FROM {recs} "
+        "SELECT dni_empresa, rank, dni_prestador, score_total, score_specialization, score_capacity, score_geo, score_performance, archetype_name, tipo_perfil, utilizacion_capacidad FROM {recs} "
         "WHERE codigo_tarea = 'T11' AND cd_municipio_destino = '1111' ORDER BY dni_empresa, rank",
         recs=top10(t),
     )
@@ -546,7 +546,8 @@ def consumer_assignment(t: Tables):
 
 @query(
     "consumer_enriched",
-    """SELECT dni_empresa, cd_municipio_destino, rank, dni_prestador, score_total, round(least(a / score_total, 1), 2) AS pct_especializacion, round(least(b / score_total, 1), 2) AS pct_capacidad,
+    """SELECT dni_empresa, cd_municipio_destino, rank, dni_prestador, score_total, CASE WHEN a >= b AND a >= c AND a >= d THEN 'Especialización' WHEN b >= c AND b >= d THEN 'Capacidad'
+    WHEN c >= d THEN 'Geográfico' ELSE 'Desempeño' END AS top_contributor, round(least(a / score_total, 1), 2) AS pct_especializacion, round(least(b / score_total, 1), 2) AS pct_capacidad,
     round(least(c / score_total, 1), 2) AS pct_geografico, round(least(d / score_total, 1), 2) AS pct_desempeno, archetype_name, tipo_perfil
     FROM (SELECT *, 0.45::double * score_specialization AS a, 0.30::double * score_capacity AS b, 0.15::double * score_geo AS c, 0.10::double * score_performance AS d FROM o_top10) WHERE codigo_tarea = 'T11' ORDER BY rank""",
     rounds=["score_total", "pct_especializacion", "pct_capacidad", "pct_geografico", "pct_desempeno"],
@@ -554,7 +555,24 @@ def consumer_assignment(t: Tables):
 def consumer_enriched(t: Tables):
     return _sql(
         t,
-        "SELECT r.dni_empresa, r.cd_municipio_destino, r.rank, r.dni_prestador, r.score_total, round(r.spec_share, 2) AS pct_especializacion, round(r.cap_share, 2) AS pct_capacidad, "
+        "SELECT r.dni_empresa, r.cd_municipio_destino, r.rank, r.dni_prestador, r.score_total, r.top_contributor, round(r.spec_share, 2) AS pct_especializacion, round(r.cap_share, 2) AS pct_capacidad, "
         "round(r.geo_share, 2) AS pct_geografico, round(r.perf_share, 2) AS pct_desempeno, r.archetype_name, r.tipo_perfil FROM {e} r WHERE r.codigo_tarea = 'T11' ORDER BY rank",
         e=R.enrich(top10(t)),
     )
+
+
+@query(
+    "consumer_by_cluster",
+    f"""SELECT cluster_id, archetype_name, n_orders, round(pct_reassigned_to_other_cluster, 4) AS pct_cross_cluster, n_reassigned_to_same_cluster_diff_provider AS within_cluster_swaps,
+    round(mean_score_delta, 4) AS delta_score, round(mean_cost_delta, 0) AS delta_cost_cop FROM ({BY_CLUSTER}) ORDER BY cluster_id""",
+    rounds=["pct_cross_cluster", "delta_score", "delta_cost_cop"],
+    digits=3,
+)
+def consumer_by_cluster(t: Tables):
+    """Which groups gain from the second scenario."""
+    return _sql(
+        t,
+        "SELECT cluster_id, archetype_name, n_orders, round(pct_reassigned_to_other_cluster, 4) AS pct_cross_cluster, n_reassigned_to_same_cluster_diff_provider AS within_cluster_swaps, "
+        "round(mean_score_delta, 4) AS delta_score, round(mean_cost_delta, 0) AS delta_cost_cop FROM {d} ORDER BY cluster_id",
+        d=P.scenario_diff_by_cluster(assigned(t), second_choice(t), providers(t)),
+    )

@@ -211,6 +211,20 @@ def fitted(t: Tables):
     return _FITTED[name]
 
 
+@query(
+    "cluster_table_given",
+    f"""SELECT m.DNI_PRESTADOR, {', '.join(f'm.{c}' for c in K.CLUSTER_CONTEXT)}, coalesce(c.cluster_id, -1) AS cluster_id,
+    CASE WHEN coalesce(c.cluster_id, -1) = -1 THEN 0.0 ELSE m.antiguedad_dias / 7 END AS distance_to_centroid
+    FROM o_matrix m LEFT JOIN (SELECT * FROM fx_clusters WHERE cluster_id <> 1) c ON m.DNI_PRESTADOR = c.DNI_PRESTADOR""",
+    rounds=["distance_to_centroid"],
+)
+def cluster_table_given(t: Tables):
+    """The table whole, from given labels: providers without one share -1 at distance 0."""
+    known = t.clusters.where("cluster_id <> 1").select(G.WHO, "cluster_id")
+    labels = known.join(matrix(t).select(G.WHO, (F.col("antiguedad_dias") / 7).alias("distance_to_centroid")), G.WHO)
+    return G.cluster_table(matrix(t), labels)
+
+
 @query("cluster_table")
 def cluster_table(t: Tables):
     _, labels = fitted(t)
@@ -418,27 +432,40 @@ def compare_labelings(t: Tables):
     return out
 
 
+def group_zero(t: Tables, labels):
+    """The dashboard's list of one group, straight on the cluster table: nearest to the centre first."""
+    return t.spark.sql(
+        "SELECT DNI_PRESTADOR, municipio_base, tipo_perfil, distance_to_centroid FROM {c} WHERE cluster_id = 0 ORDER BY distance_to_centroid, DNI_PRESTADOR LIMIT 100",
+        c=G.cluster_table(matrix(t), labels),
+    )
+
+
 @query(
     "consumer_clusters",
-    "SELECT vec_id, distance FROM (SELECT p.vec_id, p.label, sqrt(sum((p.v - c.m) * (p.v - c.m))) AS distance FROM o_points p JOIN o_centres c ON p.label = c.label AND p.d = c.d GROUP BY 1, 2) WHERE label = 0 ORDER BY distance, vec_id LIMIT 100",
-    rounds=["distance"],
+    """SELECT DNI_PRESTADOR, municipio_base, tipo_perfil, distance_to_centroid FROM (SELECT m.DNI_PRESTADOR, m.municipio_base, m.tipo_perfil, c.cluster_id,
+    coalesce(m.antiguedad_dias, 0) / 7 AS distance_to_centroid FROM o_matrix m JOIN fx_clusters c ON m.DNI_PRESTADOR = c.DNI_PRESTADOR)
+    WHERE cluster_id = 0 ORDER BY distance_to_centroid, DNI_PRESTADOR LIMIT 100""",
+    rounds=["distance_to_centroid"],
 )
 def consumer_clusters(t: Tables):
-    df = points(t)
-    centres = Q.group_means(df, "label").select("label", "centre")
-    placed = G.centroid_distance(df, centres, "x", "label")
-    return t.spark.sql(
-        "SELECT vec_id, distance_to_centroid AS distance FROM {c} WHERE label = 0 ORDER BY distance_to_centroid, vec_id LIMIT 100", c=placed
-    )
+    """Given labels, with a distance SQL can work out, so that the table and the list are compared whole."""
+    labels = t.clusters.select(G.WHO, "cluster_id").join(matrix(t).select(G.WHO, (F.coalesce("antiguedad_dias", F.lit(0)) / 7).alias("distance_to_centroid")), G.WHO)
+    return group_zero(t, labels)
+
+
+@query("consumer_clusters_fitted")
+def consumer_clusters_fitted(t: Tables):
+    """The same list on the fitted groups."""
+    return group_zero(t, fitted(t)[1])
 
 
 @query(
     "consumer_profile",
-    f"SELECT cluster_id, archetype_name, n_providers, share_of_total, pct_red_estrategica, top_bloque, median_n_citas_total, median_utilizacion_capacidad FROM ({PROFILE_SQL}) ORDER BY n_providers DESC, cluster_id",
-    rounds=["share_of_total", "pct_red_estrategica", "median_n_citas_total", "median_utilizacion_capacidad"],
+    f"SELECT cluster_id, archetype_name, n_providers, share_of_total, pct_red_estrategica, top_bloque, median_n_citas_total, median_utilizacion_capacidad, median_tasa_cancela_real_prestador FROM ({PROFILE_SQL}) ORDER BY n_providers DESC, cluster_id",
+    rounds=["share_of_total", "pct_red_estrategica", "median_n_citas_total", "median_utilizacion_capacidad", "median_tasa_cancela_real_prestador"],
 )
 def consumer_profile(t: Tables):
     return t.spark.sql(
-        "SELECT cluster_id, archetype_name, n_providers, share_of_total, pct_red_estrategica, top_bloque, median_n_citas_total, median_utilizacion_capacidad FROM {p} ORDER BY n_providers DESC, cluster_id",
+        "SELECT cluster_id, archetype_name, n_providers, share_of_total, pct_red_estrategica, top_bloque, median_n_citas_total, median_utilizacion_capacidad, median_tasa_cancela_real_prestador FROM {p} ORDER BY n_providers DESC, cluster_id",
         p=profile(t),
     )

@@ -410,7 +410,10 @@ def sort_multi(t: Tables):
     return t.clusters.select("DNI_PRESTADOR", "alt_cluster", "cluster_id").orderBy("alt_cluster", "cluster_id", "DNI_PRESTADOR")
 
 
-@query("sample_rows")
+@query(
+    "sample_rows",
+    "SELECT Ord_Plan_Vers_Act_Id, Codigo_Tarea FROM fx_ordenado WHERE cast('0x' || substr(md5('42|' || coalesce(cast(Ord_Plan_Vers_Act_Id AS string), '')), 1, 8) AS bigint) < 429496729",
+)
 def sample_rows(t: Tables):
     return SR.sample_rows(t.orders.select("Ord_Plan_Vers_Act_Id", "Codigo_Tarea"), ["Ord_Plan_Vers_Act_Id"], 0.1)
 

@@ -1,5 +1,6 @@
 """Sources, sinks, projections, casts and cleaning."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from matchwright import constants as K
@@ -504,11 +505,28 @@ def standardize(t: Tables):
 
 @query(
     "one_hot",
-    "SELECT DNI_PRESTADOR, CDTAREA, CASE WHEN TIPO_DE_RED = 'APOYO' THEN 1 ELSE 0 END AS TIPO_DE_RED_APOYO, "
-    "CASE WHEN TIPO_DE_RED = 'ESTRATEGICA' THEN 1 ELSE 0 END AS TIPO_DE_RED_ESTRATEGICA FROM fx_catalogo",
+    "SELECT DNI_PRESTADOR, CDTAREA, level, cast(coalesce(TIPO_DE_RED = level, false) AS int) AS hot FROM fx_catalogo, (SELECT DISTINCT TIPO_DE_RED AS level FROM fx_catalogo WHERE TIPO_DE_RED IS NOT NULL)",
 )
 def one_hot(t: Tables):
-    return A.one_hot(t.catalog.select("DNI_PRESTADOR", "CDTAREA", "TIPO_DE_RED"), {"TIPO_DE_RED": ["APOYO", "ESTRATEGICA"]})
+    """All levels of the column, read from the data, in long form."""
+    df = t.catalog.select("DNI_PRESTADOR", "CDTAREA", "TIPO_DE_RED")
+    levels = [r[0] for r in df.select("TIPO_DE_RED").dropna().distinct().orderBy("TIPO_DE_RED").collect()]  # a handful of kinds of network
+    wide = A.one_hot(df, {"TIPO_DE_RED": levels})
+    return wide.unpivot(["DNI_PRESTADOR", "CDTAREA"], [f"TIPO_DE_RED_{v}" for v in levels], "level", "hot").withColumn("level", F.regexp_replace("level", "^TIPO_DE_RED_", ""))
+
+
+@query(
+    "one_hot_vector",
+    """WITH v AS (SELECT DNI_PRESTADOR, CDTAREA, TIPO_DE_RED AS a, CDMUNICIPIO AS b FROM fx_catalogo),
+    l AS (SELECT 0 AS col, level, row_number() OVER (ORDER BY level) - 1 AS place FROM (SELECT DISTINCT a AS level FROM v WHERE a IS NOT NULL)
+    UNION ALL SELECT 1, level, row_number() OVER (ORDER BY level) - 1 + (SELECT count(DISTINCT a) FROM v) FROM (SELECT DISTINCT b AS level FROM v WHERE b IS NOT NULL))
+    SELECT DNI_PRESTADOR, CDTAREA, cast(place AS int) AS place FROM v JOIN l ON (col = 0 AND a = level) OR (col = 1 AND b = level)""",
+)
+def one_hot_vector(t: Tables):
+    """The set places of every row's vector over all kinds of network and all towns."""
+    df = t.catalog.select("DNI_PRESTADOR", "CDTAREA", "TIPO_DE_RED", "CDMUNICIPIO")
+    coded = A.one_hot_vector(df, ["TIPO_DE_RED", "CDMUNICIPIO"]).select("DNI_PRESTADOR", "CDTAREA", F.posexplode(vector_to_array("encoded")).alias("place", "v"))
+    return coded.where("v = 1").drop("v")
 
 
 @query("sanitize_column_names", "SELECT s_suppkey AS clave_n, s_name AS Direccion_y_Ano, s_nationkey AS Pais_ FROM supplier")
