@@ -65,9 +65,12 @@ def banded(hist: DataFrame, groups: Sequence[str], most: int = 200_000, parts: i
     probs = [i / parts for i in range(1, parts)]
     inner = _null_safe(base, crowded, [*g, "band"], "left_semi")
     cuts = inner.groupBy(*g, "band").agg(F.percentile_approx("v", probs, 16 * parts).alias("__cuts"))
+    # one entry per `most` distinct values at most, mostly none: looked up without joining the histogram
+    where = F.struct(*g, "band")
+    known = cuts.agg(F.map_from_entries(F.collect_list(F.struct(where.alias("k"), F.col("__cuts").alias("c"))))).scalar()
     below = F.size(F.filter("__cuts", lambda c: c < F.col("v")))
-    joined = _null_safe(base, cuts, [*g, "band"], "left")
-    return joined.withColumn("sub", F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(below)).drop("__cuts")
+    placed = base.withColumn("__cuts", F.try_element_at(known, where))
+    return placed.withColumn("sub", F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(below)).drop("__cuts")
 
 
 def running_totals(hist: DataFrame, groups: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:

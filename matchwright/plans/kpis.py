@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,15 +59,15 @@ def replay_table(orders: DataFrame, assigned: DataFrame, providers: DataFrame) -
 _ROLES = (("hist", "baseline"), ("model", "model"))
 
 
-def _pair_counts(replay: DataFrame) -> DataFrame:
+def _pair_counts(replay: DataFrame, by: Sequence[str] = (), lines: Column | None = None) -> DataFrame:
     """Replay folded to provider pairs. Everything a KPI needs is fixed by the pair and the
     two match flags, so this one aggregation feeds all four of them."""
     match = {
         f"match_{r}": F.coalesce(F.col(f"muni_base_{r}") == F.col("cd_municipio_destino"), F.lit(False))
         for r, _ in _ROLES
     }
-    by = [f"{c}_{r}" for r, _ in _ROLES for c in ("dni_prestador", "tasa_cancela", "costo_log", "match")]
-    return replay.withColumns(match).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    pair = [f"{c}_{r}" for r, _ in _ROLES for c in ("dni_prestador", "tasa_cancela", "costo_log", "match")]
+    return replay.withColumns(match).groupBy(*by, *pair).agg(F.coalesce(F.sum(F.lit(1) if lines is None else lines), F.lit(0)).alias("n"))
 
 
 def _weighted_mean(value: str) -> Column:
@@ -75,31 +77,33 @@ def _weighted_mean(value: str) -> Column:
     return F.coalesce(F.sum(v * F.col("n")) / weight, F.lit(float("nan")))
 
 
-def _loads(pairs: DataFrame, role: str) -> DataFrame:
-    who = f"dni_prestador_{role}"
-    return pairs.where(F.col(who).isNotNull()).groupBy(who).agg(F.sum("n").alias("load"))
+def _load_ginis(pairs: DataFrame) -> DataFrame:
+    """scenario, side and the Gini of the providers' loads: all scenarios and both sides in one call."""
+    loads = None
+    for role, side in _ROLES:
+        who = F.col(f"dni_prestador_{role}")
+        part = pairs.where(who.isNotNull()).groupBy("scenario", F.lit(side).alias("side"), who.alias("who")).agg(F.sum("n").alias("load"))
+        loads = part if loads is None else loads.unionByName(part)
+    return gini(loads, "load", ["scenario", "side"])
 
 
-def _kpi_values(pairs: DataFrame) -> DataFrame:
-    """name, baseline, model and n_orders: one aggregation for the means, one per Gini."""
+def _kpi_values(pairs: DataFrame, scenarios: Sequence[str]) -> DataFrame:
+    """scenario, name, baseline, model and n_orders; a scenario without rows has NaN figures."""
     k1, k2, k3, k4 = K.KPI_GOALS
     measures = {k1: "tasa_cancela", k3: "costo_log", k4: "match"}
-    row = pairs.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_orders"),
+    row = pairs.groupBy("scenario").agg(
+        F.sum("n").cast("bigint").alias("n_orders"),
         *[_weighted_mean(f"{c}_{role}").alias(f"{k}_{side}") for role, side in _ROLES for k, c in measures.items()],
     )
-    for role, side in _ROLES:
-        row = row.withColumn(f"{k2}_{side}", gini(_loads(pairs, role), "load").scalar())
-    lines = [
-        F.struct(F.lit(k).alias("name"), *[F.col(f"{k}_{side}").alias(side) for _, side in _ROLES])
-        for k in (k1, k2, k3, k4)
-    ]
-    return row.select("n_orders", F.explode(F.array(*lines)).alias("r")).select("r.*", "n_orders")
+    ginis = _load_ginis(pairs).groupBy("scenario").agg(*[F.max(F.when(F.col("side") == side, F.col("gini"))).alias(f"{k2}_{side}") for _, side in _ROLES])
+    names = pairs.sparkSession.createDataFrame([(s,) for s in scenarios], "scenario string")  # the scenarios asked for
+    whole = names.join(row, "scenario", "left").join(ginis, "scenario", "left").withColumn("n_orders", F.coalesce("n_orders", F.lit(0)))
+    unknown = F.lit(float("nan"))
+    lines = [F.struct(F.lit(k).alias("name"), *[F.coalesce(F.col(f"{k}_{side}"), unknown).alias(side) for _, side in _ROLES]) for k in (k1, k2, k3, k4)]
+    return whole.select("scenario", "n_orders", F.explode(F.array(*lines)).alias("r")).select("scenario", "r.*", "n_orders")
 
 
-def kpi_table(replay: DataFrame, scenario: str = "rule_based") -> DataFrame:
-    """name, baseline, model, deltas, target and status of the four KPIs of one scenario."""
-    long = _kpi_values(stage(_pair_counts(replay), "kpi-pairs"))
+def _judged(values: DataFrame) -> DataFrame:
     change = F.col("model") - F.col("baseline")
     goal = {n: F.lit(v) for n, (_, _, v) in K.KPI_GOALS.items()}
     target = F.coalesce(*[F.when(F.col("name") == n, v) for n, v in goal.items()])
@@ -109,22 +113,39 @@ def kpi_table(replay: DataFrame, scenario: str = "rule_based") -> DataFrame:
     # NaN compares as the largest value in Spark; an undefined KPI never passes
     defined = ~F.isnan("delta_abs")
     return (
-        long.withColumn("delta_abs", change)
+        values.withColumn("delta_abs", change)
         .withColumn("delta_rel", F.when(F.abs("baseline") > 1e-9, F.col("delta_abs") / F.col("baseline")))
         .withColumn("target", target)
         .withColumn("target_kind", kind)
         .withColumn("status", F.when(F.coalesce(met & defined, F.lit(False)), "PASS").otherwise("FAIL"))
-        .withColumn("scenario", F.lit(scenario))
+        .select("name", "baseline", "model", "n_orders", "delta_abs", "delta_rel", "target", "target_kind", "status", "scenario")
     )
 
 
+def kpi_table(replay: DataFrame, scenario: str = "rule_based") -> DataFrame:
+    """name, baseline, model, deltas, target and status of the four KPIs of one scenario."""
+    pairs = stage(_pair_counts(replay).withColumn("scenario", F.lit(scenario)), "kpi-pairs")
+    return _judged(_kpi_values(pairs, [scenario]))
+
+
 def kpis_summary(orders: DataFrame, scenarios: dict[str, DataFrame], providers: DataFrame) -> DataFrame:
-    """One block of four rows per scenario."""
-    out = None
+    """One block of four rows per scenario.
+
+    The history is folded to (order key, provider) once and meets the assignments of all
+    scenarios in one join; everything after that is grouped by scenario.
+    """
+    history = order_history(orders).groupBy(*KEY, "dni_prestador_hist").agg(F.count(F.lit(1)).alias("n_lines"))
+    models = None
     for name, assigned in scenarios.items():
-        part = kpi_table(replay_table(orders, assigned, providers), name)
-        out = part if out is None else out.unionByName(part)
-    return out
+        part = assigned.select(*KEY, F.col("dni_prestador").alias("dni_prestador_model"), F.lit(name).alias("scenario"))
+        models = part if models is None else models.unionByName(part)
+    replayed = (
+        history.join(models, KEY, "inner")
+        .join(_attributes(providers, "hist"), "dni_prestador_hist", "left")
+        .join(_attributes(providers, "model"), "dni_prestador_model", "left")
+    )
+    pairs = stage(_pair_counts(replayed, ["scenario"], F.col("n_lines")), "kpi-pairs")
+    return _judged(_kpi_values(pairs, list(scenarios)))
 
 
 # ---- saturation ------------------------------------------------------------------------------
