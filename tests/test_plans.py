@@ -27,9 +27,8 @@ def test_ranking_limits_before_the_shuffle(spark, small):
 
 def test_silver_stays_in_the_jvm(spark, small):
     from matchwright.plans import silver as S
-    from workload.views import narrow
 
-    text = plan(narrow(S.clean_orders, Tables(spark, small).view("fx_raw_ordenado"), (S.ORDER_DATES, S.ORDER_AMOUNTS, S.ORDER_FLAGS)))
+    text = plan(S.clean_orders(Tables(spark, small).view("fx_full_ordenado")))
     assert "EvalPython" not in text and "InPandas" not in text
 
 

@@ -14,7 +14,7 @@ from matchwright.session import scratch_path
 from matchwright.sources import readers as SR
 from matchwright.sources import store as ST
 from workload.registry import company_features, matrix, providers, query
-from workload.views import Tables, narrow
+from workload.views import Tables
 
 LINE = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
 
@@ -341,72 +341,125 @@ def quality_flags(t: Tables):
     return t.catalog.transform(C.quality_flags, flags).select(*flags)
 
 
+def text(c: str) -> str:
+    """A cleaned text: blanks and line breaks around it go, nothing left is null."""
+    return f"nullif(trim({c}, ' ' || chr(10)), '')"
+
+
+def known(c: str) -> str:
+    return f"nullif({text(c)}, '?')"
+
+
+def amount(c: str) -> str:
+    return f"try_cast(regexp_replace({known(c)}, ',', '.') AS double) AS {c}"
+
+
+def number(c: str) -> str:
+    return f"try_cast({text(c)} AS double) AS {c}"
+
+
+def stamp(c: str, pattern: str, clean=text) -> str:
+    return f"cast(try_strptime({clean(c)}, '{pattern}') AS date) AS {c}"
+
+
+def lead(c: str) -> str:
+    """The date in the first ten characters."""
+    return f"cast(try_strptime(substr({text(c)}, 1, 10), '%Y-%m-%d') AS date) AS {c}"
+
+
+def truth(c: str, yes: str = "S", clean=text) -> str:
+    return f"{clean(c)} = '{yes}' AS {c}"
+
+
+# Columns as the oracles read them, written out apart from the library's own lists.
+SEEN_AMOUNTS = (
+    "Valor_Costo_Unitario", "Valor_Costo_Total_Tarea_Cal", "Valor_Costo_Total_Tarea", "Valor_Costo_Transporte",
+    "Valor_Costo_Viaticos", "Numero_Cantidad_Cronograma", "Numero_Cantidad_Pedida", "Numero_Saldo_Ejecutado",
+    "Numero_Saldo_Tarea", "Numero_Cantidad_Cancelada", "Pct_Cu_Cronograma",
+)
+SEEN_ORDER_FLAGS = (
+    "Ind_Requiere_Informe", "Ind_Informe_Obligatorio", "Ind_Liquidar_Transporte", "Ind_Reactivacion", "Ind_Transporte_Ida",
+    "Ind_Compensacion",
+)
+SEEN_ORDER_TIMES = ("Fecha_Entrega_Servicio", "Fecha_Entrega_Servicio_Fin", "Fecha_Aprobacion_Tarea")
+SEEN_VISIT_DATES = (
+    "FEENTREGA_SERVICIO_INI", "FEENTREGA_SERVICIO_FIN", "FEPROGRAMACION", "FEINGRESO_CUMPLIMIENTO", "FECANCELACION",
+    "FEENVIO_INFORME", "FEAPROBACION_INFORME", "FERECHAZO_INFORME",
+)
+SEEN_VISIT_DAYS = ("FECREACION_OC", "FECHA_CARGA")
+SEEN_VISIT_NUMBERS = (
+    "NMCANTIDAD_PEDIDA", "NMCANTIDAD_PROGRAMADA", "DURACION", "CANTIDAD_PROGRAMADA_CITA", "NMCANTIDAD_EJECUTADA", "NMASISTENTES",
+)
+SEEN_VISIT_FLAGS = ("SNREQUIERE_INFORME", "SNCANCELA_EMPRESA", "SNAPROBADO_AUTOMATICO", "SNPARCIAL")
+SEEN_CATALOG_TIMES = ("FEALTA_PRESTADOR", "FEC_FIN_COS_TAR", "FEALTA_TAREA_PRESTADOR", "FEALTA_DIST", "FEVALIDACION", "FECHA_CARGA")
+SEEN_CATALOG_NUMBERS = ("CAPACIDAD", "PTCALIFICACION", "PTVALOR_TAREA")
+
+
 @query(
     "silver_ordenado",
-    f"""SELECT DISTINCT a AS Ord_Plan_Vers_Act_Id, n AS Numero_Consecutivo_Orden, s AS Codigo_Estado_Orden, p AS Perfil_Prestador,
-    cast(try_strptime(Fecha_Creacion_Orden, '%d/%m/%Y') AS date) AS Fecha_Creacion_Orden,
-    cast(try_strptime(Fecha_Entrega_Servicio, '%d/%m/%Y %H:%M:%S') AS date) AS Fecha_Entrega_Servicio,
-    {MONEY} AS Valor_Costo_Total_Tarea, try_cast(Numero_Cantidad_Pedida AS double) AS Numero_Cantidad_Pedida, Ind_Compensacion = 'S' AS Ind_Compensacion,
-    p IS NULL AS FLAG_PERFIL_DESCONOCIDO
-    FROM (SELECT nullif(nullif(trim(Ord_Plan_Vers_Act_Id), ''), '?') AS a, nullif(nullif(trim(Numero_Consecutivo_Orden), ''), '?') AS n,
-      nullif(nullif(trim(Codigo_Estado_Orden), ''), '?') AS s, nullif(nullif(trim(Perfil_Prestador), ''), '?') AS p,
-      Fecha_Creacion_Orden, Fecha_Entrega_Servicio, Valor_Costo_Total_Tarea, Numero_Cantidad_Pedida, Ind_Compensacion FROM {RAW})
-    WHERE a IS NOT NULL AND s IS NOT NULL""",
-    rounds=["Valor_Costo_Total_Tarea", "Numero_Cantidad_Pedida"],
-    dates=["Fecha_Creacion_Orden", "Fecha_Entrega_Servicio"],
+    f"""SELECT DISTINCT {", ".join(f"{known(c)} AS {c}" for c in ("Ord_Plan_Vers_Act_Id", "Numero_Consecutivo_Orden", "Codigo_Estado_Orden", "Perfil_Prestador"))},
+    {stamp("Fecha_Creacion_Orden", "%d/%m/%Y", known)}, {", ".join(stamp(c, "%d/%m/%Y %H:%M:%S", known) for c in SEEN_ORDER_TIMES)},
+    {", ".join(map(amount, SEEN_AMOUNTS))}, {", ".join(truth(c, clean=known) for c in SEEN_ORDER_FLAGS)},
+    {known("Perfil_Prestador")} IS NULL AS FLAG_PERFIL_DESCONOCIDO
+    FROM fx_full_ordenado r WHERE {known("r.Ord_Plan_Vers_Act_Id")} IS NOT NULL AND {known("r.Codigo_Estado_Orden")} IS NOT NULL""",
+    rounds=SEEN_AMOUNTS,
+    dates=["Fecha_Creacion_Orden", *SEEN_ORDER_TIMES],
 )
 def silver_ordenado(t: Tables):
-    return narrow(S.clean_orders, t.view(RAW), (S.ORDER_DATES, S.ORDER_AMOUNTS, S.ORDER_FLAGS))
+    return S.clean_orders(t.view("fx_full_ordenado"))
+
+
+PROFESSIONAL = "try_cast(CASE WHEN ID_PROFESIONAL_PPAL NOT LIKE '%.%' THEN ID_PROFESIONAL_PPAL END AS bigint)"
 
 
 @query(
     "silver_empresas",
-    """SELECT trim(Empresa_Id) AS Empresa_Id, ESTADO_EMPRESA_CALCULADO = 'Activa' AS ESTADO_EMPRESA_CALCULADO,
-    try_cast(CASE WHEN ID_PROFESIONAL_PPAL NOT LIKE '%.%' THEN ID_PROFESIONAL_PPAL END AS bigint) AS ID_PROFESIONAL_PPAL, try_cast(Fecha_Fin_Cobertura AS date) AS Fecha_Fin_Cobertura,
-    Ind_Multiregional = 'S' AS Ind_Multiregional, trim(Afiliados) = 'Con Afiliados' AS Afiliados, try_cast(Numero_Afiliados AS bigint) AS Numero_Afiliados,
-    try_cast(CASE WHEN ID_PROFESIONAL_PPAL NOT LIKE '%.%' THEN ID_PROFESIONAL_PPAL END AS bigint) = -1 AS FLAG_SIN_PROFESIONAL FROM fx_raw_empresa""",
-    dates=["Fecha_Fin_Cobertura"],
+    f"""SELECT {text("Empresa_Id")} AS Empresa_Id, {truth("ESTADO_EMPRESA_CALCULADO", "Activa")}, {PROFESSIONAL} AS ID_PROFESIONAL_PPAL,
+    {stamp("Fecha_Inicio_Cobertura", "%Y-%m-%d")}, {stamp("Fecha_Fin_Cobertura", "%Y-%m-%d")}, {truth("Ind_Multiregional")},
+    {truth("Afiliados", "Con Afiliados")}, try_cast(Numero_Afiliados AS bigint) AS Numero_Afiliados, {PROFESSIONAL} = -1 AS FLAG_SIN_PROFESIONAL
+    FROM fx_full_empresa""",
+    dates=["Fecha_Inicio_Cobertura", "Fecha_Fin_Cobertura"],
 )
 def silver_empresas(t: Tables):
-    return narrow(S.clean_companies, t.view("fx_raw_empresa"), (S.COMPANY_DATES, S.COMPANY_TRUTHS))
+    return S.clean_companies(t.view("fx_full_empresa"))
 
 
 @query(
     "silver_tareas_programadas",
-    """SELECT trim(NMCONSECUTIVO_ORDEN) AS NMCONSECUTIVO_ORDEN, trim(DNI_PRESTADOR) AS DNI_PRESTADOR,
-    nullif(trim(replace(trim(MOTIVO_CANCELACION, ' ' || chr(10)), chr(10), ' ')), '') AS MOTIVO_CANCELACION,
-    CASE trim(DSESTADO_INFORME) WHEN 'AP' THEN 'APROBADO' WHEN 'PA' THEN 'PRE-APROBADO' WHEN 'RE' THEN 'RECHAZADO' ELSE trim(DSESTADO_INFORME) END AS DSESTADO_INFORME,
-    try_cast(substr(FEPROGRAMACION, 1, 10) AS date) AS FEPROGRAMACION, try_cast(FECREACION_OC AS date) AS FECREACION_OC,
-    try_cast(DURACION AS double) AS DURACION, try_cast(NMCANTIDAD_EJECUTADA AS double) AS NMCANTIDAD_EJECUTADA, trim(SNPARCIAL) = 'S' AS SNPARCIAL,
-    coalesce(try_cast(NMCANTIDAD_EJECUTADA AS double) < 0, false) AS FLAG_CANTIDAD_EJECUTADA_NEGATIVA FROM fx_raw_citas""",
-    rounds=["DURACION", "NMCANTIDAD_EJECUTADA"],
-    dates=["FEPROGRAMACION", "FECREACION_OC"],
+    f"""SELECT {text("NMCONSECUTIVO_ORDEN")} AS NMCONSECUTIVO_ORDEN, {text("DNI_PRESTADOR")} AS DNI_PRESTADOR,
+    replace({text("MOTIVO_CANCELACION")}, chr(10), ' ') AS MOTIVO_CANCELACION,
+    CASE {text("DSESTADO_INFORME")} WHEN 'AP' THEN 'APROBADO' WHEN 'PA' THEN 'PRE-APROBADO' WHEN 'RE' THEN 'RECHAZADO' ELSE {text("DSESTADO_INFORME")} END AS DSESTADO_INFORME,
+    {", ".join(map(lead, SEEN_VISIT_DATES))}, {", ".join(stamp(c, "%Y-%m-%d") for c in SEEN_VISIT_DAYS)},
+    {", ".join(map(number, SEEN_VISIT_NUMBERS))}, {", ".join(map(truth, SEEN_VISIT_FLAGS))},
+    coalesce(try_cast(NMCANTIDAD_EJECUTADA AS double) < 0, false) AS FLAG_CANTIDAD_EJECUTADA_NEGATIVA FROM fx_full_citas""",
+    rounds=SEEN_VISIT_NUMBERS,
+    dates=[*SEEN_VISIT_DATES, *SEEN_VISIT_DAYS],
 )
 def silver_tareas_programadas(t: Tables):
-    return narrow(S.clean_visits, t.view("fx_raw_citas"), (S.VISIT_DATES, S.VISIT_NUMBERS, S.VISIT_FLAGS))
+    return S.clean_visits(t.view("fx_full_citas"))
 
 
 @query(
     "silver_tareas_prestador",
-    """SELECT DISTINCT trim(DNI_PRESTADOR) AS DNI_PRESTADOR, trim(CDTAREA) AS CDTAREA, nullif(trim(CDMUNICIPIO), '') AS CDMUNICIPIO,
-    try_cast(CAPACIDAD AS double) AS CAPACIDAD, cast(try_strptime(FEC_FIN_COS_TAR, '%Y-%m-%d %H:%M:%S') AS date) AS FEC_FIN_COS_TAR,
-    try_cast(substr(FEC_INI_COS_TAR, 1, 10) AS date) AS FEC_INI_COS_TAR, nullif(SNVALIDADO, '') = 'S' AS SNVALIDADO,
-    try_cast(CAPACIDAD AS double) = 0 AS FLAG_CAPACIDAD_CERO FROM fx_raw_catalogo WHERE nullif(trim(CDMUNICIPIO), '') IS NOT NULL""",
-    rounds=["CAPACIDAD"],
-    dates=["FEC_FIN_COS_TAR", "FEC_INI_COS_TAR"],
+    f"""SELECT DISTINCT {", ".join(f"{text(c)} AS {c}" for c in ("DNI_PRESTADOR", "CDTAREA", "CDMUNICIPIO"))},
+    {", ".join(map(number, SEEN_CATALOG_NUMBERS))}, {", ".join(stamp(c, "%Y-%m-%d %H:%M:%S") for c in SEEN_CATALOG_TIMES)},
+    {lead("FEC_INI_COS_TAR")}, {truth("SNVALIDADO")}, {truth("SNCONTROLAR_HORAS_MES")},
+    try_cast(CAPACIDAD AS double) = 0 AS FLAG_CAPACIDAD_CERO FROM fx_full_catalogo r WHERE {text("r.CDMUNICIPIO")} IS NOT NULL""",
+    rounds=SEEN_CATALOG_NUMBERS,
+    dates=[*SEEN_CATALOG_TIMES, "FEC_INI_COS_TAR"],
 )
 def silver_tareas_prestador(t: Tables):
-    return narrow(S.clean_catalog, t.view("fx_raw_catalogo"), (S.CATALOG_DATES, S.CATALOG_NUMBERS, S.CATALOG_FLAGS))
+    return S.clean_catalog(t.view("fx_full_catalogo"))
 
 
 @query(
     "silver_maestro",
-    """SELECT trim(cdtarea) AS cdtarea, try_cast(substr(nullif(febaja, ''), 1, 10) AS date) AS febaja, snnuevo_modelo = 'S' AS snnuevo_modelo,
-    try_cast(substr(nullif(febaja, ''), 1, 10) AS date) IS NULL AS FLAG_TAREA_ACTIVA FROM fx_raw_maestro""",
-    dates=["febaja"],
+    f"""SELECT {text("cdtarea")} AS cdtarea, {lead("fealta")}, {lead("febaja")}, {truth("snrequiereinforme")}, {truth("sninforme_obligatorio")},
+    {truth("snnuevo_modelo")}, try_strptime(substr({text("febaja")}, 1, 10), '%Y-%m-%d') IS NULL AS FLAG_TAREA_ACTIVA FROM fx_full_maestro""",
+    dates=["fealta", "febaja"],
 )
 def silver_maestro(t: Tables):
-    return narrow(S.clean_master, t.view("fx_raw_maestro"), (S.MASTER_DATES, S.MASTER_FLAGS))
+    return S.clean_master(t.view("fx_full_maestro"))
 
 
 @query("strip_float_suffix", "SELECT regexp_replace(Municipio_Entrega_Id, '\\.0$', '') AS m FROM fx_ordenado")

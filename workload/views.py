@@ -202,6 +202,85 @@ SELECT 'T' || cast(p_partkey AS string) || ' ' AS cdtarea,
 FROM {part}
 """
 
+# The raw tables with all their columns: the further ones repeat the given forms, each with its own blanks, gaps and
+# unreadable values, so every declared date, amount and flag is read from text that needs it.
+
+FULL_ORDERS = """
+SELECT r.*,
+       CASE WHEN trim(Codigo_Estado_Orden) = 'F' THEN ' ' || Fecha_Entrega_Servicio ELSE Fecha_Creacion_Orden END AS Fecha_Entrega_Servicio_Fin,
+       CASE WHEN Ind_Compensacion = 'S' THEN Fecha_Entrega_Servicio || '  ' ELSE '?' END AS Fecha_Aprobacion_Tarea,
+       Valor_Costo_Total_Tarea || ' ' AS Valor_Costo_Unitario,
+       '-' || Valor_Costo_Total_Tarea AS Valor_Costo_Total_Tarea_Cal,
+       CASE WHEN Numero_Cantidad_Pedida = '7' THEN '?' ELSE Numero_Cantidad_Pedida || ',5' END AS Valor_Costo_Transporte,
+       CASE WHEN Numero_Cantidad_Pedida = '8' THEN ' ' ELSE ' ' || Numero_Cantidad_Pedida || ',25 ' END AS Valor_Costo_Viaticos,
+       CASE WHEN Numero_Cantidad_Pedida = '9' THEN 'nueve' ELSE Numero_Cantidad_Pedida || '.75' END AS Numero_Cantidad_Cronograma,
+       '-' || Numero_Cantidad_Pedida AS Numero_Saldo_Ejecutado,
+       '0,' || Numero_Cantidad_Pedida AS Numero_Saldo_Tarea,
+       CASE WHEN Ind_Compensacion = 'S' THEN '0' ELSE NULL END AS Numero_Cantidad_Cancelada,
+       Numero_Cantidad_Pedida || ',5,0' AS Pct_Cu_Cronograma,
+       CASE WHEN Ind_Compensacion = 'S' THEN 'N ' ELSE ' S' END AS Ind_Requiere_Informe,
+       CASE WHEN Numero_Cantidad_Pedida = '7' THEN '?' ELSE Ind_Compensacion END AS Ind_Informe_Obligatorio,
+       CASE WHEN Numero_Cantidad_Pedida = '8' THEN ' ' ELSE 'S' END AS Ind_Liquidar_Transporte,
+       CASE WHEN Numero_Cantidad_Pedida = '9' THEN 's' ELSE 'N' END AS Ind_Reactivacion,
+       Ind_Compensacion || ' ' AS Ind_Transporte_Ida
+FROM ({RAW_ORDERS}) r
+"""
+
+FULL_VISITS = """
+SELECT r.*,
+       FEPROGRAMACION || ' ' AS FEENTREGA_SERVICIO_INI,
+       CASE WHEN SNPARCIAL = 'N' THEN FEPROGRAMACION ELSE ' ' END AS FEENTREGA_SERVICIO_FIN,
+       ' ' || FECREACION_OC AS FEINGRESO_CUMPLIMIENTO,
+       CASE WHEN trim(MOTIVO_CANCELACION) <> '' THEN FEPROGRAMACION ELSE NULL END AS FECANCELACION,
+       CASE WHEN trim(DSESTADO_INFORME) = 'RE' THEN '20251301' ELSE FEPROGRAMACION END AS FEENVIO_INFORME,
+       CASE WHEN trim(DSESTADO_INFORME) = 'AP' THEN FECREACION_OC || ' 10:00' ELSE NULL END AS FEAPROBACION_INFORME,
+       CASE WHEN trim(DSESTADO_INFORME) = 'RE' THEN FEPROGRAMACION ELSE '' END AS FERECHAZO_INFORME,
+       CASE WHEN SNPARCIAL = 'N' THEN 'ayer' ELSE FECREACION_OC END AS FECHA_CARGA,
+       ' ' || DURACION AS NMCANTIDAD_PEDIDA,
+       CASE WHEN DURACION = '7' THEN 'siete' ELSE DURACION || '.5' END AS NMCANTIDAD_PROGRAMADA,
+       '-' || DURACION AS CANTIDAD_PROGRAMADA_CITA,
+       CASE WHEN DURACION = '8' THEN '' ELSE DURACION || '0' END AS NMASISTENTES,
+       CASE WHEN DURACION = '9' THEN ' ' ELSE SNPARCIAL END AS SNREQUIERE_INFORME,
+       CASE WHEN trim(MOTIVO_CANCELACION) <> '' THEN ' S' ELSE NULL END AS SNCANCELA_EMPRESA,
+       CASE WHEN DURACION = '7' THEN 'SI' ELSE 'S' END AS SNAPROBADO_AUTOMATICO
+FROM ({RAW_VISITS}) r
+"""
+
+FULL_CATALOG = """
+SELECT r.*,
+       FEC_FIN_COS_TAR || ' ' AS FEALTA_PRESTADOR,
+       CASE WHEN SNVALIDADO = 'S' THEN '2019-02-29 00:00:00' ELSE FEC_FIN_COS_TAR END AS FEALTA_TAREA_PRESTADOR,
+       CASE WHEN SNVALIDADO = 'N' THEN '2021-07-15' ELSE FEC_FIN_COS_TAR END AS FEALTA_DIST,
+       CASE WHEN SNVALIDADO = 'S' THEN '2021-07-15 23:59:59' ELSE ' ' END AS FEVALIDACION,
+       CASE WHEN SNVALIDADO = '' THEN NULL ELSE FEC_FIN_COS_TAR END AS FECHA_CARGA,
+       CASE WHEN SNVALIDADO = 'N' THEN 'buena' ELSE ' 4.5' END AS PTCALIFICACION,
+       CASE WHEN SNVALIDADO = 'S' THEN '-' || CAPACIDAD ELSE trim(CDMUNICIPIO) || '.25' END AS PTVALOR_TAREA,
+       CASE WHEN CAPACIDAD = '160' THEN 'S ' WHEN CAPACIDAD = '0' THEN 'N' ELSE NULL END AS SNCONTROLAR_HORAS_MES
+FROM ({RAW_CATALOG}) r
+"""
+
+FULL_COMPANIES = """
+SELECT r.*,
+       CASE WHEN Numero_Afiliados = '7' THEN 'sin fecha' WHEN Ind_Multiregional = 'S' THEN ' 2010-05-06 ' ELSE Fecha_Fin_Cobertura END AS Fecha_Inicio_Cobertura
+FROM ({RAW_COMPANIES}) r
+"""
+
+FULL_MASTER = """
+SELECT r.*,
+       CASE WHEN snnuevo_modelo = 'S' THEN '2023-04-31 00:00:00' WHEN snnuevo_modelo = 'N' THEN ' 2023-04-30T05:06:07 ' ELSE febaja END AS fealta,
+       CASE WHEN snnuevo_modelo = 'S' THEN 'N' ELSE 'S ' END AS snrequiereinforme,
+       CASE WHEN febaja = '' THEN ' ' ELSE snnuevo_modelo END AS sninforme_obligatorio
+FROM ({RAW_MASTER}) r
+"""
+
+FULL = {
+    "fx_full_ordenado": FULL_ORDERS.replace("{RAW_ORDERS}", RAW_ORDERS),
+    "fx_full_citas": FULL_VISITS.replace("{RAW_VISITS}", RAW_VISITS),
+    "fx_full_catalogo": FULL_CATALOG.replace("{RAW_CATALOG}", RAW_CATALOG),
+    "fx_full_empresa": FULL_COMPANIES.replace("{RAW_COMPANIES}", RAW_COMPANIES),
+    "fx_full_maestro": FULL_MASTER.replace("{RAW_MASTER}", RAW_MASTER),
+}
+
 VIEWS = {
     "fx_citas": VISITS,
     "fx_ordenado": ORDERS,
@@ -214,6 +293,7 @@ VIEWS = {
     "fx_raw_catalogo": RAW_CATALOG,
     "fx_raw_empresa": RAW_COMPANIES,
     "fx_raw_maestro": RAW_MASTER,
+    **FULL,
 }
 
 
@@ -284,8 +364,3 @@ def duck(text: str) -> str:
     heads = ",\n".join(f"{n} AS MATERIALIZED ({CTES[n].strip()})" for n in needed)
     body = text.strip()
     return f"WITH {heads}\n{body}" if not body.upper().startswith("WITH ") else f"WITH {heads},\n{body[5:]}"
-
-
-def narrow(clean, raw, declared):
-    """Clean a view of the driver's tables; the declared columns it does not have are named as optional."""
-    return clean(raw, optional={c for columns in declared for c in columns} - set(raw.columns))
