@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from matchwright.llm.blocks import Block, page_blocks
 from matchwright.llm.texts import slices
 
-FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "article", "furniture", "page_has_article", "heading")
+FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "article", "furniture", "page_has_article", "heading", "named")
 
 _P = "Rain fell on the harbour for most of the week and the boats stayed in, so the market had little fish to sell."
 _Q = "Nobody was hurt, the mayor said on Friday, and repairs to the old sea wall will begin as soon as the water has gone down again."
@@ -25,15 +25,15 @@ _BODIES = (
     f"<main data-keep><h2>Storm</h2><p>{_P}<p>{_Q}<ul><li>{_S}<li><a href=/2>Two boats sank</a></ul></main>",
     f"<div data-keep><h1>Storm at sea</h1><p>{_P}</p><p>{_S}</p><p>{_Q}</p><p>{_P} <a href=/x>More here</a></p></div>",
 )
-_FURNITURE = ("nav", "aside", "footer", "form", "header", "div class=ad", "div class=comments", "div id=sidebar", "div class='cookie notice'")
+_FURNITURE = ("nav", "aside", "footer", "form", "header", "div class=ad", "div class=comments", "div id=sidebar", "div class='cookie notice'", "div class=cookie-banner", "div id=siteFooter")
 _FILLING = (_S, "Buy two lamps today.", _P, f"{_Q}</p><p>{_P}", "<a href=/a>About us</a> <a href=/b>Terms of use</a>")
 
 
 def labelled_pages() -> list[str]:
     """Labelled pages by rule: each body with each kind of furniture before, after or inside it, and with a bare menu.
 
-    Blocks inside an element with data-keep and outside furniture belong to the main text, all
-    others do not.
+    Blocks inside an element with data-keep and outside furniture, also by compound names, belong
+    to the main text, all others do not. Articles also stand in wrappers whose names mislead.
     """
     pages = []
     for body in _BODIES:
@@ -43,6 +43,8 @@ def labelled_pages() -> list[str]:
                 pages += [f"<div>{_MENU}</div>{extra}{body}<p>Imprint</p>", f"{body}{extra}<p>Log in</p>"]
                 if where != "header":
                     pages.append(body.replace("<p>", f"{extra}<p>", 1))
+    wrapped = ("form", "div class='content search'", "div class=page-banner", "div class='page with-menu'")
+    pages += [f"<div>{_MENU}</div><{w}>{body}</{w.split()[0]}><p>Imprint</p>" for w in wrapped for body in _BODIES if body[1] in "am"]
     return pages
 
 
@@ -51,13 +53,14 @@ def features(blocks: list[Block]) -> np.ndarray:
     if not blocks:
         return np.zeros((0, len(FEATURES)))
     words = np.array([b.words for b in blocks], float)
+    named = np.array([b.named for b in blocks], float)
     density = np.minimum(1.0, np.array([b.linked for b in blocks], float) / words)
     before, after = (lambda x: np.concatenate(([0.0], x[:-1]))), (lambda x: np.concatenate((x[1:], [0.0])))
     article = np.array([b.article for b in blocks], float)
     furniture = np.array([b.furniture for b in blocks], float)
     heading = np.array([len(b.tag) == 2 and b.tag[0] == "h" and b.tag[1].isdigit() for b in blocks], float)
     return np.column_stack(
-        (words, density, before(words), before(density), after(words), after(density), article, furniture, np.full(len(blocks), article.max()), heading)
+        (words, density, before(words), before(density), after(words), after(density), article, furniture, np.full(len(blocks), article.max()), heading, named)
     )
 
 
@@ -96,7 +99,7 @@ def classify(tree: tuple, x: np.ndarray) -> np.ndarray:
 def labelled_tree(pages: list[str] | None = None) -> tuple:
     """The tree of the labelled pages; they are a small fixed table, so it is trained on the driver."""
     sets = [page_blocks(p) for p in pages or labelled_pages()]
-    y = np.array([b.marked and not b.furniture for blocks in sets for b in blocks], float)
+    y = np.array([b.marked and not b.furniture and not b.named for blocks in sets for b in blocks], float)
     return train(np.concatenate([features(b) for b in sets]), y)
 
 

@@ -34,7 +34,7 @@ def test_tree_learns_the_labelled_pages():
     tree = extract.labelled_tree()
     for page in extract.labelled_pages():
         blocks = page_blocks(page)
-        assert list(extract.classify(tree, extract.features(blocks))) == [b.marked and not b.furniture for b in blocks]
+        assert list(extract.classify(tree, extract.features(blocks))) == [b.marked and not b.furniture and not b.named for b in blocks]
 
 
 def test_tree_on_held_out_pages(small, spark):
@@ -82,6 +82,42 @@ def test_layout_names_do_not_hide_the_article():
     assert extract.main_text(f"<body><div class='box sidebar'><p>{text}</p></div>{article}</body>", tree) == f"Storm\n{text}"
 
 
+TEXT = "Rain fell on the harbour for most of the week and the boats stayed in, so the market had little fish to sell."
+
+
+def test_compound_names_are_page_furniture():
+    tree = extract.labelled_tree()
+    names = "cookie-banner site-footer comment-list ad-container related-posts left-sidebar share-buttons cookie_notice newsletter-signup leftSidebar"
+    for name in names.split():
+        part = f"<div class='{name}'><p>We set two small files on your machine to count visits.</p></div>"
+        for page in (
+            f"<article><h1>Storm</h1>{part}<p>{TEXT}</p></article>",
+            f"<article><h1>Storm</h1><p>{TEXT}</p></article>{part}",
+            f"<div class=post><h1>Storm at sea</h1>{part}<p>{TEXT}</p><p>{TEXT}</p></div>",
+            f"<div class=post><h1>Storm at sea</h1><p>{TEXT}</p><p>{TEXT}</p></div>{part}",
+        ):
+            assert "files" not in extract.main_text(page, tree) and TEXT in extract.main_text(page, tree), page
+    kept = f"<article><div class=post-header><h1>Storm</h1></div><p class=advice-box>{TEXT}</p></article>"
+    assert extract.main_text(kept, tree) == f"Storm\n{TEXT}"
+
+
+def test_wrappers_do_not_hide_the_article():
+    tree = extract.labelled_tree()
+    for host in ("article", "main"):
+        body = f"<{host}><h1>Storm</h1><p>{TEXT}</p></{host}>"
+        for where in ("form", "div class='content search'", "div class=widget", "div class=top-banner", "div class=has-sidebar"):
+            assert extract.main_text(f"<{where}>{body}</{where.split()[0]}>", tree) == f"Storm\n{TEXT}", where
+        for where in ("aside", "footer", "nav", "div class=comments", "ol class=comment-list", "div class=related-posts"):
+            page = f"{body}<{where}><article><p>Nice words on the storm from us all.</p></article></{where.split()[0]}>"
+            assert extract.main_text(page, tree) == f"Storm\n{TEXT}", where
+
+
+def test_open_buttons_end_at_the_next_block():
+    tree = extract.labelled_tree()
+    assert extract.main_text(f"<article><button>Like<p>{TEXT}</p><button type=x>No</button><p>two</p></article>", tree) == f"{TEXT}\ntwo"
+    assert [b.text for b in page_blocks("<option>a<option>b<p>c</p><button-group>d")] == ["c", "d"]
+
+
 def _read(data):
     """Records of a WARC file by their Content-Length."""
     out = []
