@@ -92,6 +92,8 @@ def fit_forest(
                     names, points = np.concatenate((names, keys[near])), np.concatenate((points, x[near]))
                     best = np.argsort(rank, kind="stable")[:psi]
                     kept[t] = rank[best], names[best], points[best]
+        if not len(kept[0][0]):
+            return  # a task without rows: pandas cannot tell Arrow that an empty `x` holds arrays
         for t, (rank, names, points) in kept.items():
             yield pd.DataFrame({"tree": t, "rank": (rank >> np.uint64(1)).astype(np.int64), "__key": names, "x": list(points)})
 

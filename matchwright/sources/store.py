@@ -95,7 +95,7 @@ class Target:
 
 def bake_targets(
     spark: SparkSession,
-    registry: Mapping[str, Target],
+    registry: Mapping[str, Target | Callable[[Mapping[str, DataFrame]], DataFrame]],
     root: str,
     names: Sequence[str] | None = None,
     side_by_side: int = 4,
@@ -104,9 +104,16 @@ def bake_targets(
 
     A table that is not asked for is taken from the store when an asked one reads it; where it
     is not stored either, nothing is built and the error names it. A failed build lets those
-    under way end and starts no other; finished tables stay replaced.
+    under way end and starts no other; finished tables stay replaced. A plain function names no
+    inputs: it may read every table registered before it that is asked for or stored.
     """
     wanted = list(registry) if names is None else list(dict.fromkeys(names))
+    declared: dict[str, Target] = {}
+    for name, target in registry.items():
+        if not isinstance(target, Target):
+            target = Target(target, tuple(e for e in declared if e in wanted or versions(spark, f"{root}/{e}")))
+        declared[name] = target
+    registry = declared
     unknown = [n for n in wanted if n not in registry] + [f"{i} (read by {n})" for n, t in registry.items() for i in t.inputs if i not in registry]
     if unknown:
         raise KeyError(f"unknown tables {unknown}; there are {list(registry)}")

@@ -29,6 +29,14 @@ def test_far_points_are_quarantined(blobs):
     )
 
 
+def test_forest_over_tasks_without_rows(spark, blobs):
+    few = spark.createDataFrame(blobs.limit(3).collect(), blobs.schema).repartition(1).repartition(6, "DNI_PRESTADOR")
+    assert few.rdd.glom().map(len).filter(lambda n: n == 0).count() > 0
+    out = OF.outlier_quarantine(few, "DNI_PRESTADOR", ["a", "b", "c"], trees=5).collect()
+    assert len(out) == 3 and all(-1 <= r["outlier_score"] <= 0 for r in out)
+    assert OF.outlier_quarantine(few.where("a > 1e9"), "DNI_PRESTADOR", ["a", "b", "c"], trees=5).collect() == []
+
+
 def test_fit_save_load_predict(spark, blobs, tmp_path):
     model, labels = G.fit_grouping(blobs, ["a", "b", "c"], k_range=(3, 4), restarts=2, contamination=4 / 154, min_size=20, min_kept=3, trees=40)
     assert model.metadata["n_kept_clusters"] == 3 and model.metadata["kept_cluster_sizes"] == [50, 50, 50]
