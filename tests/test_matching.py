@@ -124,6 +124,48 @@ def test_ranking_lists_equal_full_fan_out(spark):
     assert got == expected
 
 
+@pytest.mark.parametrize("limits", [(0, 100), (1000, 0), (5, 1000)])
+def test_packed_and_crowded_tasks_rank_alike(spark, small, limits):
+    from workload.registry import matrix, providers
+    from workload.views import Tables
+
+    t = Tables(spark, small)
+    args = (t.orders, t.catalog, providers(t), matrix(t), t.clusters)
+    packed = R.recommend(*args, packed_providers_limit=10**6, packed_orders_limit=10**6).persist()
+    other = R.recommend(*args, packed_providers_limit=limits[0], packed_orders_limit=limits[1]).persist()
+    assert packed.count() == other.count() > 0
+    assert packed.exceptAll(other).isEmpty() and other.exceptAll(packed).isEmpty()
+
+
+def test_ranked_rows_cross_no_shuffle(spark, small):
+    """Orders are shuffled by key and by task; expanded rows are not (before: joined by provider and by profile)."""
+    from test_plans import plan
+    from workload.registry import matrix, providers
+    from workload.views import Tables
+
+    t = Tables(spark, small)
+    text = plan(R.recommend(t.orders.limit(5), t.catalog, providers(t), matrix(t), t.clusters))
+    tree = text.split("\n\n")[0]
+    first = tree.index("Generate")
+    assert "Exchange" not in tree[:first]
+
+
+@pytest.mark.parametrize("twice", [None, "supplier", "part"])
+def test_narrow_catalog_is_the_view(spark, small, tmp_path, twice):
+    from workload.views import Tables
+
+    t = Tables(spark, small)
+    for name in ("lineitem", "supplier", "part", "nation", "region"):
+        rows = t.table(name)
+        if name == twice:  # a key with two rows, some of them alike once the columns are formed
+            rows = rows.unionByName(rows.limit(20).withColumn("s_acctbal" if name == "supplier" else "p_size", F.lit(3)))
+        rows.write.parquet(str(tmp_path / f"{name}.parquet"))
+    odd = Tables(spark, str(tmp_path))
+    a, b = odd.catalog.persist(), odd.narrow_catalog().persist()
+    assert a.count() == b.count() and a.columns == b.columns
+    assert a.exceptAll(b).isEmpty()
+
+
 def test_no_candidates_gives_the_full_schema(spark, small):
     from workload.registry import matrix, providers
     from workload.views import Tables
