@@ -135,6 +135,12 @@ def _point_blocks(points: DataFrame, rows: int) -> DataFrame:
     return points.mapInPandas(pack, f"keys array<{types['k']}>, labels array<{types['l']}>, flat array<double>")
 
 
+def _grid(tasks: int) -> tuple[int, int]:
+    """Lanes and rows of a grid of at least so many tasks. A partial sum leaves every lane, so lanes are the fewer."""
+    across = max(1, int(np.sqrt(tasks) / 2))
+    return across, -(-tasks // across)
+
+
 def silhouette_points(
     df: DataFrame, features: str | Sequence[str], label: str, key: str, block: int = 2048, lanes: int | None = None
 ) -> DataFrame:
@@ -142,16 +148,20 @@ def silhouette_points(
 
     The work is quadratic: every point needs its distance to every other. Blocks of points
     meet lane by lane, one product of two blocks at a time; what leaves a pair of blocks is
-    one partial sum per point and group, so no pair of points is ever written. For large
+    one partial sum per point and group, so no pair of points is ever written. The tasks form a
+    grid, rows of point blocks by lanes of other blocks: a block is sent to one row or one lane
+    of it (about twice the root of their number), not to every task. For large
     tables `squared_silhouette_points` gives the squared-distance figure in linear time.
     """
     points = as_array(df, features).select(F.col(key).alias("k"), F.col(label).alias("l"), "x").where(F.col("l").isNotNull())
     spark = df.sparkSession
     lanes = lanes or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    across, down = _grid(lanes)
     blocks = stage(_point_blocks(points, block), "silhouette-blocks")
-    shards = blocks.withColumn("lane", F.pmod(F.xxhash64("flat"), F.lit(lanes)).cast("int"))
-    shards = shards.select("lane", F.col("labels").alias("other_labels"), F.col("flat").alias("other"))
-    tiles = blocks.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    place = F.xxhash64("flat")
+    shards = blocks.withColumns({"lane": F.pmod(place, F.lit(across)).cast("int"), "row": F.explode(F.sequence(F.lit(0), F.lit(down - 1)))})
+    shards = shards.select("row", "lane", F.col("labels").alias("other_labels"), F.col("flat").alias("other"))
+    tiles = blocks.withColumns({"row": F.pmod(place, F.lit(down)).cast("int"), "lane": F.explode(F.sequence(F.lit(0), F.lit(across - 1)))})
     types = {f.name: f.dataType.simpleString() for f in points.schema}
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -173,7 +183,7 @@ def silhouette_points(
                     }
                 )
 
-    pairs = tiles.join(shards, "lane").select("keys", "labels", "flat", "other_labels", "other")
+    pairs = tiles.join(shards, ["row", "lane"]).select("keys", "labels", "flat", "other_labels", "other")
     partial = pairs.mapInPandas(measure, f"k {types['k']}, l {types['l']}, other {types['l']}, t double")
     sums = partial.groupBy("k", "l", "other").agg(F.sum("t").alias("t"))
     sizes = per_label(points.groupBy("l").agg(F.count(F.lit(1)).cast("double").alias("n")), "l", "n")

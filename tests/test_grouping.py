@@ -148,3 +148,13 @@ def test_components(spark):
 def test_all_groups_small(spark):
     df = spark.createDataFrame([(i % 4,) for i in range(8)], "label int")
     assert {r[0] for r in G.suppress_small_clusters(df, min_size=3).select("cluster_id").collect()} == {-1}
+
+
+def test_silhouette_sends_a_block_to_few_tasks(blobs):
+    for tasks in (1, 2, 16, 200):
+        across, down = Q._grid(tasks)
+        assert across * down >= tasks and (tasks < 16 or across + down < tasks)
+    one = Q.silhouette_points(blobs, ["a", "b", "c"], "truth", "DNI_PRESTADOR", block=1000, lanes=1).collect()
+    many = Q.silhouette_points(blobs, ["a", "b", "c"], "truth", "DNI_PRESTADOR", block=7, lanes=40).collect()
+    want = {r[0]: r["s"] for r in one}
+    assert len(many) == len(one) == 154 and {r[0]: r["s"] for r in many} == pytest.approx(want, abs=1e-9)
