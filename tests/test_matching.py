@@ -174,3 +174,15 @@ def test_no_candidates_gives_the_full_schema(spark, small):
     none = t.orders.where(F.lit(False))
     out = R.recommend(none, t.catalog, providers(t), matrix(t), t.clusters)
     assert out.columns == list(R.RECOMMENDATION_COLUMNS) and out.isEmpty()
+
+
+def test_one_order_reads_the_company_master_only(spark, small, tmp_path):
+    """Segment and route are master data: the company feature table is not built for them."""
+    from workload.catalog import QUERIES
+    from workload.registry import _STORED
+
+    root = tmp_path / "tables"
+    root.symlink_to(small)
+    assert QUERIES["score_one_order_company"](spark, str(root)).count() > 0
+    kept = {name for _, where, name in _STORED if where == str(root)}
+    assert "catalog" in kept and "companies" not in kept
