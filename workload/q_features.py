@@ -2,7 +2,7 @@
 
 from matchwright.plans import company_features as CF
 from matchwright.plans import provider_features as PF
-from workload.registry import providers, query
+from workload.registry import orders, providers, query, visits
 from workload.views import Tables
 
 VISIT_D = ["duracion_promedio_ejecutada", "duracion_total_ejecutada", "dias_ciclo_informe_prom", "pct_programaciones_campo"]
@@ -24,22 +24,22 @@ PROFILE_D = ["capacidad", "pct_tareas_nuevo_modelo", "pct_tareas_tratamiento", "
 
 @query("feat_visit_kpis", "SELECT * FROM o_visit", rounds=VISIT_D)
 def feat_visit_kpis(t: Tables):
-    return PF.visit_kpis(t.visits)
+    return PF.visit_kpis(visits(t))
 
 
 @query("feat_order_kpis", "SELECT * FROM o_orders", rounds=ORDER_D, dates=ORDER_T)
 def feat_order_kpis(t: Tables):
-    return PF.order_kpis(t.orders)
+    return PF.order_kpis(orders(t))
 
 
 @query("feat_served_demand", "SELECT * FROM o_demand", rounds=DEMAND_D)
 def feat_served_demand(t: Tables):
-    return PF.served_demand(t.visits, t.companies)
+    return PF.served_demand(visits(t), t.companies)
 
 
 @query("feat_performance", "SELECT * FROM o_perf", rounds=PERF_D, dates=ORDER_T)
 def feat_performance(t: Tables):
-    return PF.performance(t.visits, t.orders, t.companies)
+    return PF.performance(visits(t), orders(t), t.companies)
 
 
 @query("feat_profile_base", "SELECT * FROM o_base", rounds=["capacidad"], dates=["fealta_prestador"])
@@ -69,7 +69,7 @@ def feat_profile(t: Tables):
     dates=["fealta_prestador", *ORDER_T],
 )
 def feat_provider(t: Tables):
-    return PF.provider_table(t.catalog, t.master, t.visits, t.orders, t.companies)
+    return PF.provider_table(t.catalog, t.master, visits(t), orders(t), t.companies)
 
 
 COMPANY_D = ["costo_total_acumulado", "costo_total_prom_oc", "costo_logistico_acumulado"]
@@ -77,12 +77,12 @@ COMPANY_D = ["costo_total_acumulado", "costo_total_prom_oc", "costo_logistico_ac
 
 @query("feat_company_orders", "SELECT * FROM o_corders", rounds=COMPANY_D, dates=ORDER_T, digits=4)
 def feat_company_orders(t: Tables):
-    return CF.company_orders(t.orders)
+    return CF.company_orders(orders(t))
 
 
 @query("feat_company_visits", "SELECT * FROM o_cvisits", rounds=["horas_servicio_recibidas_2025"])
 def feat_company_visits(t: Tables):
-    return CF.company_visits(t.visits)
+    return CF.company_visits(visits(t))
 
 
 @query(
@@ -93,7 +93,7 @@ def feat_company_visits(t: Tables):
     digits=4,
 )
 def feat_company(t: Tables):
-    return CF.company_table(t.companies, t.orders, t.visits)
+    return CF.company_table(t.companies, orders(t), visits(t))
 
 
 @query("clustering_input", "SELECT * FROM o_matrix", rounds=list(PF.K.FEATURES))

@@ -13,7 +13,7 @@ from matchwright.plans import silver as S
 from matchwright.session import scratch_path
 from matchwright.sources import readers as SR
 from matchwright.sources import store as ST
-from workload.registry import catalog, company_features, matrix, providers, query
+from workload.registry import catalog, company_features, matrix, orders, providers, query, visits
 from workload.views import Tables
 
 LINE = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
@@ -194,8 +194,8 @@ def bake_targets(t: Tables):
 
     registry = {
         "clustering_input": ST.Target(lambda done: PF.grouping_matrix(done["feat_prestador"]), ("feat_prestador",), {"known": F.col("DNI_PRESTADOR").isNotNull()}),
-        "feat_prestador": ST.Target(lambda done: PF.provider_table(catalog(t), t.master, t.visits, t.orders, t.companies)),
-        "feat_empresa": ST.Target(lambda done: company_table(t.companies, t.orders, t.visits)),
+        "feat_prestador": ST.Target(lambda done: PF.provider_table(catalog(t), t.master, visits(t), orders(t), t.companies)),
+        "feat_empresa": ST.Target(lambda done: company_table(t.companies, orders(t), visits(t))),
     }
     baked = ST.bake_targets(t.spark, registry, scratch_path(t.spark, "gold"))
     out = None
