@@ -9,13 +9,11 @@ the blocks by word number.
 from __future__ import annotations
 
 import math
-import re
-import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -32,9 +30,8 @@ FOUND = "block long, codes binary, lengths binary, ids binary"
 #: Trailing marks that a word ending in a letter or digit is encoded without; they never join the letters before them.
 MARKS = ".,!?;:#$%&*|)"
 #: Words that are encoded as they stand: special tokens, and combining marks, which upper and lower case letters may join differently.
-AS_IS = re.compile("<\\||[̀-ͯ]")
-PLAIN_END = re.compile("[a-z0-9ß-öø-ÿ]$")
-UPPER = {c: c + 32 for c in range(65, 91)}
+AS_IS = "<\\||[\u0300-\u036f]"
+PLAIN_END = "[a-z0-9ß-öø-ÿ]$"
 
 
 def pack(numbers: np.ndarray) -> bytes:
@@ -77,6 +74,19 @@ def blocks(docs: DataFrame, size: int = 6 << 20) -> DataFrame:
     return cut.mapInArrow(run, BLOCKS).withColumn("block", F.monotonically_increasing_id())
 
 
+def _hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit number of each word, equal for equal words: its bytes as digits, mixed."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    sizes = np.diff(ends)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].astype(np.uint64) + np.uint64(1)
+    place = np.arange(len(data)) - np.repeat(ends[:-1] - ends[0], sizes)
+    powers = np.cumprod(np.full(sizes.max(initial=0) + 1, 0x9E3779B97F4A7C15, np.uint64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(data * powers[place], dtype=np.uint64)])
+    h = sums[ends[1:] - ends[0]] - sums[ends[:-1] - ends[0]]
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
 def _route(parts: int):
     """Words of a block dealt to buckets by their lower-case body, so that all forms of a word meet."""
 
@@ -85,19 +95,20 @@ def _route(parts: int):
             for block, words in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = pa.array(zstandard.ZstdDecompressor().decompress(words.as_py()).decode().split("\n"), pa.string())
                 body = pc.ascii_rtrim(pc.ascii_lower(words), characters=MARKS)
-                bucket = (pd.util.hash_array(np.array(body.to_pylist(), dtype=object), categorize=False) % parts).astype(np.int32)
+                bucket = (_hashes(body) % parts).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-                ordered = words.take(pa.array(order)).to_pylist()
+                ends = [0, *cuts.tolist(), len(order)]
+                joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words.take(pa.array(order))), "\n")
                 press = zstandard.ZstdCompressor(level=1)
                 rows = []
-                for a, b in zip([0, *cuts], [*cuts, len(order)]):
-                    rows.append((int(bucket[order[a]]), block, pack(order[a:b]), press.compress("\n".join(ordered[a:b]).encode())))
+                for a, b, text in zip(ends, ends[1:], joined):
+                    rows.append((int(bucket[order[a]]), block, pack(order[a:b]), press.compress(text.as_buffer())))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
                     ["bucket", "block", "codes", "words"],
                 )
-                del words, body, ordered, rows
+                del words, body, joined, rows
                 tidy()
 
     return run
@@ -111,26 +122,27 @@ def _tokenizer(text: str) -> Tokenizer:
     return tokenizer
 
 
-def encode_words(tokenizer: Tokenizer, words: list[str]) -> list[bytes]:
+def encode_words(tokenizer: Tokenizer, words: list[str] | pa.Array) -> list[bytes]:
     """Ids of each word as little-endian 32-bit numbers; every distinct body and run of marks is encoded once."""
-    ids: dict[str, bytes] = {"": b""}
-    out: list[bytes] = []
-    for s in range(0, len(words), 16384):
-        cut = []
-        for word in words[s : s + 16384]:
-            if AS_IS.search(word):
-                cut.append((word, ""))
-                continue
-            word = word.translate(UPPER)
-            body = word.rstrip(MARKS)
-            cut.append((body, word[len(body) :]) if PLAIN_END.search(body) else (word, ""))
-        forms = [x for x in {x for pair in cut for x in pair} if x not in ids]
-        for f in range(0, len(forms), 2048):
-            part = forms[f : f + 2048]
-            for form, code in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                ids[form] = struct.pack(f"<{len(code.ids)}I", *code.ids)
-        out += [ids[body] + ids[marks] for body, marks in cut]
-    return out
+    words = words if isinstance(words, pa.Array) else pa.array(words, pa.string())
+    if not len(words):
+        return []
+    as_is = pc.match_substring_regex(words, AS_IS)
+    lower = pc.ascii_lower(words)
+    body = pc.ascii_rtrim(lower, characters=MARKS)
+    marked = pc.and_not(pc.match_substring_regex(body, PLAIN_END), as_is)
+    whole = pc.if_else(as_is, words, lower)
+    size = pc.if_else(marked, pc.binary_length(body), pc.binary_length(whole)).to_numpy()
+    # body and marks stand side by side in the bytes of the words: only the offsets are new
+    starts = np.frombuffer(whole.buffers()[1], np.int32)[whole.offset : whole.offset + len(whole) + 1]
+    cuts = np.append(np.column_stack([starts[:-1], starts[:-1] + size]).ravel(), starts[-1]).astype(np.int32)
+    forms = pa.StringArray.from_buffers(2 * len(whole), pa.py_buffer(cuts), whole.buffers()[2]).dictionary_encode()
+    ids: list[bytes] = []
+    for f in range(0, len(forms.dictionary), 2048):
+        part = forms.dictionary.slice(f, 2048).to_pylist()
+        ids += [array("I", code.ids).tobytes() for code in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+    index = forms.indices.to_numpy()
+    return [ids[b] + ids[m] for b, m in zip(index[0::2].tolist(), index[1::2].tolist())]
 
 
 def encoded(

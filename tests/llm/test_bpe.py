@@ -3,6 +3,9 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from common import ROWS, documents, key
 
@@ -110,3 +113,25 @@ def test_reduction_keeps_the_best_and_best_fit_is_best_fit():
             for w, m in pattern:
                 used[w] += m * n
         assert used == counts
+
+
+def test_words_are_dealt_and_cut_in_columns():
+    """Forms of a word share a bucket number; cutting body and marks in columns gives what one word after the other gave."""
+    words = ["The", "THE,", "the.", "", "École!!", "A<|b.", "é.", "...", "日本。", "9.5,", "x\u0000y|"]
+    body = pc.ascii_rtrim(pc.ascii_lower(pa.array(words, pa.string())), characters=wordtable.MARKS)
+    one_by_one = [int(wordtable._hashes(pa.array([w], pa.string()))[0]) for w in body.to_pylist()]
+    assert wordtable._hashes(body).tolist() == one_by_one and len(set(one_by_one[:3])) == 1
+    assert wordtable._hashes(body.slice(2, 5)).tolist() == one_by_one[2:7]
+    many = wordtable._hashes(pa.array([f"word{i}" for i in range(10_000)], pa.string()))
+    assert len(set(many.tolist())) == 10_000 and max(np.bincount((many % 7).astype(int))) < 1600
+
+    class Letters:
+        """A tokenizer whose ids are code points."""
+
+        def encode_batch_fast(self, part, add_special_tokens):
+            return [type("Code", (), {"ids": [ord(c) for c in w]}) for w in part]
+
+    plain = [w if "<|" in w or "́" in w else "".join(c.lower() if c < "\x7f" else c for c in w) for w in words]
+    got = wordtable.encode_words(Letters(), pa.array(["cut", *words], pa.string()).slice(1))
+    assert [np.frombuffer(b, "<u4").tolist() for b in got] == [[ord(c) for c in w] for w in plain]
+    assert wordtable.encode_words(Letters(), []) == []
