@@ -55,3 +55,11 @@ def test_task_themes_are_counted_once(spark):
     assert tasks.where("first").count() == 3
     assert PF.main_theme(catalog, tasks).collect() == PF.main_theme(catalog).collect() == [("p", "b2", "y", 2)]
     assert PF.master_enrichment(catalog, master, tasks).first()["pct_tareas_nuevo_modelo"] == pytest.approx(1 / 3)
+
+
+def test_losses_are_not_sent(spark, small):
+    """Six whole numbers per (task, provider, town) that the scores tell were shuffled with them."""
+    t = Tables(spark, small)
+    pairs = R.scored_pairs(WR.catalog(t), R.eligible_providers(WR.providers(t), WR.matrix(t), t.clusters))
+    assert "losses" not in pairs.columns
+    assert "losses" in R.packed_providers(pairs, 2).schema["offers"].dataType.elementType["o"].dataType.names
