@@ -9,8 +9,9 @@ arrive further down their lists, and only the providers where they arrive are lo
 Bars only rise, and where no provider is above its room any more, the bars are those of the
 one stable matching (deferred acceptance, in whatever order it is carried out).
 
-A round reads the stored groups once; where it looks at few providers, the lists that name
-none of them are passed over in the scan, before anything is worked out or sent on.
+A round reads the stored groups twice: first the units per provider are summed inside the
+tasks, then only the pairs of providers above their room are sent on. Where it looks at few
+providers, the lists that name none of them are passed over in the scan.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -37,6 +38,9 @@ NAMED = 200
 #: With more bars raised than this, the next round looks at all providers without asking which are reached.
 FEW = 20
 PAIR = ("loss", "slot", "sig_a", "sig_b")
+#: Instead of a list place: no provider takes anything; a group may be split between providers.
+NOWHERE, SHARED = -1, -2
+_ANY = np.iinfo(np.int64).max
 
 
 @dataclass(frozen=True)
@@ -65,19 +69,30 @@ class Bars:
     def columns(self) -> tuple[np.ndarray, ...]:
         return self.provider, self.loss, self.slot, self.sig_a, self.sig_b, self.units
 
+    def room(self, lists: Lists) -> np.ndarray:
+        """Units each listed provider would take at most (groups x list places): any number, those of its bar, or none."""
+        if not len(self.provider):
+            return np.where(lists.filled, _ANY, 0)
+        at = np.minimum(np.searchsorted(self.provider, lists.provider), len(self.provider) - 1)
+        has_bar = self.provider[at] == lists.provider
+        less, equal = np.zeros(at.shape, bool), np.ones(at.shape, bool)
+        for mine, bar in ((lists.loss, self.loss), (lists.slot[:, None], self.slot), (lists.sig_a[:, None], self.sig_a), (lists.sig_b[:, None], self.sig_b)):
+            less |= equal & (mine < bar[at])
+            equal &= mine == bar[at]
+        room = np.where(~has_bar | less, _ANY, np.where(equal, self.units[at], 0))
+        return np.where(lists.filled, room, 0)
+
+    def place(self, lists: Lists) -> np.ndarray:
+        """List place that takes all orders of a group, `NOWHERE`, or `SHARED` where a bar stands in the group itself."""
+        room = self.room(lists)
+        some = room > 0
+        first = some.argmax(axis=1)
+        there = np.take_along_axis(room, first[:, None], axis=1)[:, 0]
+        return np.where(~some.any(axis=1), NOWHERE, np.where(there == _ANY, first, SHARED)).astype(np.int32)
+
     def taken(self, lists: Lists) -> np.ndarray:
         """Units that each listed provider takes of each group (groups x list places)."""
-        if not len(self.provider):
-            room = np.where(lists.filled, np.iinfo(np.int64).max, 0)
-        else:
-            at = np.minimum(np.searchsorted(self.provider, lists.provider), len(self.provider) - 1)
-            has_bar = self.provider[at] == lists.provider
-            less, equal = np.zeros(at.shape, bool), np.ones(at.shape, bool)
-            for mine, bar in ((lists.loss, self.loss), (lists.slot[:, None], self.slot), (lists.sig_a[:, None], self.sig_a), (lists.sig_b[:, None], self.sig_b)):
-                less |= equal & (mine < bar[at])
-                equal &= mine == bar[at]
-            room = np.where(~has_bar | less, np.iinfo(np.int64).max, np.where(equal, self.units[at], 0))
-            room = np.where(lists.filled, room, 0)
+        room = self.room(lists)
         out, left = np.zeros(room.shape, np.int64), lists.qty.copy()
         for place in range(room.shape[1]):
             out[:, place] = np.minimum(left, room[:, place])
@@ -99,7 +114,10 @@ class Lists:
 
     @staticmethod
     def of(batch: pa.RecordBatch) -> Lists:
-        column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+        return Lists.of_columns({n: batch.column(i) for i, n in enumerate(batch.schema.names)})
+
+    @staticmethod
+    def of_columns(column: dict[str, pa.Array]) -> Lists:
         sizes = np.diff(column["providers"].offsets.to_numpy())
         filled = np.arange(max(1, sizes.max(initial=0))) < sizes[:, None]
         padded = []
@@ -114,14 +132,19 @@ class Lists:
 _GROUP = ["sig_a", "sig_b", "slot", "qty", "providers", "losses"]
 
 
-def _numbered(groups: DataFrame, slots: int) -> DataFrame:
-    """Groups with their list as provider numbers (64-bit hashes of the keys) and losses."""
+def _numbers(slots: int) -> dict[str, Column]:
+    """Slot, provider numbers (64-bit hashes of the keys) and losses of a row with sig_a and cands."""
     listed = F.array_distinct("cands")
-    return groups.select(
-        "sig_a", "sig_b", F.pmod(F.col("sig_a"), F.lit(slots)).cast("int").alias("slot"), F.col("qty").cast("long").alias("qty"),
-        F.transform(listed, lambda c: F.xxhash64(c["provider"])).alias("providers"),
-        F.transform(listed, lambda c: c["loss"].cast("double")).alias("losses"),
-    )
+    return {
+        "slot": F.pmod(F.col("sig_a"), F.lit(slots)).cast("int"),
+        "providers": F.transform(listed, lambda c: F.xxhash64(c["provider"])),
+        "losses": F.transform(listed, lambda c: c["loss"].cast("double")),
+    }
+
+
+def _numbered(groups: DataFrame, slots: int) -> DataFrame:
+    """Groups with their list as provider numbers and losses."""
+    return groups.select("sig_a", "sig_b", F.col("qty").cast("long").alias("qty"), *[c.alias(n) for n, c in _numbers(slots).items()])
 
 
 def _listing(groups: DataFrame, providers: list[int] | None) -> DataFrame:
@@ -131,14 +154,37 @@ def _listing(groups: DataFrame, providers: list[int] | None) -> DataFrame:
     return groups.where(F.arrays_overlap("providers", F.array(*map(F.lit, providers))))
 
 
-def _asks(groups: DataFrame, bars: Bars) -> DataFrame:
-    """provider, the pair and units of every group and provider that takes something of it."""
+def _above(groups: DataFrame, bars: Bars, cap: int) -> list[int]:
+    """Providers that take more than `cap` units. Units are summed inside a task: what is sent is a row per provider and task."""
     given = groups.sparkSession.sparkContext.broadcast(bars)  # a row per full provider, MAX_BARS at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        who, much = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             lists = Lists.of(batch)
             units = given.value.taken(lists)
+            some = units > 0
+            who, at = np.unique(np.concatenate((who, lists.provider[some])), return_inverse=True)
+            added = np.concatenate((much, units[some]))
+            much = np.zeros(len(who), np.int64)
+            np.add.at(much, at, added)
+        yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(much)], ["provider", "units"])
+
+    totals = groups.select(*_GROUP).mapInArrow(run, "provider long, units long").groupBy("provider").agg(F.sum("units").alias("units"))
+    return [r[0] for r in totals.where(F.col("units") > cap).select("provider").collect()]  # a row per provider at most
+
+
+def _asks(groups: DataFrame, bars: Bars, asked: list[int]) -> DataFrame:
+    """provider, the pair and units of every group and provider among `asked` that takes something of it."""
+    given = groups.sparkSession.sparkContext.broadcast((bars, np.sort(np.array(asked, np.int64))))  # MAX_BARS rows at most each
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bars, wanted = given.value
+        for batch in batches:
+            lists = Lists.of(batch)
+            units = bars.taken(lists)
+            at = np.minimum(np.searchsorted(wanted, lists.provider), len(wanted) - 1)
+            units[wanted[at] != lists.provider] = 0
             row, place = np.nonzero(units)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (lists.provider[row, place], lists.loss[row, place], lists.slot[row], lists.sig_a[row], lists.sig_b[row], units[row, place])],
@@ -188,8 +234,8 @@ def count_providers(groups: DataFrame) -> tuple[int, bool]:
     return row["n"], row["n"] <= MAX_BARS and row["n"] == row["numbers"]
 
 
-def search(groups: DataFrame, cap: int, slots: int, max_rounds: int = 10_000) -> DataFrame:
-    """sig_a, sig_b, pos, provider, held: what each group gets from its listed providers.
+def search(groups: DataFrame, cap: int, slots: int, max_rounds: int = 10_000) -> tuple[DataFrame, Bars]:
+    """The groups as the search reads them, and the bars of the one stable matching.
 
     Takes groups with sig_a, sig_b, qty and cands, an array of (loss, provider) in order of
     preference, read from a stored table; `count_providers` says whether this way is open. Providers
@@ -197,37 +243,49 @@ def search(groups: DataFrame, cap: int, slots: int, max_rounds: int = 10_000) ->
     bar, and a bar is raised at most once per pair, so the loop ends; `max_rounds` turns a
     fault into an error.
     """
-    if cap < 1:
-        return groups.select("sig_a", "sig_b", F.lit(0).alias("pos"), F.lit(None).cast("string").alias("provider"), F.lit(0).cast("long").alias("held")).limit(0)
     numbered = stage(_numbered(groups, slots), "cutoff-groups")
     bars, looked_at = Bars.none(), None
     for round_ in range(1, max_rounds + 1):
         start = time.perf_counter()
-        raises = _raises(_asks(_listing(numbered, looked_at), bars), cap)
+        above = _above(_listing(numbered, looked_at), bars, cap)
         if looked_at is not None and len(looked_at) <= NAMED:  # of the others only some of their groups were read
-            raises = raises.where(F.col("provider").isin(looked_at))
-        raised = raises.collect()  # a row per provider at most
-        if not raised:
-            break
+            above = sorted(set(above) & set(looked_at))
+        if not above:
+            return numbered, bars
+        raised = _raises(_asks(_listing(numbered, above), bars, above), cap).collect()  # a row per provider at most
         old, bars = bars, bars.raised(raised)
         if len(raised) > FEW:
             looked_at = None
         elif not (looked_at := _reached(_listing(numbered, [r["provider"] for r in raised]), old, bars)):
-            break
+            return numbered, bars
         log.info("cut-off round %d: %d bars raised, %s providers reached, %.2f s", round_, len(raised), "all" if looked_at is None else len(looked_at), time.perf_counter() - start)
-    else:
-        raise RuntimeError(f"no settlement after {max_rounds} rounds; {len(raised)} providers still above their room")
-    given = groups.sparkSession.sparkContext.broadcast(bars)
+    raise RuntimeError(f"no settlement after {max_rounds} rounds; {len(raised)} providers still above their room")
+
+
+def places(orders: DataFrame, bars: Bars, slots: int) -> DataFrame:
+    """Adds `place` (see `Bars.place`) to rows with sig_a, sig_b and cands: read off the bars, without a join."""
+    given = orders.sparkSession.sparkContext.broadcast(bars)  # as in _above
+
+    @F.arrow_udf("int")
+    def place(sig_a: pa.Array, sig_b: pa.Array, slot: pa.Array, providers: pa.Array, losses: pa.Array) -> pa.Array:
+        columns = {"sig_a": sig_a, "sig_b": sig_b, "slot": slot, "providers": providers, "losses": losses, "qty": pa.array(np.zeros(len(slot), np.int64))}
+        return pa.array(given.value.place(Lists.of_columns(columns)))
+
+    numbers = _numbers(slots)
+    return orders.withColumn("place", place("sig_a", "sig_b", numbers["slot"], numbers["providers"], numbers["losses"]))
+
+
+def shared(numbered: DataFrame, bars: Bars) -> DataFrame:
+    """sig_a, sig_b, pos, held: what the groups at `SHARED` places get from their listed providers; at most one group per bar."""
+    given = numbered.sparkSession.sparkContext.broadcast(bars)  # as in _above
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = Lists.of(batch)
-            held = given.value.taken(lists)
+            held = np.where((given.value.place(lists) == SHARED)[:, None], given.value.taken(lists), 0)
             row, place = np.nonzero(held)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (lists.sig_a[row], lists.sig_b[row], place.astype(np.int32), held[row, place])], ["sig_a", "sig_b", "pos", "held"]
             )
 
-    held = numbered.select(*_GROUP).mapInArrow(run, "sig_a long, sig_b long, pos int, held long")
-    names = groups.select("sig_a", "sig_b", F.array_distinct("cands").alias("listed"))
-    return held.join(names, ["sig_a", "sig_b"]).select("sig_a", "sig_b", "pos", F.get("listed", F.col("pos"))["provider"].alias("provider"), "held")
+    return numbered.select(*_GROUP).mapInArrow(run, "sig_a long, sig_b long, pos int, held long")
