@@ -27,8 +27,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from matchwright.session import stage
-
 log = logging.getLogger(__name__)
 
 #: Most providers whose bars (48 bytes each) are sent to the tasks; more take the way by holdings.
@@ -134,17 +132,19 @@ _GROUP = ["sig_a", "sig_b", "slot", "qty", "providers", "losses"]
 
 def _numbers(slots: int) -> dict[str, Column]:
     """Slot, provider numbers (64-bit hashes of the keys) and losses of a row with sig_a and cands."""
-    listed = F.array_distinct("cands")
     return {
         "slot": F.pmod(F.col("sig_a"), F.lit(slots)).cast("int"),
-        "providers": F.transform(listed, lambda c: F.xxhash64(c["provider"])),
-        "losses": F.transform(listed, lambda c: c["loss"].cast("double")),
+        "providers": F.transform("cands", lambda c: F.xxhash64(c["provider"])),
+        "losses": F.transform("cands", lambda c: c["loss"].cast("double")),
     }
 
 
-def _numbered(groups: DataFrame, slots: int) -> DataFrame:
-    """Groups with their list as provider numbers and losses."""
-    return groups.select("sig_a", "sig_b", F.col("qty").cast("long").alias("qty"), *[c.alias(n) for n, c in _numbers(slots).items()])
+def folded(orders: DataFrame, slots: int) -> DataFrame:
+    """Orders with equal lists as one group, its list as provider numbers and losses: a third of the bytes of `cands`."""
+    numbers = _numbers(slots)
+    listed = orders.select("sig_a", "sig_b", *[numbers[n].alias(n) for n in ("providers", "losses")])
+    firsts = [F.first(n).alias(n) for n in ("providers", "losses")]
+    return listed.groupBy("sig_a", "sig_b").agg(F.count(F.lit(1)).alias("qty"), *firsts).withColumn("slot", numbers["slot"])
 
 
 def _listing(groups: DataFrame, providers: list[int] | None) -> DataFrame:
@@ -227,23 +227,21 @@ def _reached(rows: DataFrame, old: Bars, new: Bars) -> list[int]:
     return [r[0] for r in rows.select(*_GROUP).mapInArrow(run, "provider long").distinct().collect()]
 
 
-def count_providers(groups: DataFrame) -> tuple[int, bool]:
+def count_providers(lists: DataFrame) -> tuple[int, bool]:
     """How many providers are listed, and whether bars for all of them may be used (few enough, numbers differ)."""
-    listed = groups.select(F.explode("cands.provider").alias("p")).distinct()
+    listed = lists.select(F.explode("cands.provider").alias("p")).distinct()
     row = listed.agg(F.count("*").alias("n"), F.count_distinct(F.xxhash64("p")).alias("numbers")).first()
     return row["n"], row["n"] <= MAX_BARS and row["n"] == row["numbers"]
 
 
-def search(groups: DataFrame, cap: int, slots: int, max_rounds: int = 10_000) -> tuple[DataFrame, Bars]:
-    """The groups as the search reads them, and the bars of the one stable matching.
+def search(numbered: DataFrame, cap: int, max_rounds: int = 10_000) -> Bars:
+    """The bars of the one stable matching.
 
-    Takes groups with sig_a, sig_b, qty and cands, an array of (loss, provider) in order of
-    preference, read from a stored table; `count_providers` says whether this way is open. Providers
-    prefer by loss, hash slot of the group and signature. Every round but the last raises a
-    bar, and a bar is raised at most once per pair, so the loop ends; `max_rounds` turns a
-    fault into an error.
+    Takes the groups of `folded`, lists in order of preference, read from a stored table;
+    `count_providers` says whether this way is open. Providers prefer by loss, hash slot of the
+    group and signature. Every round but the last raises a bar, and a bar is raised at most
+    once per pair, so the loop ends; `max_rounds` turns a fault into an error.
     """
-    numbered = stage(_numbered(groups, slots), "cutoff-groups")
     bars, looked_at = Bars.none(), None
     for round_ in range(1, max_rounds + 1):
         start = time.perf_counter()
@@ -251,13 +249,13 @@ def search(groups: DataFrame, cap: int, slots: int, max_rounds: int = 10_000) ->
         if looked_at is not None and len(looked_at) <= NAMED:  # of the others only some of their groups were read
             above = sorted(set(above) & set(looked_at))
         if not above:
-            return numbered, bars
+            return bars
         raised = _raises(_asks(_listing(numbered, above), bars, above), cap).collect()  # a row per provider at most
         old, bars = bars, bars.raised(raised)
         if len(raised) > FEW:
             looked_at = None
         elif not (looked_at := _reached(_listing(numbered, [r["provider"] for r in raised]), old, bars)):
-            return numbered, bars
+            return bars
         log.info("cut-off round %d: %d bars raised, %s providers reached, %.2f s", round_, len(raised), "all" if looked_at is None else len(looked_at), time.perf_counter() - start)
     raise RuntimeError(f"no settlement after {max_rounds} rounds; {len(raised)} providers still above their room")
 
@@ -266,13 +264,14 @@ def places(orders: DataFrame, bars: Bars, slots: int) -> DataFrame:
     """Adds `place` (see `Bars.place`) to rows with sig_a, sig_b and cands: read off the bars, without a join."""
     given = orders.sparkSession.sparkContext.broadcast(bars)  # as in _above
 
-    @F.arrow_udf("int")
     def place(sig_a: pa.Array, sig_b: pa.Array, slot: pa.Array, providers: pa.Array, losses: pa.Array) -> pa.Array:
         columns = {"sig_a": sig_a, "sig_b": sig_b, "slot": slot, "providers": providers, "losses": losses, "qty": pa.array(np.zeros(len(slot), np.int64))}
         return pa.array(given.value.place(Lists.of_columns(columns)))
 
     numbers = _numbers(slots)
-    return orders.withColumn("place", place("sig_a", "sig_b", numbers["slot"], numbers["providers"], numbers["losses"]))
+    # told to be nondeterministic, a call is not repeated for every filter and column that reads its result
+    once = F.arrow_udf(place, "int").asNondeterministic()
+    return orders.withColumn("place", once("sig_a", "sig_b", numbers["slot"], numbers["providers"], numbers["losses"]))
 
 
 def shared(numbered: DataFrame, bars: Bars) -> DataFrame:

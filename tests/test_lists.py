@@ -67,3 +67,30 @@ def test_ranked_rows_are_not_stored(spark, small, tmp_path):
 
     assert not {"top10", "top2", "lists"} & kept_after("consumer_recommendations", "consumer_assignment")
     assert not {"top10", "top2"} & kept_after("capacity_cap", "assign_capacitated_stability", "scenario_diff_capacitated")
+
+
+def test_place_is_worked_out_once(spark, small):
+    """Filters on the place do not call for it again; before, each did."""
+    placed = cutoffs.places(WR.signed_lists(Tables(spark, small)), cutoffs.Bars.none(), M.SLOTS)
+    rows = placed.where(F.col("place") != cutoffs.SHARED).withColumn("at", F.coalesce("place", F.lit(0)))
+    assert plan(rows.select("at", F.get("cands", "at")["provider"])).count("ArrowEvalPython ") == 1
+
+
+def test_groups_carry_numbers_and_no_names(spark):
+    rows = [("E1", "T", "M", r, p, s) for r, p, s in ((1, "P1", 0.9), (1, "P1", 0.9), (2, "P2", 0.5))] + [("E2", "T", "M", 1, "P1", 0.9), ("E2", "T", "M", 2, "P2", 0.5)]
+    ranked = spark.createDataFrame(rows, "dni_empresa string, codigo_tarea string, cd_municipio_destino string, rank int, dni_prestador string, score_total double")
+    orders = M.fold_orders(ranked, K.ORDER_KEY)
+    assert {len(r["cands"]) for r in orders.collect()} == {2}  # a candidate given twice stands once
+    group = cutoffs.folded(orders, M.SLOTS).first()
+    assert group["qty"] == 2 and len(group["providers"]) == 2 and group["losses"] == [-0.9, -0.5] and group["slot"] == group["sig_a"] % M.SLOTS
+
+
+def test_tasks_of_every_query_find_the_package(spark, small, monkeypatch):
+    """Queries with Python in tasks failed where the driver was started in another folder."""
+    import __spark_entry__ as entry
+
+    env = dict(spark.sparkContext.environment)
+    env.pop("PYTHONPATH", None)
+    monkeypatch.setattr(spark.sparkContext, "environment", env)
+    entry.queries()["eda_coverage_gap"](spark, small)
+    assert entry.HERE in env["PYTHONPATH"]
