@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -46,12 +47,13 @@ def distinct_with_null(c: Column | str, p: Column | None = None) -> Column:
 def distinct_counts(df: DataFrame, groups: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
     """Number of distinct values per group, null a value of its own: output name -> column (text, whole number, date or flag).
 
-    Every (group, column, value) is one narrow row. Counted beside other aggregates, each of
-    these rows would carry the buffers of all of them.
+    Every (group, value) of a column is one narrow row. Counted beside other aggregates, each of
+    these rows would carry the buffers of all of them; made distinct for all columns at once,
+    the values of a task would not fit in its memory.
     """
-    g, places = list(groups), {name: str(i) for i, name in enumerate(columns)}
-    values = [F.col(c).cast("string").alias(places[name]) for name, c in columns.items()]
-    long = df.select(*g, *values).unpivot(g, list(places.values()), "__col", "__val").distinct()
+    g, places = list(groups), {name: i for i, name in enumerate(columns)}
+    each = [df.select(*g, F.col(c).alias("__val")).distinct().select(*g, F.lit(places[name]).alias("__col")) for name, c in columns.items()]
+    long = reduce(DataFrame.unionByName, each)
     return long.groupBy(*g).agg(*[count_where(F.col("__col") == at).alias(name) for name, at in places.items()])
 
 

@@ -27,6 +27,13 @@ def test_distinct_counts_with_nulls(spark):
     assert {tuple(r) for r in out.collect()} == {("a", 3, 2, 2), (None, 2, 2, 1), ("b", 1, 0, 0)}
 
 
+def test_columns_are_made_distinct_one_by_one(spark, small):
+    """A task held the distinct values of all columns at once, which spilled."""
+    visits = Tables(spark, small).table("lineitem").withColumnRenamed("l_suppkey", "k")
+    text = plan(A.distinct_counts(visits, ["k"], {"a": "l_orderkey", "b": "l_partkey"}))
+    assert "Expand" not in text and "Union" in text
+
+
 @pytest.mark.parametrize("name", ["fx_citas", "fx_ordenado"])
 def test_views_over_joined_lines(spark, small, name):
     t = Tables(spark, small)
