@@ -204,7 +204,7 @@ def _numbers(slots: int) -> dict[str, Column]:
     return {
         "slot": F.pmod(F.col("sig_a"), F.lit(slots)).cast("int"),
         "providers": F.transform("cands", lambda c: F.xxhash64(c["provider"])),
-        "losses": F.transform("cands", lambda c: c["loss"].cast("double")),
+        "losses": F.col("cands.loss").cast("array<double>"),
     }
 
 

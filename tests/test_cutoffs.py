@@ -5,6 +5,9 @@ import pyarrow as pa
 import pytest
 
 from matchwright.operators import cutoffs as C
+from test_plans import plan
+from workload import registry as WR
+from workload.views import Tables
 
 
 def lists(rng, n, providers, width):
@@ -59,3 +62,9 @@ def test_groups_are_stored_in_blocks(spark):
     block = C.Lists.of(pa.Table.from_batches(stored.toArrow().to_batches()).combine_chunks().to_batches()[0], 0)
     assert block.sig_a.tolist() == list(range(25)) and block.qty.tolist() == [r[3] for r in rows]
     assert block.provider[block.at[2] : block.at[3]].tolist() == [0, 2] and block.loss[block.at[2] : block.at[3]].tolist() == [-0.5, np.inf]
+
+
+def test_pairs_are_not_formed_by_lambda_functions(spark, small):
+    """Every reader of the stored lists formed its (loss, provider) pairs by an interpreted function."""
+    cands = WR.signed_lists(Tables(spark, small)).select("cands")
+    assert "lambdafunction" not in plan(cands) and cands.schema["cands"].dataType.elementType.names == ["loss", "provider"]
