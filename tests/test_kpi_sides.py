@@ -60,3 +60,19 @@ def test_enablings_are_placed_once_for_distinct_and_join(spark, small):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "hashpartitioning(DNI_PRESTADOR" in text and text.count("hashpartitioning(CDTAREA") == 0
+
+
+def test_open_order_keys_are_placed_once(spark, small):
+    """Order lines were joined again, and keys shuffled for each of two distinct steps."""
+    from matchwright import constants as K
+    from matchwright.operators import matching as M
+    from matchwright.plans import recommend as R
+
+    t = Tables(spark, small)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(M.set_difference_keys(R.orders_to_score(WR.orders(t)), WR.assigned(t), K.ORDER_KEY))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tree = text.split("\n\n")[0]
+    assert tree.count("Exchange") == 2 and tree.count("Join") == 1
